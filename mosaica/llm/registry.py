@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["simhash", "exact_dedup"]
+MODULES = ["simhash", "exact_dedup", "substring", "packing"]
 
 
 def load() -> tuple[dict, dict]:
