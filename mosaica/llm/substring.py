@@ -15,7 +15,7 @@ from mosaica.llm.common import stored, table, text_or_empty
 
 WINDOW = 50
 GRAM = 8
-SHARD_SEGMENTS = 500  # an automaton holds at most so many segments; anchors with more go by single windows
+SHARD_SEGMENTS = 4096  # an automaton holds at most so many segments (some 200 MB); anchors with more go by single windows
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
