@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["simhash", "exact_dedup", "pieces", "substring", "quality", "packing", "secrets", "urls"]
+MODULES = ["fingerprints", "simhash", "exact_dedup", "pieces", "substring", "quality", "packing", "secrets", "urls", "pii"]
 
 
 def load() -> tuple[dict, dict]:
