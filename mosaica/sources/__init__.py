@@ -1,0 +1 @@
+"""Reading and writing the library's tables."""
