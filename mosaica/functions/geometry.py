@@ -45,7 +45,7 @@ def signed_area(ring: Column) -> Column:
 
 def ring_area(ring: Column) -> Column:
     """Shoelace area; an empty ring has area 0."""
-    return F.when(F.size(ring) > 3, F.abs(signed_area(ring))).when(ring.isNotNull(), F.lit(0.0))
+    return let(ring, lambda r: F.when(F.size(r) > 3, F.abs(signed_area(r))).when(r.isNotNull(), F.lit(0.0)))
 
 
 def ring_centroid(ring: Column) -> Column:
@@ -92,6 +92,28 @@ def clip_to_box(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) ->
     return let(r, lambda r: _clip_half(r, lambda p: y1 - p.y))
 
 
+def box_overlap_area(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Area of a simple ring's intersection with an axis-parallel box, in one pass over the edges.
+
+    It is the integral over y in the box of the length of the ring inside [x0, x1], a signed sum over edges of clamp(x, x0, x1) - x0,
+    whose antiderivative in x is known.
+    """
+    clamp = lambda v, lo, hi: F.greatest(lo, F.least(v, hi))
+    wide = x1 - x0
+
+    def integral(x: Column) -> Column:
+        return F.when(x <= x0, F.lit(0.0)).when(x >= x1, wide * wide / 2 + wide * (x - x1)).otherwise((x - x0) * (x - x0) / 2)
+
+    def of(e: Column) -> Column:
+        dx, dy = e.q.x - e.p.x, e.q.y - e.p.y
+        ya, yb = clamp(e.p.y, y0, y1), clamp(e.q.y, y0, y1)
+        ends = F.struct((e.p.x + (ya - e.p.y) / dy * dx).alias("a"), (e.p.x + (yb - e.p.y) / dy * dx).alias("b"), (yb - ya).alias("h"))
+        mean = lambda s: F.when(F.abs(s.b - s.a) > 1e-6 * wide, (integral(s.b) - integral(s.a)) / (s.b - s.a)).otherwise(clamp((s.a + s.b) / 2, x0, x1) - x0)
+        return F.when(dy != 0, let(ends, lambda s: s.h * mean(s))).otherwise(0.0)
+
+    return F.abs(_sum(F.transform(edges(ring), of)))
+
+
 def clip_to_convex(ring: Column, convex: Column) -> Column:
     """Ring of the intersection with a convex ring, by one half-plane for each of its edges."""
     oriented = let(convex, lambda c: F.when(signed_area(c) < 0, F.reverse(c)).otherwise(c))

@@ -92,9 +92,12 @@ def t_pvalues(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     return out
 
 
-@F.pandas_udf("double")
-def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series(t_pvalues(t.to_numpy(float), df.to_numpy(float)))
+def t_pvalue(t: Column, df: Column) -> Column:
+    @F.pandas_udf("double")
+    def of(t: pd.Series, df: pd.Series) -> pd.Series:
+        return pd.Series(t_pvalues(t.to_numpy(float), df.to_numpy(float)))
+
+    return of(t, df)
 
 
 def normal_pvalues(z: np.ndarray) -> np.ndarray:

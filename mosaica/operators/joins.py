@@ -38,15 +38,15 @@ def cell_pixel_overlap(cells: DataFrame, pixels: DataFrame, spacing: float, shri
     inner = side if single_shrink else side * shrink
     half = F.lit(side / 2)
     c = cells.withColumn("_a", G.ring_area(F.col("ring"))).where("_a > 0").withColumn("_c", G.ring_centroid(F.col("ring")))
-    c = _bucket(c.select("sample_id", "cell_idx", "ring", "_a", F.col("_c.x").alias("_cx"), F.col("_c.y").alias("_cy")), F.col("_cx"), F.col("_cy"), max_dist)
+    c = c.select("sample_id", "cell_idx", "ring", "_a", F.col("_c.x").alias("_cx"), F.col("_c.y").alias("_cy"), G.ring_bbox(F.col("ring")).alias("_b"))
+    c = _bucket(c, F.col("_cx"), F.col("_cy"), max_dist)
     p = pixels.select("sample_id", "ims_idx", (F.col("x") + half).alias("_px"), (F.col("y") + half).alias("_py"))
     p = _around(p, F.col("_px"), F.col("_py"), max_dist)
     near = c.join(p, ["sample_id", "_bx", "_by"]).where(F.hypot(F.col("_cx") - F.col("_px"), F.col("_cy") - F.col("_py")) < max_dist)
     r = F.lit(inner / 2)
-    box = G.ring_bbox(F.col("ring"))
-    meets = G.let(box, lambda b: (b.x0 < F.col("_px") + r) & (b.x1 > F.col("_px") - r) & (b.y0 < F.col("_py") + r) & (b.y1 > F.col("_py") - r))
-    clipped = G.clip_to_box(F.col("ring"), F.col("_px") - r, F.col("_py") - r, F.col("_px") + r, F.col("_py") + r)
-    out = near.where(meets).select("sample_id", "cell_idx", "ims_idx", (G.ring_area(clipped) / F.col("_a")).alias("overlap"), F.col("_a").alias("cell_area"))
+    meets = (F.col("_b.x0") < F.col("_px") + r) & (F.col("_b.x1") > F.col("_px") - r) & (F.col("_b.y0") < F.col("_py") + r) & (F.col("_b.y1") > F.col("_py") - r)
+    area = G.box_overlap_area(F.col("ring"), F.col("_px") - r, F.col("_py") - r, F.col("_px") + r, F.col("_py") + r)
+    out = near.where(meets).select("sample_id", "cell_idx", "ims_idx", (area / F.col("_a")).alias("overlap"), F.col("_a").alias("cell_area"))
     return out.where("overlap > 0")
 
 

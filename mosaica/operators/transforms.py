@@ -155,18 +155,13 @@ def fit_rigid(pairs: DataFrame, keys: list[str], scale: bool = True) -> DataFram
 def fit_affine_robust(pairs: DataFrame, keys: list[str], threshold: float, trials: int = 64, seed: int = 0, least: int = 5) -> DataFrame:
     """(keys, n, n_inliers, m): the best of `trials` three-point affines by inliers, fitted again to them; null m and 0 inliers below `least`.
 
-    Trials draw their points by hash, so results repeat. Hypotheses are trials rows a group, points meet them by group key; inliers are
-    pre-aggregated per task.
+    Trials draw their points by hash, so results repeat. Points meet the hypotheses of their group (one row a trial) by its key, and
+    inliers are counted in every task before the shuffle.
     """
     picks = pairs.select(*keys, "id", "p1x", "p1y", "p2x", "p2y", F.explode(F.sequence(F.lit(1), F.lit(trials))).alias("trial"))
     h = F.xxhash64("id", "trial", F.lit(seed))
-    three = None
-    lowest = picks.withColumn("_h", h)
-    for i in range(3):  # the three smallest hashes by three cheap aggregates instead of a sort of the group
-        best = lowest.groupBy(*keys, "trial").agg(F.min(F.struct("_h", "id", "p1x", "p1y", "p2x", "p2y")).alias(f"s{i}"))
-        three = best if i == 0 else three.join(best, [*keys, "trial"])
-        lowest = lowest.join(best.select(*keys, "trial", F.col(f"s{i}._h").alias("_last")), [*keys, "trial"]).where(F.col("_h") > F.col("_last")).drop("_last")
-    sample = three.select(*keys, "trial", F.explode(F.array("s0", "s1", "s2")).alias("s")).select(*keys, "trial", "s.*")
+    w = Window.partitionBy(*keys, "trial").orderBy(h, "id")
+    sample = picks.withColumn("_n", F.row_number().over(w)).where("_n <= 3").drop("_n")  # limited in every task before the shuffle
     hypotheses = fit_affine(sample, [*keys, "trial"]).where("m is not null").select(*keys, "trial", "m")
     scored = residuals(pairs.join(hypotheses.select(*keys, "trial"), keys) if keys else pairs.crossJoin(F.broadcast(hypotheses.select("trial"))), hypotheses, [*keys, "trial"])
     counts = scored.groupBy(*keys, "trial").agg(F.sum((F.col("residual") <= threshold).cast("int")).alias("n_inliers"))

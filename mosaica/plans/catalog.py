@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from mosaica.plans import queries_joins, queries_models, queries_rasters, queries_tables
+
 QUERIES: dict = {}
 ORACLE: dict = {}
+for _module in (queries_tables, queries_joins, queries_rasters, queries_models):
+    QUERIES |= _module.QUERIES
+    ORACLE |= _module.ORACLE
