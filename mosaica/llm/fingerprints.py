@@ -65,21 +65,21 @@ def as_text(signature: Column) -> Column:
 
 
 def successors(docs: DataFrame) -> DataFrame:
-    """(k, next_k, n): rows (k, id, n) in descending id, each with the one that follows, the first after the last.
+    """(k, id, next_k, n): rows (k, id, n) in descending id, each with the one that follows, the first after the last.
 
     Range partitions are numbered inside and shifted by the sizes of those before them; only the sizes, a row a partition, meet in one
     task.
     """
     at = F.monotonically_increasing_id()
     ordered = docs.repartitionByRange(4 * partitions(docs), F.col("id").desc_nulls_last(), "k").sortWithinPartitions(F.col("id").desc_nulls_last(), "k")
-    placed = checkpoint(ordered.select("k", "n", at.alias("at")))
+    placed = checkpoint(ordered.select("k", "id", "n", at.alias("at")))
     part = F.shiftright("at", 33)
     sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("size"))
     before = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"))
-    numbered = placed.withColumn("part", part).join(F.broadcast(before), "part").select("k", "n", (F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("row"))
+    numbered = placed.withColumn("part", part).join(F.broadcast(before), "part").select("k", "id", "n", (F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).alias("row"))
     total = placed.count()
     following = numbered.select(F.col("k").alias("next_k"), F.pmod(F.col("row") - 1, F.lit(max(1, total))).alias("row"))
-    return numbered.join(following, "row").select("k", "next_k", "n")
+    return numbered.join(following, "row").select("k", "id", "next_k", "n")
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES) -> DataFrame:
@@ -93,9 +93,10 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     raw = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("t")).withColumn("k", F.xxhash64("id", "t"))
     order = successors(raw.groupBy("k", "id").agg(F.max(F.char_length("t")).alias("n")))
     order = checkpoint(order.withColumn("h", F.floor(F.col("n") / 2).cast("int")))
-    heads = raw.select(F.col("k").alias("next_k"), "t").join(order.select("k", "next_k", "h"), "next_k").select("k", F.expr("left(t, h)").alias("head")).dropDuplicates(["k"])
-    own = raw.select("k", "id", "t").join(order, "k")
-    edited = own.join(heads, "k").select("k", "id", "next_k", "n", "t", F.concat(F.expr("left(t, n - h)"), "head").alias("edited"))
+    texts = raw.select("k", "t")  # both joins read one shuffle of the texts by k
+    heads = order.select(F.col("k").alias("to"), "next_k", "h").join(texts, F.col("next_k") == F.col("k")).select("to", F.expr("left(t, h)").alias("head"))
+    own = order.join(texts, "k")
+    edited = own.join(heads, F.col("k") == F.col("to")).select("k", "id", "next_k", "n", "t", F.concat(F.expr("left(t, n - h)"), "head").alias("edited")).dropDuplicates(["k"])
     hashed = edited.select("k", "id", "next_k", "n", F.sha2("edited", 256).alias("sha"), "t", "edited")
     rows = signatures(hashed, ["k", "id", "next_k", "n", "sha"], ["t", "edited"], samples)
     rows = rows.withColumnRenamed("signature_t", "sig").withColumnRenamed("signature_edited", "edited_sig")
