@@ -33,14 +33,14 @@ def design(df: DataFrame, types: list[str], covariate: str | None = None, pairs:
 
 
 def gram(df: DataFrame, keys: list[str], y: Column, X: list[Column], weight: Column | None = None) -> DataFrame:
-    """(keys, n, g): the upper triangle of [X y]' W [X y], row by row, from the complete rows of each group."""
+    """(keys, n, _gram): the upper triangle of [X y]' W [X y], row by row, from the complete rows of each group."""
     cols = [*X, y]
     w = F.lit(1.0) if weight is None else weight
     ok = w.isNotNull()
     for c in cols:
         ok = ok & c.isNotNull()
     sums = [F.sum(F.when(ok, w * a * b)) for i, a in enumerate(cols) for b in cols[i:]]
-    return df.groupBy(*keys).agg(F.count(F.when(ok, 1)).alias("n"), F.array(*sums).alias("g"))
+    return df.groupBy(*keys).agg(F.count(F.when(ok, 1)).alias("n"), F.array(*sums).alias("_gram"))
 
 
 def _square(g: list[float], k: int) -> np.ndarray:
@@ -53,9 +53,8 @@ def _fit_rows(it: Iterator[pd.DataFrame], keys: list[str], names: list[str], nor
     k = len(names)
     for pdf in it:
         out = []
-        for r in pdf.itertuples(index=False):
-            row = r._asdict() if hasattr(r, "_asdict") else dict(zip(pdf.columns, r))
-            m, n = _square(row["g"], k + 1), int(row["n"])
+        for row in pdf.to_dict("records"):
+            m, n = _square(row["_gram"], k + 1), int(row["n"])
             xx, xy, yy = m[:k, :k], m[:k, k], m[k, k]
             status, beta, se = "ok", np.full(k, np.nan), np.full(k, np.nan)
             d = np.sqrt(np.diag(xx)) if np.isfinite(xx).all() else np.zeros(k)
@@ -178,7 +177,7 @@ def _lag_rows(it: Iterator[pd.DataFrame], keys: list[str], names: list[str]) ->
     for pdf in it:
         out = []
         for row in pdf.to_dict("records"):
-            m, n, mom = _square(row["g"], k + 2), int(row["n"]), np.array(row["moments"], float)
+            m, n, mom = _square(row["_gram"], k + 2), int(row["n"]), np.array(row["moments"], float)
             terms, status = ["rho", *names], "ok"
             est = se = np.full(k + 1, np.nan)
             ll = s2 = np.nan

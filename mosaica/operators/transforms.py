@@ -255,7 +255,7 @@ def icp(a: DataFrame, b: DataFrame, keys: list[str], kind: str = "affine", tol:
         fit = cut(fit_of(pairs, keys).where("m is not null").select(*keys, "m"))
         moved = start.join(fit, keys).withColumn("nx", F.col("m.a") * F.col("p1x") + F.col("m.b") * F.col("p1y") + F.col("m.tx")).withColumn("ny", F.col("m.c") * F.col("p1x") + F.col("m.d") * F.col("p1y") + F.col("m.ty"))
         moved = cut(moved)
-        worst = moved.groupBy(*keys).agg(F.avg(F.hypot(F.col("nx") - F.col("x"), F.col("ny") - F.col("y"))).alias("s")).agg(F.max("s")).first()[0]
+        worst = moved.groupBy(*keys).agg(F.avg(F.hypot(F.col("nx") - F.col("x"), F.col("ny") - F.col("y"))).alias("_moved")).agg(F.max("_moved")).first()[0]
         start = moved.select(*keys, "id", "p1x", "p1y", F.col("nx").alias("x"), F.col("ny").alias("y"))
         if worst is None or worst < tol:
             break

@@ -43,14 +43,14 @@ def read_csv_per_sample(spark: SparkSession, path: str, suffix: str, schema: str
 
 def read_metric_json(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     """(sample, metric, value) of flat JSON objects, one a file, whose numbers are written as strings."""
-    raw = spark.read.option("wholetext", True).text(path).select(sample_from_path(suffix).alias("sample"), F.from_json("value", "map<string,string>").alias("m"))
+    raw = spark.read.text(path, wholetext=True).select(sample_from_path(suffix).alias("sample"), F.from_json("value", "map<string,string>").alias("m"))
     return raw.select("sample", F.explode("m").alias("metric", "v")).select("sample", "metric", F.col("v").try_cast("double").alias("value"))
 
 
 def read_geojson(spark: SparkSession, path: str, layer: str) -> DataFrame:
     """(layer, name, ring) of files that hold one Feature or a list of them."""
     feature = "struct<geometry:struct<type:string,coordinates:array<array<array<double>>>>,properties:struct<name:string>>"
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     listed = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("["), "value", F.lit("]")))
     f = text.select(F.explode(F.from_json(listed, f"array<{feature}>")).alias("f"))
     ring = F.transform(F.get("f.geometry.coordinates", F.lit(0)), lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
