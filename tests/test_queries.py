@@ -3,6 +3,7 @@
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 
 from mosaica.plans import catalog
@@ -12,7 +13,7 @@ TABLES = "region nation customer supplier part orders lineitem events".split()
 
 def rows(df):
     def plain(v):
-        if v is None or v != v:
+        if v is None or v is pd.NA or v != v:
             return None
         if isinstance(v, bool):
             return str(v)
