@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mosaica.llm.common import checkpoint, table, text_or_empty
+from mosaica.llm.common import checkpoint, stored, table, text_or_empty
 from mosaica.llm.graph import connected_components
 
 BYTES = 8
@@ -131,6 +131,74 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+# ---- word shingles at a Jaccard similarity: what 64 SimHash bits cannot decide (a similarity of 0.8 differs in about ten bits) ----
+
+POSITIONS, BAND = 40, 4  # least hashes of a text's shingles; positions that make one posting key
+_ODDS = np.random.default_rng(11).integers(1, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """Distinct 64-bit hashes of the word shingles, sorted; a shorter text is one shingle, a text without words has none."""
+    words = text.lower().split()
+    if not words:
+        return np.array([], np.uint64)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    k = min(width, len(words))
+    g = np.zeros(len(h) - k + 1, np.uint64)
+    for j in range(k):
+        g = g * np.uint64(0x9E3779B97F4A7C15) + h[j : len(h) - k + 1 + j]
+    g ^= g >> np.uint64(29)
+    g *= np.uint64(0xBF58476D1CE4E5B9)
+    return np.unique(g ^ (g >> np.uint64(32)))
+
+
+def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sig = []
+        for t in b.column(1).to_pylist():
+            g = shingle_hashes(t, width)
+            sig.append(np.array([(g * a).min() >> np.uint64(32) for a in _ODDS], np.uint64).astype(np.uint32).view(np.int32) if len(g) else None)
+        out = pa.RecordBatch.from_arrays([b.column(0), pa.array(sig, pa.list_(pa.int32()))], ["id", "sig"])
+        yield out.filter(pa.array([x is not None for x in sig], pa.bool_()))
+
+
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        s = [np.unique((shingle_hashes(t, width) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.list_(pa.int32()))], ["id", "s"])
+
+
+def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id_col): ids of rows whose shingle set has at least this Jaccard similarity to that of a row with a smaller id.
+
+    A positional index again: POSITIONS least hashes a text, each BAND neighbouring ones a posting key. The members of a list are held
+    against its smallest id alone, so no list gives more pairs than members; pairs must share enough positions (the count filter), then
+    the whole shingle sets are compared. Rows found leave, and the lists are formed anew until none is found. A pair at the
+    threshold shares a list with a probability of 0.995. Texts without words and null ids are never found.
+    """
+    raw = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).cast("binary").alias("t")).where("id is not null")
+    left = stored(raw.mapInArrow(lambda it: _signed(it, width), "id long, sig array<int>"))
+    least = int(POSITIONS * (similarity - 0.2))  # three deviations below what a pair at the threshold shares
+    keys = [F.xxhash64(*[F.col("sig")[i + j] for j in range(BAND)]) for i in range(0, POSITIONS, BAND)]
+    gone = None
+    while True:
+        banded = left.select("id", F.posexplode(F.array(*keys)).alias("band", "h"))
+        lists = banded.groupBy("band", "h").agg(F.min("id").alias("rep"), F.max("id").alias("top")).where("rep < top").drop("top")
+        pairs = banded.join(lists, ["band", "h"]).where("id > rep").select("id", "rep").distinct()
+        shared = F.aggregate(F.zip_with("sig", "rep_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+        tallied = pairs.join(left, "id").join(left.select(F.col("id").alias("rep"), F.col("sig").alias("rep_sig")), "rep")
+        pairs = stored(tallied.where(shared >= least).select("id", "rep"))
+        wanted = pairs.select("id").unionByName(pairs.select(F.col("rep").alias("id"))).distinct()
+        sets = stored(raw.join(wanted, "id").select("id", "t").mapInArrow(lambda it: _sets(it, width), "id long, s array<int>"))
+        both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("rep"), F.col("s").alias("rep_s")), "rep")
+        common = F.size(F.array_intersect("s", "rep_s"))
+        found = stored(both.where(common / (F.size("s") + F.size("rep_s") - common) >= similarity).select("id").distinct())
+        gone = found if gone is None else gone.unionByName(found)
+        if found.isEmpty():
+            return gone.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col))
+        left = stored(left.join(found, "id", "left_anti"))
+
+
 def op2_simhash(spark, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 

@@ -346,6 +346,40 @@ def test_pipeline(spark, sf):
         last[k] = max(last.get(k, i), i)
     exact = {i: kept[i] for i in last.values()}
     fps = {i: brute_fingerprint(t, 3) for i, t in exact.items()}
-    near = [i for i in fps if not any((fps[i] ^ fps[j]).bit_count() <= 2 for j in fps if j < i)]
-    assert {r.doc_id for r in rows} == set(near)
+    near = {i for i in fps if not any((fps[i] ^ fps[j]).bit_count() <= 2 for j in fps if j < i)}
+    stay = {r.doc_id for r in rows}
+    assert stay <= near
+    sets = {i: five_words(exact[i]) for i in near}
+    for i in near:
+        similar = any(jaccard(sets[i], sets[j]) >= 0.8 for j in near if j < i)
+        assert similar or i in stay  # only near-duplicates go
+        assert i not in stay or not any(jaccard(sets[i], sets[j]) >= 0.8 for j in stay if j < i)
     assert c.run(spark, sf).schema.names == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+def five_words(text):
+    w = text.encode().lower().split()
+    return {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 0.0
+
+
+def test_similar_documents(spark):
+    rng = random.Random(7)
+    docs = [(None, "no id " * 40), (0, None), (1, ""), (2, "two words")]
+    for g in range(8):
+        base = [f"g{g}w{rng.randint(0, 400)}" for _ in range(300)]
+        for c in range(5):
+            w = list(base)
+            for _ in range(rng.choice([0, 1, 2, 6, 12])):
+                w[rng.randrange(300)] = f"edit{rng.random()}"
+            docs.append((rng.randrange(1000) * 100 + g * 10 + c, " ".join(w)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    gone = {r[0] for r in simhash.similar_to_smaller(df).collect()}
+    sets = {i: five_words(t) for i, t in docs if i is not None and t}
+    want = {i for i in sets if any(jaccard(sets[i], sets[j]) >= 0.8 for j in sets if j < i)}
+    assert gone <= want and not any(jaccard(sets[i], sets[j]) >= 0.8 for i in sets.keys() - gone for j in sets.keys() - gone if j < i)
+    assert simhash.similar_to_smaller(empty(spark)).collect() == []
+    assert {r[0] for r in simhash.similar_to_smaller(clashing(spark)).collect()} == {r[0] for r in simhash.similar_to_smaller(awkward(spark)).collect()}
