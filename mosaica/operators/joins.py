@@ -37,8 +37,10 @@ def cell_pixel_overlap(cells: DataFrame, pixels: DataFrame, spacing: float, shri
     side = spacing * shrink
     inner = side if single_shrink else side * shrink
     half = F.lit(side / 2)
-    c = cells.withColumn("_a", G.ring_area(F.col("ring"))).where("_a > 0").withColumn("_c", G.ring_centroid(F.col("ring")))
-    c = c.select("sample_id", "cell_idx", "ring", "_a", F.col("_c.x").alias("_cx"), F.col("_c.y").alias("_cy"), G.ring_bbox(F.col("ring")).alias("_b"))
+    # exploding an array of one element keeps the filters that joins infer above it, so a ring's figures are computed once
+    figures = F.struct(G.ring_area(F.col("ring")).alias("a"), G.ring_centroid(F.col("ring")).alias("c"), G.ring_bbox(F.col("ring")).alias("b"))
+    c = cells.select("sample_id", "cell_idx", "ring", F.explode(F.array(figures)).alias("_f")).where("_f.a > 0")
+    c = c.select("sample_id", "cell_idx", "ring", F.col("_f.a").alias("_a"), F.col("_f.c.x").alias("_cx"), F.col("_f.c.y").alias("_cy"), F.col("_f.b").alias("_b"))
     c = _bucket(c, F.col("_cx"), F.col("_cy"), max_dist)
     p = pixels.select("sample_id", "ims_idx", (F.col("x") + half).alias("_px"), (F.col("y") + half).alias("_py"))
     p = _around(p, F.col("_px"), F.col("_py"), max_dist)
@@ -46,7 +48,7 @@ def cell_pixel_overlap(cells: DataFrame, pixels: DataFrame, spacing: float, shri
     r = F.lit(inner / 2)
     meets = (F.col("_b.x0") < F.col("_px") + r) & (F.col("_b.x1") > F.col("_px") - r) & (F.col("_b.y0") < F.col("_py") + r) & (F.col("_b.y1") > F.col("_py") - r)
     area = G.box_overlap_area(F.col("ring"), F.col("_px") - r, F.col("_py") - r, F.col("_px") + r, F.col("_py") + r)
-    out = near.where(meets).select("sample_id", "cell_idx", "ims_idx", (area / F.col("_a")).alias("overlap"), F.col("_a").alias("cell_area"))
+    out = near.where(meets).select("sample_id", "cell_idx", "ims_idx", F.explode(F.array(area / F.col("_a"))).alias("overlap"), F.col("_a").alias("cell_area"))
     return out.where("overlap > 0")
 
 
