@@ -286,4 +286,14 @@ def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op5_substring_dedup": op5_substring_dedup}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op5_substring_dedup": r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+h AS (SELECT doc_id, i, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS win FROM p),
+f AS (SELECT win, min(doc_id) AS first FROM h WHERE i <= n - 49 GROUP BY win),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM h JOIN f USING (win) WHERE i <= n - 49 AND first < doc_id),
+k AS (SELECT p.doc_id, count(c.i) AS gone, string_agg(CASE WHEN c.i IS NULL THEN word END, ' ' ORDER BY p.i) AS kept FROM p LEFT JOIN c USING (doc_id, i) GROUP BY p.doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(gone, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
+}

@@ -81,4 +81,17 @@ def op9_url_filter(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_url_filter": op9_url_filter}
-ORACLE: dict[str, str] = {}
+# The tables hold no redirect or canonical links (tests cover those), so a component is what shares an alias key.
+ORACLE = {
+    "op9_url_filter": r"""
+WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+rules(what, rule, h, p) AS (VALUES ('block', 'com/en/', 'com', '/en/'), ('allow', 'example.com/en/7', 'example.com', '/en/7'), ('allow', 'net/de/', 'net', '/de/'),
+  ('block', 'example.net/de/8', 'example.net', '/de/8'), ('block', 'org/es/', 'org', '/es/')),
+b AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(what, length(rule)) AS what FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id),
+a AS (SELECT *, regexp_replace(host, '^www\.|:[0-9]*$', '', 'g') || regexp_replace(path, '(/|/?(index)?\.html?)$', '') AS alias FROM u LEFT JOIN b USING (page_id)),
+x AS (SELECT DISTINCT alias FROM a WHERE what = 'block' AND host <> '')
+SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN what WHEN host <> '' AND alias IN (SELECT alias FROM x) THEN 'block' ELSE 'allow' END AS verdict,
+CASE WHEN rule IS NOT NULL THEN 'rule' WHEN host <> '' AND alias IN (SELECT alias FROM x) THEN 'alias' ELSE 'default' END AS decided_by FROM a
+"""
+}
