@@ -118,7 +118,7 @@ def match_pixels_swapped(spark, sf_dir):
 
 @query(with_sql("matches") + """
 , m AS (SELECT sample, count(*) AS n, regr_slope(p2x, p1x) AS s FROM matches WHERE NOT is_error GROUP BY sample)
-SELECT sample, n, round(1.01, 6) AS a, round(0.0, 6) AS b, round(0.0, 6) AS c, round(1.0, 6) AS d, round(2.0, 4) AS tx, round(-1.0, 4) AS ty FROM m""")
+SELECT sample, n, CAST(1.01 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS c, CAST(1 AS DOUBLE) AS d, CAST(2 AS DOUBLE) AS tx, CAST(-1 AS DOUBLE) AS ty FROM m""")
 def fit_affine(spark, sf_dir):
     fit = transforms.fit_affine(fixture(spark, sf_dir, "matches").where("not is_error"), ["sample"])
     plus = lambda c, k: (F.round(f"m.{c}", k) + 0.0).alias(c)

@@ -1,0 +1 @@
+"""Empty: the blueprint holds no stream."""
