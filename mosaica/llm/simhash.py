@@ -169,34 +169,51 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
 
 
 def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id_col): ids of rows whose shingle set has at least this Jaccard similarity to that of a row with a smaller id.
-
-    A positional index again: POSITIONS least hashes a text, each BAND neighbouring ones a posting key. The members of a list are held
-    against its smallest id alone, so no list gives more pairs than members; pairs must share enough positions (the count filter), then
-    the whole shingle sets are compared. Rows found leave, and the lists are formed anew until none is found. A pair at the
-    threshold shares a list with a probability of 0.995. Texts without words and null ids are never found.
+    """(id_col): ids of rows whose shingle set has at least this Jaccard similarity to that of a row with a smaller id, gone itself or not.
+
+    A positional index again: POSITIONS least hashes a text, each BAND neighbouring ones a posting key. First every member of a list is
+    held against the list's smallest id, which settles most copies at one pair a member. Members not found so are then held against all
+    smaller members of their lists, in steps: a member's step is drawn by its hash, each step about four times as large as the one before, and
+    rows found leave as the ones sought but stay as the ones held against. So every pair on a list is compared unless its larger row was found already.
+    Pairs must share enough positions (the count filter), then the whole shingle sets are compared. A pair at the threshold
+    shares a list with a probability of 0.995 and passes the count filter with one of 0.999. Texts without words and null ids are never found.
     """
     raw = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).cast("binary").alias("t")).where("id is not null")
-    left = stored(raw.mapInArrow(lambda it: _signed(it, width), "id long, sig array<int>"))
+    signed = stored(raw.mapInArrow(lambda it: _signed(it, width), "id long, sig array<int>"))
     least = int(POSITIONS * (similarity - 0.2))  # three deviations below what a pair at the threshold shares
     keys = [F.xxhash64(*[F.col("sig")[i + j] for j in range(BAND)]) for i in range(0, POSITIONS, BAND)]
-    gone = None
-    while True:
-        banded = left.select("id", F.posexplode(F.array(*keys)).alias("band", "h"))
-        lists = banded.groupBy("band", "h").agg(F.min("id").alias("rep"), F.max("id").alias("top")).where("rep < top").drop("top")
-        pairs = banded.join(lists, ["band", "h"]).where("id > rep").select("id", "rep").distinct()
-        shared = F.aggregate(F.zip_with("sig", "rep_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-        tallied = pairs.join(left, "id").join(left.select(F.col("id").alias("rep"), F.col("sig").alias("rep_sig")), "rep")
-        pairs = stored(tallied.where(shared >= least).select("id", "rep"))
+    shared = F.aggregate(F.zip_with("sig", "rep_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        """(id) of the pairs (id, rep) whose whole sets are similar."""
         wanted = pairs.select("id").unionByName(pairs.select(F.col("rep").alias("id"))).distinct()
         sets = stored(raw.join(wanted, "id").select("id", "t").mapInArrow(lambda it: _sets(it, width), "id long, s array<int>"))
         both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("rep"), F.col("s").alias("rep_s")), "rep")
         common = F.size(F.array_intersect("s", "rep_s"))
-        found = stored(both.where(common / (F.size("s") + F.size("rep_s") - common) >= similarity).select("id").distinct())
-        gone = found if gone is None else gone.unionByName(found)
-        if found.isEmpty():
-            return gone.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col))
-        left = stored(left.join(found, "id", "left_anti"))
+        return stored(both.where(common / (F.size("s") + F.size("rep_s") - common) >= similarity).select("id").distinct())
+
+    banded = signed.select("id", F.posexplode(F.array(*keys)).alias("band", "h"))
+    lists = stored(banded.groupBy("band", "h").agg(F.min("id").alias("rep"), F.max("id").alias("top"), F.count("*").alias("n")).where("rep < top"))
+    pairs = banded.join(lists.select("band", "h", "rep"), ["band", "h"]).where("id > rep").select("id", "rep").distinct()
+    tallied = pairs.join(signed, "id").join(signed.select(F.col("id").alias("rep"), F.col("sig").alias("rep_sig")), "rep")
+    gone = similar(stored(tallied.where(shared >= least).select("id", "rep")))
+
+    # What is left: rows with a smaller member on a list besides the one they were held against.
+    listed = banded.join(lists.where("n > 2").select("band", "h", F.col("rep").alias("low"), "n"), ["band", "h"])
+    left = stored(listed.where("id > low").join(gone, "id", "left_anti").select("id", "band", "h"))
+    tops = left.groupBy("band", "h").agg(F.max("id").alias("top"))
+    held = listed.where("id > low").join(tops, ["band", "h"]).where("id < top").select("id", "band", "h", "n")
+    # Step 0 takes a share 4**-(steps - 1) of the largest list's members, the last one three quarters.
+    most = held.agg(F.max("n")).first()[0]
+    steps = max(1, (int(most or 1).bit_length() - 3) // 2)
+    draw = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 40)) / float(1 << 40)
+    step = F.greatest(F.lit(0), F.lit(steps - 1) - F.floor(-F.log(4.0, draw + 1e-13))).cast("int")
+    held = stored(held.join(signed, "id").select(F.col("id").alias("rep"), "band", "h", F.col("sig").alias("rep_sig"), step.alias("step")))
+    for at in range(steps if most else 0):
+        sought = left.join(gone, "id", "left_anti").join(signed, "id")
+        met = sought.join(held.where(F.col("step") == at).drop("step"), ["band", "h"]).where("id > rep").where(shared >= least)
+        gone = gone.unionByName(similar(stored(met.select("id", "rep").distinct())))
+    return gone.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col)).distinct()
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

@@ -383,3 +383,29 @@ def test_similar_documents(spark):
     assert gone <= want and not any(jaccard(sets[i], sets[j]) >= 0.8 for i in sets.keys() - gone for j in sets.keys() - gone if j < i)
     assert simhash.similar_to_smaller(empty(spark)).collect() == []
     assert {r[0] for r in simhash.similar_to_smaller(clashing(spark)).collect()} == {r[0] for r in simhash.similar_to_smaller(awkward(spark)).collect()}
+
+
+def test_similar_documents_in_template_families(spark):
+    """Families around a similarity of 0.77 that hold closer pairs, and chains of edits: members of a list besides its smallest."""
+    rng = random.Random(5)
+    docs = []
+    for g in range(6):
+        base = [f"f{g}w{i}" for i in range(300)]
+        for v in range(20):
+            own = list(base)
+            at = 14 * v
+            own[at : at + 15] = [f"g{g}v{v}own{k}" for k in range(15)]
+            for c in range(2):  # the second is a near copy of the first, not of the family's smallest
+                w = list(own)
+                if c:
+                    w[(at + 100) % 280] = f"edit{rng.random()}"
+                docs.append((rng.randrange(10**6) * 1000 + len(docs), " ".join(w)))
+    chain = [f"c{i}" for i in range(300)]
+    for v in range(12):
+        chain[v * 25 : v * 25 + 12] = [f"c{v}new{k}" for k in range(12)]
+        docs.append((10**10 + v, " ".join(chain)))
+    sets = {i: five_words(t) for i, t in docs}
+    want = {i for i in sets if any(jaccard(sets[i], sets[j]) >= 0.8 for j in sets if j < i)}
+    assert any(0.75 <= jaccard(sets[docs[0][0]], sets[d[0]]) < 0.8 for d in docs[1:40])
+    got = [r[0] for r in simhash.similar_to_smaller(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
