@@ -91,18 +91,22 @@ def one_to_one(matches: DataFrame, left: str = "id", right: str = "other", score
     return out
 
 
-def thin_matches(matches: DataFrame, dmin: float, least: int = 5) -> DataFrame:
-    """Matches (id, p1x, p1y, p2x, p2y, d) of which none is nearer than dmin to a better one on either side; repeated until stable.
-    Fewer than `least` matches are returned unchanged."""
+def thin_matches(matches: DataFrame, dmin: float, least: int = 5, keys: list[str] = ()) -> DataFrame:
+    """Matches (keys, id, p1x, p1y, p2x, p2y, d; id unique) of which none is nearer than dmin to a better one of its group on either side;
+    repeated until stable. Groups of fewer than `least` matches are returned unchanged."""
+    keys = list(keys)
     m = cut(matches)
     n = m.count()
-    if n < least:
+    if keys:
+        large = cut(m.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= least).select(*keys))
+    elif n < least:
         return m
     for _ in range(MAX_ROUNDS):
         losers = []
+        tried = m.join(large, keys, "left_semi") if keys else m
         for a, b in (("p1x", "p1y"), ("p2x", "p2y")):
-            pts = m.select("id", F.col(a).alias("x"), F.col(b).alias("y"))
-            pairs = radius_self_join(pts, dmin).where(F.col("d") < dmin).select("id", "other")
+            pts = tried.select(*keys, "id", F.col(a).alias("x"), F.col(b).alias("y"))
+            pairs = radius_self_join(pts, dmin, keys).where(F.col("d") < dmin).select("id", "other")
             s = pairs.join(m.select("id", F.struct("d", "id").alias("s1")), "id").join(m.select(F.col("id").alias("other"), F.struct("d", "id").alias("s2")), "other")
             losers.append(s.select(F.when(F.col("s1") < F.col("s2"), F.col("other")).otherwise(F.col("id")).alias("id")))
         m = cut(m.join(reduce(DataFrame.unionByName, losers).distinct(), "id", "left_anti"))

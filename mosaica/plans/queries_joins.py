@@ -178,7 +178,7 @@ def pixel_runs(spark, sf_dir):
 @query()
 def pixel_regions(spark, sf_dir):
     """Regions of pixels of a sample at distance 1 or less; tested against a brute-force search."""
-    px = fixture(spark, sf_dir, "pixels").where("ims_idx % 3 <> 0").select("sample_id", "ims_idx", F.col("ims_x").cast("double").alias("x"), F.col("ims_y").cast("double").alias("y"))
+    px = fixture(spark, sf_dir, "pixels").select("sample_id", "ims_idx", F.col("ims_x").cast("double").alias("x"), F.col("ims_y").cast("double").alias("y"))
     return graphs.pixel_regions(px, 1.0, ["sample_id"])
 
 
@@ -198,8 +198,9 @@ def merge_points(spark, sf_dir):
 
 @query()
 def thin_matches(spark, sf_dir):
-    m = fixture(spark, sf_dir, "matches").where("sample = 1").withColumn("d", F.abs(F.col("p2x") - F.col("p1x")))
-    return graphs.thin_matches(m, 1.0).select("id", *_r("p1x", "p1y"))
+    """Matches of every sample, thinned within their sample; tested against a brute-force search."""
+    m = fixture(spark, sf_dir, "matches").withColumn("d", F.abs(F.col("p2x") - F.col("p1x")))
+    return graphs.thin_matches(m, 1.0, keys=["sample"]).select("id", *_r("p1x", "p1y"))
 
 
 @query(with_sql("boxes") + """

@@ -172,6 +172,12 @@ def assemble_metrics(spark, sf_dir):
     return joins.assemble_metrics([f1, f2], ["landmark_error", "region_dice"]).select("sample", *_r("landmark_error", "region_dice"))
 
 
+@query(with_sql("metrics") + " SELECT sample, round(landmark_error, 6) AS landmark_error, round(region_dice, 6) AS region_dice FROM metrics")
+def assemble_metrics_all(spark, sf_dir):
+    m = fixture(spark, sf_dir, "metrics")
+    return joins.assemble_metrics([m.select("sample", F.lit(c).alias("metric"), F.col(c).alias("value")) for c in ("landmark_error", "region_dice")], ["landmark_error", "region_dice"]).select("sample", *_r("landmark_error", "region_dice"))
+
+
 @query(with_sql("metrics") + """
 , m AS (SELECT median(region_error) AS med FROM metrics), b AS (SELECT any_value(med) + 1.4826 * median(abs(region_error - med)) AS bound FROM metrics, m)
 SELECT sample, round(region_error, 6) AS region_error FROM metrics, b WHERE region_error > bound""")
@@ -196,6 +202,16 @@ def guard_min_count(spark, sf_dir):
     return lookups.guard_min_count(m, ["sample"], {"mean": F.round(F.avg("p1x"), 6)}, 250)
 
 
+@query(with_sql("matches") + """
+, g AS (SELECT sample, is_error, count(*) AS n_rows, avg(p1x) AS mean FROM matches GROUP BY sample, is_error)
+SELECT sample, is_error, n_rows, CASE WHEN n_rows >= (SELECT avg(n_rows) FROM g) THEN round(mean, 6) END AS mean FROM g""")
+def guard_min_count_all(spark, sf_dir):
+    """All events; the minimum is the mean group size, which splits the groups at every scale."""
+    m, keys = fixture(spark, sf_dir, "matches"), ["sample", "is_error"]
+    least = m.groupBy(*keys).count().agg(F.avg("count")).first()[0] or 0  # one row
+    return lookups.guard_min_count(m, keys, {"mean": F.round(F.avg("p1x"), 6)}, least)
+
+
 @query(with_sql("cell_annotation") + """
 SELECT sample_id, cell_idx FROM (SELECT *, count(*) OVER (PARTITION BY cell_idx % 400) AS n FROM cell_annotation) WHERE n > 37""")
 def drop_rare_types(spark, sf_dir):

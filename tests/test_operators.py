@@ -231,3 +231,37 @@ def test_lookups(spark):
         lookups.select_channels(raster, panel, ["none"])
     wide = spark.createDataFrame([("s", 1.0, 2.0)], "sample string, a_to_b_quantile50 double, b_to_c_n double")
     assert lookups.select_step(wide, "a_to_b").columns == ["sample", "Q50"]
+
+
+def test_matches_thin_within_their_sample(spark):
+    rng = random.Random(4)
+    rows = [(s, i * 3 + s, rng.random() * 6, rng.random() * 6, rng.random() * 6, rng.random() * 6, rng.random()) for s in range(3) for i in range(4 if s == 2 else 40)]
+    got = {r.id for r in graphs.thin_matches(spark.createDataFrame(rows, "sample int, id int, p1x double, p1y double, p2x double, p2y double, d double"), 1.0, keys=["sample"]).collect()}
+    want = {r[1] for r in rows}
+    for s in range(2):  # the third has fewer than five
+        m = [r for r in rows if r[0] == s]
+        while True:
+            near = lambda a, b: math.dist(a[2:4], b[2:4]) < 1 or math.dist(a[4:6], b[4:6]) < 1
+            lost = {a[1] for a in m for b in m if a != b and near(a, b) and (b[6], b[1]) < (a[6], a[1])}
+            if not lost:
+                break
+            m, want = [r for r in m if r[1] not in lost], want - lost
+    assert got == want
+
+
+def test_queries_take_all_samples_and_pixels(spark, sf):
+    from mosaica.plans.fixtures import fixture
+    from mosaica.plans.queries_joins import QUERIES
+
+    px = {r.ims_idx: (r.sample_id, r.ims_x, r.ims_y) for r in fixture(spark, sf, "pixels").collect()}
+    at, region = {v: k for k, v in px.items()}, {}
+    for i in sorted(px):
+        todo = [] if i in region else [i]
+        while todo:
+            j = todo.pop()
+            if region.setdefault(j, i) == i:
+                s, x, y = px[j]
+                todo += [at[p] for p in ((s, x + 1, y), (s, x - 1, y), (s, x, y + 1), (s, x, y - 1)) if p in at and at[p] not in region]
+    assert {r.ims_idx: r.region for r in QUERIES["pixel_regions"](spark, sf).collect()} == region
+    sample = {r.id: r.sample for r in fixture(spark, sf, "matches").collect()}
+    assert {sample[r.id] for r in QUERIES["thin_matches"](spark, sf).collect()} == set(sample.values())
