@@ -74,12 +74,20 @@ def join_coords_peaks(coords: DataFrame, peaks: DataFrame) -> DataFrame:
     return coords.join(peaks.withColumnsRenamed({"x": "x_orig", "y": "y_orig"}), ["x_orig", "y_orig"])
 
 
-def match_pixels(pixels: DataFrame, coords: DataFrame) -> DataFrame:
-    """Pixels (x, y) whose position is among the coordinates, with axes swapped if only that finds as many as there are coordinates."""
-    straight = pixels.join(coords.select("x", "y").distinct(), ["x", "y"], "left_semi")
-    swapped = pixels.join(coords.select(F.col("y").alias("x"), F.col("x").alias("y")).distinct(), ["x", "y"], "left_semi")
-    n = coords.select("x", "y").distinct().count()
-    return straight if straight.count() == n or swapped.count() != n else swapped
+def match_pixels(pixels: DataFrame, coords: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """Pixels (keys, x, y) whose position is among the coordinates, with axes swapped if only that finds as many as there are coordinates;
+    with keys, each group is held against its own coordinates and swapped or not by itself."""
+    keys = list(keys)
+    at = coords.select(*keys, "x", "y").distinct()
+    straight = pixels.join(at, [*keys, "x", "y"], "left_semi")
+    swapped = pixels.join(at.select(*keys, F.col("y").alias("x"), F.col("x").alias("y")), [*keys, "x", "y"], "left_semi")
+    if not keys:
+        n = at.count()
+        return straight if straight.count() == n or swapped.count() != n else swapped
+    count = lambda df, name: df.groupBy(*keys).agg(F.count("*").alias(name))
+    found = count(at, "_n").join(count(swapped, "_swapped"), keys).join(count(straight, "_straight"), keys, "left")
+    turned = found.where("_swapped = _n and coalesce(_straight, 0) <> _n").select(*keys)
+    return straight.join(turned, keys, "left_anti").unionByName(swapped.join(turned, keys, "left_semi"))
 
 
 def reindex_region(pixels: DataFrame, matched: DataFrame, radius: float = 3.0) -> DataFrame:

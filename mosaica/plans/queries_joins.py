@@ -116,6 +116,12 @@ def match_pixels_swapped(spark, sf_dir):
     return joins.match_pixels(px, px.select(F.col("y").alias("x"), F.col("x").alias("y"))).select("ims_idx")
 
 
+@query(with_sql("pixels") + " SELECT sample_id, ims_idx FROM pixels")
+def match_pixels_all_samples(spark, sf_dir):
+    px = fixture(spark, sf_dir, "pixels").select("sample_id", "ims_idx", F.col("ims_x").alias("x"), F.col("ims_y").alias("y"))
+    return joins.match_pixels(px, px.select("sample_id", F.col("y").alias("x"), F.col("x").alias("y")), ["sample_id"]).select("sample_id", "ims_idx")
+
+
 @query(with_sql("matches") + """
 , m AS (SELECT sample, count(*) AS n, regr_slope(p2x, p1x) AS s FROM matches WHERE NOT is_error GROUP BY sample)
 SELECT sample, n, CAST(1.01 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS c, CAST(1 AS DOUBLE) AS d, CAST(2 AS DOUBLE) AS tx, CAST(-1 AS DOUBLE) AS ty FROM m""")

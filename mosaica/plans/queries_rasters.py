@@ -92,6 +92,15 @@ def resample_shift(spark, sf_dir):
     return moved.where("value <> 0").select((F.col("row") + 1).alias("row"), (F.col("col") + 2).alias("col"), F.round("value", 4).alias("value"))
 
 
+@query(with_sql("raster") + " SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col, round(value, 4) AS value FROM raster WHERE channel = 1 AND value <> 0")
+def resample_shift_full(spark, sf_dir):
+    """The shift over the raster's whole extent."""
+    r = fixture(spark, sf_dir, "raster").where("channel = 1")
+    e = r.agg(*[F.coalesce(f(c), F.lit(0)) for c in ("row", "col") for f in (F.min, F.max)]).first()  # one row
+    moved = rasters.resample(r, (1, 0, 0, 1, 2, 1), (e[0] - 1, e[1]), (e[2] - 2, e[3] - 1))
+    return moved.where("value <> 0").select((F.col("row") + 1).alias("row"), (F.col("col") + 2).alias("col"), F.round("value", 4).alias("value"))
+
+
 @query(with_sql("raster") + " SELECT l AS level, CAST(row / power(2, l) AS INT) AS row, CAST(col / power(2, l) AS INT) AS col, round(value, 4) AS value FROM raster, (SELECT unnest([0, 1, 2]) AS l) WHERE channel = 1 AND row % power(2, l) = 0 AND col % power(2, l) = 0")
 def pyramid(spark, sf_dir):
     return rasters.pyramid(fixture(spark, sf_dir, "raster").where("channel = 1").drop("channel"), 3).select("level", "row", "col", F.round("value", 4).alias("value"))

@@ -265,3 +265,17 @@ def test_queries_take_all_samples_and_pixels(spark, sf):
     assert {r.ims_idx: r.region for r in QUERIES["pixel_regions"](spark, sf).collect()} == region
     sample = {r.id: r.sample for r in fixture(spark, sf, "matches").collect()}
     assert {sample[r.id] for r in QUERIES["thin_matches"](spark, sf).collect()} == set(sample.values())
+
+
+def test_match_pixels_by_group(spark):
+    px = spark.createDataFrame([("a", 1, 0, 5), ("a", 2, 1, 5), ("b", 3, 0, 5), ("b", 4, 1, 7)], "s string, ims_idx int, x int, y int")
+    at = spark.createDataFrame([("a", 5, 0), ("a", 5, 1), ("b", 0, 5), ("c", 1, 1)], "s string, x int, y int")
+    assert {(r.s, r.ims_idx) for r in joins.match_pixels(px, at, ["s"]).collect()} == {("a", 1), ("a", 2), ("b", 3)}
+
+
+def test_whole_job_queries(spark, sf):
+    from mosaica.plans.catalog import QUERIES
+    from mosaica.plans.fixtures import fixture
+
+    assert QUERIES["match_pixels_all_samples"](spark, sf).count() == fixture(spark, sf, "pixels").count()
+    assert QUERIES["resample_shift_full"](spark, sf).count() == fixture(spark, sf, "raster").where("channel = 1").count()
