@@ -258,7 +258,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     arrow = to_arrow_type(kind)
     raw = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_or_empty(text_col)).alias("k"), text_or_empty(text_col).cast("binary").alias("t"))
     cut = raw.mapInArrow(lambda it: _pieces(it, path, capacity, arrow), f"id {kind.simpleString()}, k long, piece int, start long, length long, ids_crc32 long")
-    pieces = stored(cut)
+    pieces = stored(cut.dropDuplicates(["k", "piece"]))  # rows equal in id and text are one document
     return pack(pieces, capacity, ["id"]).withColumnRenamed("id", id_col)
 
 

@@ -178,8 +178,9 @@ def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Pairs must share enough positions (the count filter), then the whole shingle sets are compared. A pair at the threshold
     shares a list with a probability of 0.995 and passes the count filter with one of 0.999. Texts without words and null ids are never found.
     """
-    raw = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).cast("binary").alias("t")).where("id is not null")
-    signed = stored(raw.mapInArrow(lambda it: _signed(it, width), "id long, sig array<int>"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    raw = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("t")).where("id is not null")
+    signed = stored(raw.mapInArrow(lambda it: _signed(it, width), f"id {kind}, sig array<int>"))
     least = int(POSITIONS * (similarity - 0.2))  # three deviations below what a pair at the threshold shares
     keys = [F.xxhash64(*[F.col("sig")[i + j] for j in range(BAND)]) for i in range(0, POSITIONS, BAND)]
     shared = F.aggregate(F.zip_with("sig", "rep_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
@@ -187,7 +188,7 @@ def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def similar(pairs: DataFrame) -> DataFrame:
         """(id) of the pairs (id, rep) whose whole sets are similar."""
         wanted = pairs.select("id").unionByName(pairs.select(F.col("rep").alias("id"))).distinct()
-        sets = stored(raw.join(wanted, "id").select("id", "t").mapInArrow(lambda it: _sets(it, width), "id long, s array<int>"))
+        sets = stored(raw.join(wanted, "id").select("id", "t").mapInArrow(lambda it: _sets(it, width), f"id {kind}, s array<int>"))
         both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("rep"), F.col("s").alias("rep_s")), "rep")
         common = F.size(F.array_intersect("s", "rep_s"))
         return stored(both.where(common / (F.size("s") + F.size("rep_s") - common) >= similarity).select("id").distinct())
@@ -213,7 +214,7 @@ def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         sought = left.join(gone, "id", "left_anti").join(signed, "id")
         met = sought.join(held.where(F.col("step") == at).drop("step"), ["band", "h"]).where("id > rep").where(shared >= least)
         gone = gone.unionByName(similar(stored(met.select("id", "rep").distinct())))
-    return gone.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col)).distinct()
+    return gone.select(F.col("id").alias(id_col)).distinct()
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

@@ -409,3 +409,23 @@ def test_similar_documents_in_template_families(spark):
     assert any(0.75 <= jaccard(sets[docs[0][0]], sets[d[0]]) < 0.8 for d in docs[1:40])
     got = [r[0] for r in simhash.similar_to_smaller(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_pipeline_stages_take_null_and_repeated_ids(spark, sf):
+    import corpus_pipeline as c
+
+    docs = awkward(spark)
+    out = c.exact(spark, docs, sf)
+    want = {}
+    for r in docs.collect():
+        k = (r.text or "").lower() if (r.text or "").isascii() else r.text
+        want[k] = max(want.get(k, -1), -1 if r.doc_id is None else r.doc_id)
+    got = out.collect()
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in got) == sorted(want.values()) and len({r.text for r in got}) == len(got)
+    assert out.columns == docs.columns
+    words = [" ".join(f"{k}w{i}" for i in range(200)) for k in "abcd"]
+    rows = [(None, words[0]), (None, words[1]), (5, words[2]), (5, words[3]), (None, words[2] + " end")]
+    near = c.near(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf)
+    assert {(r.doc_id, r.text) for r in near.collect()} == set(rows[:4]) and near.columns == ["doc_id", "text"]
+    placed = c.packing(spark, c.secrets(spark, docs, sf), sf).select("doc_id", "piece", "start").collect()
+    assert len(placed) == len(set(placed)) and {r.doc_id for r in placed} == {r.doc_id for r in docs.collect()}
