@@ -11,8 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mosaica.llm.common import checkpoint, stored, table, text_or_empty
-from mosaica.llm.graph import connected_components
+from mosaica.llm.common import checkpoint, partitions, slices, stored, table, text_or_empty
+from mosaica.operators.components import connected_components
 
 BYTES = 8
 SEED = 42
@@ -41,7 +41,7 @@ def fingerprint(text: bytes, width: int) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches, "t"):
         fps = np.fromiter((fingerprint(t, width) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
 
@@ -55,13 +55,18 @@ def posting_masks(max_bits: int) -> list[int]:
 def link(fps: np.ndarray, max_bits: int) -> np.ndarray:
     """For the fingerprints of one posting list, the smallest one each is linked to within the list.
 
-    They share all but max_bits bytes, so there are at most 2**(8*max_bits) of them. Short lists compare
-    all pairs; long ones look up every pattern of at most max_bits changed bits in a table of the list.
+    They share all but max_bits bytes, so there are at most 2**(8*max_bits) of them. In short lists the shared positional bytes of every pair
+    are tallied, and pairs that reach the guaranteed minimum are verified bit by bit; in long ones, where that would be too many pairs, every pattern of at
+    most max_bits changed bits is looked up in a table of the list, with the same result.
     """
     fps = np.sort(fps)
     label = np.arange(len(fps))
     if len(fps) <= 256:
-        near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= max_bits
+        places = fps.view(np.uint8).reshape(-1, BYTES)
+        tally = sum((places[:, p, None] == places[None, :, p]).astype(np.int8) for p in range(BYTES))
+        i, j = np.nonzero(tally >= BYTES - max_bits)
+        near = np.zeros(tally.shape, bool)
+        near[i, j] = np.bitwise_count(fps[i] ^ fps[j]) <= max_bits
         while True:
             new = np.where(near, label[None, :], len(fps)).min(1)
             if (new == label).all():
@@ -103,7 +108,8 @@ def fingerprint_links(fps: DataFrame, max_bits: int) -> DataFrame:
     bytes, 65,536 fingerprints for two bits, and gives at most one edge a fingerprint.
     """
     masks = posting_masks(max_bits)
-    index = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in masks])).alias("at", "shared"))
+    spread = fps.repartition(partitions(fps), "fp")  # a row becomes one for every choice of positions
+    index = spread.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in masks])).alias("at", "shared"))
     lists = index.groupBy("at", "shared").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1").select("fps")
     return lists.mapInArrow(lambda it: _links(it, max_bits), "a long, b long").distinct()
 
@@ -133,7 +139,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 # ---- word shingles at a Jaccard similarity: what 64 SimHash bits cannot decide (a similarity of 0.8 differs in about ten bits) ----
 
-POSITIONS, BAND = 40, 4  # least hashes of a text's shingles; positions that make one posting key
+POSITIONS, BAND = 40, 4  # least hashes of a text's shingles, 16 bits of each; positions that make one posting key
+SHORT_LIST = 16  # members up to which a list is compared at once
 _ODDS = np.random.default_rng(11).integers(1, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -153,17 +160,17 @@ def shingle_hashes(text: bytes, width: int) -> np.ndarray:
 
 
 def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches, "t"):
         sig = []
         for t in b.column(1).to_pylist():
             g = shingle_hashes(t, width)
-            sig.append(np.array([(g * a).min() >> np.uint64(32) for a in _ODDS], np.uint64).astype(np.uint32).view(np.int32) if len(g) else None)
-        out = pa.RecordBatch.from_arrays([b.column(0), pa.array(sig, pa.list_(pa.int32()))], ["id", "sig"])
+            sig.append(np.array([(g * a).min() >> np.uint64(48) for a in _ODDS], np.uint64).astype(np.uint16).view(np.int16) if len(g) else None)
+        out = pa.RecordBatch.from_arrays([b.column(0), pa.array(sig, pa.list_(pa.int16()))], ["id", "sig"])
         yield out.filter(pa.array([x is not None for x in sig], pa.bool_()))
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches, "t"):
         s = [np.unique((shingle_hashes(t, width) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.list_(pa.int32()))], ["id", "s"])
 
@@ -173,17 +180,20 @@ def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     A positional index again: POSITIONS least hashes a text, each BAND neighbouring ones a posting key. First every member of a list is
     held against the list's smallest id, which settles most copies at one pair a member. Members not found so are then held against all
-    smaller members of their lists, in steps: a member's step is drawn by its hash, each step about four times as large as the one before, and
-    rows found leave as the ones sought but stay as the ones held against. So every pair on a list is compared unless its larger row was found already.
+    smaller members of their lists: at once in lists of up to SHORT_LIST members, else in steps, a member's step being drawn by its hash, the first of some two
+    members of the longest list and each about four times as large as the one before; rows found leave as the ones sought but stay as the ones held
+    against. So every pair on a list is compared unless its larger row was found already, and once, on the first list that both are on.
     Pairs must share enough positions (the count filter), then the whole shingle sets are compared. A pair at the threshold
     shares a list with a probability of 0.995 and passes the count filter with one of 0.999. Texts without words and null ids are never found.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     raw = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("t")).where("id is not null")
-    signed = stored(raw.mapInArrow(lambda it: _signed(it, width), f"id {kind}, sig array<int>"))
+    signed = stored(raw.mapInArrow(lambda it: _signed(it, width), f"id {kind}, sig array<smallint>"))
     least = int(POSITIONS * (similarity - 0.2))  # three deviations below what a pair at the threshold shares
     keys = [F.xxhash64(*[F.col("sig")[i + j] for j in range(BAND)]) for i in range(0, POSITIONS, BAND)]
-    shared = F.aggregate(F.zip_with("sig", "rep_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    equal = F.zip_with("sig", "rep_sig", lambda x, y: (x == y).cast("int"))
+    shared = F.aggregate(equal, F.lit(0), lambda s, x: s + x)
+    whole = F.filter(F.array(*[F.lit(b) for b in range(POSITIONS // BAND)]), lambda b: F.forall(F.slice(equal, b * BAND + 1, F.lit(BAND)), lambda x: x == 1))
 
     def similar(pairs: DataFrame) -> DataFrame:
         """(id) of the pairs (id, rep) whose whole sets are similar."""
@@ -201,18 +211,19 @@ def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # What is left: rows with a smaller member on a list besides the one they were held against.
     listed = banded.join(lists.where("n > 2").select("band", "h", F.col("rep").alias("low"), "n"), ["band", "h"])
-    left = stored(listed.where("id > low").join(gone, "id", "left_anti").select("id", "band", "h"))
+    left = stored(listed.where("id > low").join(gone, "id", "left_anti").select("id", "band", "h", "n"))
     tops = left.groupBy("band", "h").agg(F.max("id").alias("top"))
     held = listed.where("id > low").join(tops, ["band", "h"]).where("id < top").select("id", "band", "h", "n")
-    # Step 0 takes a share 4**-(steps - 1) of the largest list's members, the last one three quarters.
-    most = held.agg(F.max("n")).first()[0]
-    steps = max(1, (int(most or 1).bit_length() - 3) // 2)
+    # Step 0 takes a share 4**-(steps - 1) of the longest list's members, the last one three quarters.
+    most = int(held.agg(F.max("n")).first()[0] or 0)
+    steps = 1 if most <= SHORT_LIST else (most.bit_length() + 1) // 2
     draw = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 40)) / float(1 << 40)
-    step = F.greatest(F.lit(0), F.lit(steps - 1) - F.floor(-F.log(4.0, draw + 1e-13))).cast("int")
+    step = F.when(F.col("n") <= SHORT_LIST, 0).otherwise(F.greatest(F.lit(0), F.lit(steps - 1) - F.floor(-F.log(4.0, draw + 1e-13))).cast("int"))
     held = stored(held.join(signed, "id").select(F.col("id").alias("rep"), "band", "h", F.col("sig").alias("rep_sig"), step.alias("step")))
     for at in range(steps if most else 0):
-        sought = left.join(gone, "id", "left_anti").join(signed, "id")
-        met = sought.join(held.where(F.col("step") == at).drop("step"), ["band", "h"]).where("id > rep").where(shared >= least)
+        wanted = left if at == 0 else left.where(F.col("n") > SHORT_LIST)
+        sought = wanted.drop("n").join(gone, "id", "left_anti").join(signed, "id")
+        met = sought.join(held.where(F.col("step") == at).drop("step"), ["band", "h"]).where("id > rep").where((shared >= least) & (F.get(whole, F.lit(0)) == F.col("band")))
         gone = gone.unionByName(similar(stored(met.select("id", "rep").distinct())))
     return gone.select(F.col("id").alias(id_col)).distinct()
 
