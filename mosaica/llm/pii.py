@@ -5,29 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mosaica.llm.common import table, text_or_empty
+from mosaica.llm.common import let, table, text_or_empty
 
-# Fixed patterns by kind, in the order of the kinds; iban is what the method adds.
+# Fixed patterns by kind, in the order of the kinds; iban is what the method adds. Every repeat that can run over a whole text is
+# possessive and starts where its run starts or the last match ended (\\G): what follows a run never matches inside it, so the matches are those of
+# the plain repeats, in linear time and without recursion.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
-    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
-    "card": r"[0-9]([\x20-]?[0-9])+",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]{4}){2,7}(\x20?[A-Z0-9]{1,3})?\b",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
 }
 BASE = ("email", "ip", "card", "phone")
 # What a text must hold for the pattern to be tried at all.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][0-9\x20-]{14}", "phone": r"\+[0-9]", "iban": r"[A-Z]{2}[0-9]{2}"}
 # Fixed words that raise the score of a span when they stand before it.
 CONTEXT = {
-    "email": "mail|contact|write",
+    "email": "e?mails?|contact|write",
     "ip": "ip|host|server|address",
-    "card": "card|credit|visa|pay",
-    "phone": "phone|tel|call|mobile|fax",
+    "card": "cards?|credit|visa|pay(ment)?",
+    "phone": "(tele)?phone|tel|call|mobile|fax",
     "iban": "iban|bank|account|konto",
 }
-SCORES = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9}
+SCORES = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8}
 CONTEXT_CHARS = 40
+REPORT = 0.75  # least score of a span that the method adds; spans of the fixed patterns stay whatever their score
+CHUNK = 64  # matches whose places are summed together
 _OPEN, _CLOSE = "\x01", "\x02"
 
 
@@ -62,26 +66,37 @@ def valid(kind: str, x: Column) -> Column:
     return F.lit(True)
 
 
+def _total(x: Column) -> Column:
+    return F.aggregate(x, F.lit(0), lambda a, v: a + v)
+
+
 def spans_of(text: Column, kind: str) -> Column:
-    """array<struct<kind, start, end, value>> of the pattern's leftmost matches that do not overlap, code points, end exclusive.
+    """array<struct<kind, start, end, value, before>> of the pattern's leftmost matches that do not overlap, code points, end exclusive;
+    before holds up to CONTEXT_CHARS characters in front, back to the match before.
 
     Matches are wrapped in two control characters, which no pattern contains (those of the text are turned into a third
-    first, so lengths stay), and the lengths of the pieces between them give the places.
+    first, so lengths stay), and the lengths of the pieces between them give the places: sums over whole chunks of matches, then
+    within a chunk, so that a text of many matches costs little more than its length.
     """
     clean = F.translate(text, _OPEN + _CLOSE, "\x03\x03")
     marked = F.regexp_replace(clean, f"({PATTERNS[kind]})", f"{_OPEN}$1{_CLOSE}")
-    parts = F.split(marked, f"[{_OPEN}{_CLOSE}]")  # text, match, text, match, ..., text
-    lengths = F.transform(parts, F.char_length)
-    state = "cast(struct(0 as at, array() as found) as struct<at:int,found:array<struct<s:int,e:int>>>)"
-    places = F.aggregate(
-        F.sequence(F.lit(0), F.size(parts) - 1), F.expr(state),
-        lambda a, i: F.struct(
-            (a.at + F.get(lengths, i)).alias("at"),
-            F.when(i % 2 == 1, F.concat(a.found, F.array(F.struct(a.at.alias("s"), (a.at + F.get(lengths, i)).alias("e"))))).otherwise(a.found).alias("found"),
-        ),
-        lambda a: a.found,
-    )
-    spans = F.transform(places, lambda p, n: F.struct(F.lit(kind).alias("kind"), p.s.alias("start"), p.e.alias("end"), F.get(parts, n * 2 + 1).alias("value")))
+
+    def places(parts: Column) -> Column:  # text, match, text, match, ..., text
+        return let(F.transform(parts, F.char_length), lambda lengths: let(
+            F.transform(F.sequence(F.lit(0), F.floor(F.size(parts) / (2 * CHUNK)).cast("int")), lambda c: _total(F.slice(lengths, c * (2 * CHUNK) + 1, F.lit(2 * CHUNK)))),
+            lambda sums: let(
+                F.aggregate(sums, F.array(F.lit(0)), lambda a, v: F.concat(a, F.array(F.element_at(a, -1) + v))),
+                lambda before: F.transform(
+                    F.filter(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(2)) - 1), lambda i: (i % 2 == 1) & (i < F.size(parts))),
+                    lambda i: let(
+                        F.get(before, F.floor(i / (2 * CHUNK)).cast("int")) + _total(F.slice(lengths, F.floor(i / (2 * CHUNK)).cast("int") * (2 * CHUNK) + 1, i % (2 * CHUNK))),
+                        lambda start: F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.get(lengths, i)).alias("end"), F.get(parts, i).alias("value"), F.lower(F.right(F.get(parts, i - 1), F.lit(CONTEXT_CHARS))).alias("before")),
+                    ),
+                ),
+            ),
+        ))
+
+    spans = let(F.split(marked, f"[{_OPEN}{_CLOSE}]"), places)
     return F.when(text.rlike(HINTS[kind]), F.filter(spans, lambda x: valid(kind, x.value)))
 
 
@@ -93,28 +108,27 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(id_col, found), one row per input row; found lists kind, start, end, value and score of every span, by kind, then start.
 
     Cards must pass Luhn, account numbers (iban) modulo 97. A span's score is its kind's, plus 0.15 if a word of the kind's
-    context stands within CONTEXT_CHARS code points before it (1 at most), and 0.1 less if an iban or card overlaps a phone number.
+    context stands within CONTEXT_CHARS code points before it and after the kind's span before (1 at most), and 0.1 less if a card or iban
+    continues a number that starts with +, as a phone number does. Account numbers are found only with a score of REPORT or more; the other kinds always.
     A null text counts as empty and has no spans. Repeated rows and null ids pass through; an empty table
     gives an empty result.
     """
     t = text_or_empty(text_col)
-    none = F.expr("cast(array() as array<struct<kind:string,start:int,end:int,value:string>>)")
+    none = F.expr("cast(array() as array<struct<kind:string,start:int,end:int,value:string,before:string>>)")
     out = docs.select(F.col(id_col).alias("id"), t.alias("t"))
     for kind in PATTERNS:
         out = out.withColumn(kind, F.coalesce(spans_of(F.col("t"), kind), none))
-    every = F.concat(*[F.col(k) for k in PATTERNS])
-
-    def score(x: Column) -> Column:
-        before = F.lower(F.substring(F.col("t"), F.greatest(F.lit(1), x.start + 1 - CONTEXT_CHARS), F.least(F.lit(CONTEXT_CHARS), x.start)))
-        base, near = F.lit(0.0), F.lit(False)
-        for k in PATTERNS:
-            base = F.when(x.kind == k, SCORES[k]).otherwise(base)
-            near = F.when(x.kind == k, before.rlike(CONTEXT[k])).otherwise(near)
-        clash = x.kind.isin("card", "iban") & F.exists(F.col("phone"), lambda p: (p.start < x.end) & (p.end > x.start))
-        return F.least(F.lit(1.0), F.round(base + F.when(near, 0.15).otherwise(0.0) - F.when(clash, 0.1).otherwise(0.0), 2))
-
-    found = F.transform(every, lambda x: F.struct(x.kind.alias("kind"), x.start.alias("start"), x.end.alias("end"), x.value.alias("value"), score(x).alias("score")))
-    return out.select(F.col("id").alias(id_col), found.alias("found"))
+
+    def scored(kind: str) -> Column:
+        def of(x: Column) -> Column:
+            near = F.when(x.before.rlike(rf"\b(?:{CONTEXT[kind]})\b"), 0.15).otherwise(0.0)
+            clash = F.when(x.before.rlike(r"\+[0-9\x20().-]*$"), 0.1).otherwise(0.0) if kind in ("card", "iban") else F.lit(0.0)
+            return F.struct(x.kind.alias("kind"), x.start.alias("start"), x.end.alias("end"), x.value.alias("value"), F.least(F.lit(1.0), F.round(F.lit(SCORES[kind]) + near - clash, 2)).alias("score"))
+
+        spans = F.transform(F.col(kind), of)
+        return spans if kind in BASE else F.filter(spans, lambda x: x.score >= REPORT)
+
+    return out.select(F.col("id").alias(id_col), F.concat(*[scored(k) for k in PATTERNS]).alias("found"))
 
 
 def op10_personal_data(spark, sf_dir: str) -> DataFrame:
