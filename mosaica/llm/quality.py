@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mosaica.llm.common import table, text_or_empty
+from mosaica.llm.common import slices, table, text_or_empty
 
 SAMPLE = 8_000  # rows of each kind, trusted positives and unlabelled, that the classifier is fitted on
 HIDDEN = 32
@@ -32,7 +33,7 @@ def features(text: bytes) -> np.ndarray:
     upper, lower, digit = counts[65:91].sum(), counts[97:123].sum(), counts[48:58].sum()
     white, wide = counts[_SPACES].sum(), counts[128:].sum()
     length = np.fromiter(map(len, words), np.int64, len(words)) if words else np.zeros(1)
-    most = max(map(lines.count, lines[:50]))
+    most = max(Counter(lines).values())
     out[128:] = (
         np.log1p(n), np.log1p(n_words), n / n_words, upper / n, lower / n, digit / n, white / n, wide / n,
         (n - upper - lower - digit - white - wide) / n, upper / max(1, upper + lower),
@@ -105,34 +106,56 @@ def held_out(id_col: str) -> Column:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches, "t"):
         x = [features(t) for t in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float32()))], ["role", "x"])
 
 
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float = 0.1) -> float:
+    """Class prior from scores of trusted positives and unlabelled rows that the scorer was not fitted on: the least ratio of their shares above a
+    threshold, each widened by its confidence bound. At the threshold where only positives are left, the ratio is the prior."""
+    t = np.unique(positive)
+    above = lambda s: 1 - np.searchsorted(np.sort(s), t, "left") / len(s)
+    width = lambda n: np.sqrt(np.log(4 / delta) / (2 * n))
+    p, u = above(positive), above(unlabelled)
+    ratio = (u + width(len(unlabelled)) + width(len(positive))) / np.maximum(p, 1e-9)
+    at = int(np.argmin(ratio))
+    return float(np.clip(u[at] / p[at], 0.02, 0.98))
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> PositiveUnlabelled | None:
-    """Fit on at most `sample` trusted positives (label 1) and `sample` rows whose label is not read, both of the labels
-    table without the held-out rows and of smallest id hash. The class prior is the share of label 1 there. None without positives.
+    """Fit on at most `sample` trusted positives (label 1, without the held-out rows) and at most `sample` documents whose label is not
+    read, each of smallest id hash; the latter stand for the web text as it comes. None without positives.
+
+    The class prior is estimated: a classifier fitted on one half of both, with a prior of one half, scores the other half, and the
+    shares of positives and unlabelled rows at the top of those scores give it. Labels other than 1 are never used.
     """
-    known = labels.where(~held_out(id_col)).where("quality is not null").select(F.col(id_col).alias("id"), "quality").dropDuplicates(["id"])
-    prior = known.agg(F.avg("quality")).first()[0]
-    positive = known.where("quality = 1").orderBy(F.xxhash64("id", F.lit(1)), "id").limit(sample).select("id", F.lit(1).alias("role"))
-    unlabelled = known.orderBy(F.xxhash64("id", F.lit(2)), "id").limit(sample).select("id", F.lit(0).alias("role"))
+    known = labels.where(~held_out(id_col)).where("quality = 1").select(F.col(id_col).alias("id")).distinct()
+    ids = docs.select(F.col(id_col).alias("id")).where("id is not null")
+    positive = known.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(sample).select("id", F.lit(1).alias("role"))
+    unlabelled = ids.orderBy(F.xxhash64("id", F.lit(2)), "id").limit(sample).distinct().select("id", F.lit(0).alias("role"))
     chosen = F.broadcast(positive.unionByName(unlabelled))  # at most 2 * sample rows
     text = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("t"))
     got = text.join(chosen, "id").select("role", "t").mapInArrow(_features, "role int, x array<float>").toPandas()
     x, role = np.array(got["x"].tolist(), np.float64), got["role"].to_numpy()
-    if prior is None or not (role == 1).any():
+    if not (role == 1).any():
         return None
     order = np.lexsort(x.T)  # the fit does not depend on the order of partitions
-    x, role = x[order], role[order]
-    return PositiveUnlabelled(x[role == 1], x[role == 0], float(prior))
+    p, u = x[order][role[order] == 1], x[order][role[order] == 0]
+    if min(len(p), len(u)) < 4:
+        return PositiveUnlabelled(p, u, 0.5)
+    rough = PositiveUnlabelled(p[::2], u[::2], 0.5)
+    return PositiveUnlabelled(p, u, estimate_prior(rough.score(p[1::2]), rough.score(u[1::2])))
+
+
+def _score(texts: list[bytes], model: PositiveUnlabelled | None) -> np.ndarray:
+    """Without a model nothing is known against a text, and it just passes."""
+    return model.score(np.array([features(t) for t in texts])) if texts and model else np.full(len(texts), THRESHOLD)
 
 
 def _scores(batches: Iterator[pa.RecordBatch], model, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        x = [features(t) for t in b.column(1).to_pylist()]
-        s = model.value.score(np.array(x)) if x and model.value else np.full(len(x), 0.5)
+    for b in slices(batches, "t"):
+        s = _score(b.column(1).to_pylist(), model.value)
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], schema=pa.schema([("id", kind), ("score", pa.float64())]))
 
 
@@ -140,7 +163,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """(id_col, held_out, score, predicted), one row per input row.
 
     Scores use the text alone. Null and empty texts get the score of the empty text; equal texts get equal scores; without
-    positives every score is 0.5. Rows with a null id are scored and not held out. An empty table gives an empty result.
+    positives every score is THRESHOLD. Rows with a null id are scored and not held out. An empty table gives an empty result.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -152,13 +175,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents (all columns) whose predicted quality is 1; the text is scored where it lies, nothing is joined."""
+    """The documents (all columns) whose predicted quality is 1; the text is scored where it lies, nothing is joined. Without positives
+    all stay; null and empty texts share one score; repeated rows and null ids are judged like others."""
     model = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, id_col))
 
     def kept(batches):
-        for b in batches:
-            x = [features((t or "").encode("utf-8")) for t in b.column("text").to_pylist()]
-            s = model.value.score(np.array(x)) if x and model.value else np.ones(len(x))
+        for b in slices(batches, "text"):
+            s = _score([(t or "").encode("utf-8") for t in b.column("text").to_pylist()], model.value)
             yield b.filter(pa.array(s >= THRESHOLD, pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
