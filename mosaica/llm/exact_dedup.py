@@ -11,14 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mosaica.llm.common import checkpoint, table, text_or_empty
+from mosaica.llm.common import checkpoint, slices, table, text_or_empty
 
 QUOTIENT_BITS = 8  # of a block
-ROUTE_BITS = 24  # the routing bitmap has 2**24 bits (2 MB) whatever the input
+ROUTE_BITS, MOST_ROUTE_BITS = 24, 27  # bounds of the routing bitmap: 2**24 bits are 2 MB
 
 
 def _scan(batches: Iterator[pa.RecordBatch], with_text: bool, route=None) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches, "t"):
         ids, texts = b.column(0), [t.lower() for t in b.column(1).to_pylist()]  # bytes.lower() changes A-Z only
         sha = [hashlib.sha256(t).digest() for t in texts]
         fp = np.frombuffer(b"".join(x[:8] for x in sha), dtype=">u8").astype(np.uint64)
@@ -29,8 +29,9 @@ def _scan(batches: Iterator[pa.RecordBatch], with_text: bool, route=None) -> Ite
             names.append("norm")
         out = pa.RecordBatch.from_arrays(cols, names)
         if route is not None:
-            at = fp >> np.uint64(64 - ROUTE_BITS)
-            hit = (route.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
+            bits, bitmap = route.value
+            at = fp >> np.uint64(64 - bits)
+            hit = (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
             out = out.filter(pa.array(hit.astype(bool)))
         yield out
 
@@ -38,13 +39,24 @@ def _scan(batches: Iterator[pa.RecordBatch], with_text: bool, route=None) -> Ite
 # ---- counting quotient filter: one block holds 2**QUOTIENT_BITS quotients ----
 
 
+def _unsigned(values: np.ndarray, width: int) -> bytes:
+    """The values in `width` bytes each, little-endian."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _values(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width if width else 0, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width) if len(data) else 0
+    return out.view("<u8").reshape(-1)
+
+
+def _remainder_bytes(block_bits: int) -> int:
+    return -(-(64 - block_bits - QUOTIENT_BITS) // 8)
+
+
 def build_filter(fp: np.ndarray, counts: np.ndarray, block_bits: int) -> pd.DataFrame:
-    """Blocks of a counting quotient filter: occupied bits, run-end bits, sorted remainders and their counts."""
-    order = np.argsort(fp, kind="stable")
-    fp, counts = fp[order], counts[order]
-    if len(fp):
-        first = np.concatenate(([True], fp[1:] != fp[:-1]))
-        counts, fp = np.add.reduceat(counts, np.flatnonzero(first)), fp[first]
+    """Blocks of a counting quotient filter of sorted distinct fingerprints: occupied bits, run-end bits, sorted remainders, and counts less one, both in
+    as few bytes as they need."""
     block = (fp >> np.uint64(64 - block_bits)).astype(np.int64) if block_bits else np.zeros(len(fp), np.int64)
     rows = []
     for at in np.split(np.arange(len(fp)), np.flatnonzero(np.diff(block)) + 1):
@@ -55,38 +67,52 @@ def build_filter(fp: np.ndarray, counts: np.ndarray, block_bits: int) -> pd.Data
             occupied[quotient] = True
             run_end = np.append(quotient[1:] != quotient[:-1], True)
             # what block and quotient do not hold; sorted within a run since fp is
-            remainder = low << np.uint64(QUOTIENT_BITS)
-            rows.append((int(block[at[0]]), np.packbits(occupied).tobytes(), np.packbits(run_end).tobytes(), remainder.tobytes(), counts[at].astype(np.int64).tobytes()))
-    return pd.DataFrame(rows, columns=["block", "occupied", "run_end", "remainders", "counts"])
+            remainder = (low << np.uint64(QUOTIENT_BITS)) >> np.uint64(QUOTIENT_BITS + block_bits)
+            more = counts[at].astype(np.uint64) - np.uint64(1)
+            width = (int(more.max()).bit_length() + 7) // 8
+            rows.append((int(block[at[0]]), np.packbits(occupied).tobytes(), np.packbits(run_end).tobytes(), _unsigned(remainder, _remainder_bytes(block_bits)), width, _unsigned(more, width)))
+    return pd.DataFrame(rows, columns=["block", "occupied", "run_end", "remainders", "width", "counts"])
 
 
 def read_filter(row, block_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The fingerprints and counts of one block, in order: nothing is lost."""
-    remainder = np.frombuffer(row.remainders, np.uint64)
+    remainder = _values(row.remainders, _remainder_bytes(block_bits))
     ends = np.unpackbits(np.frombuffer(row.run_end, np.uint8))[: len(remainder)].astype(bool)
     quotients = np.flatnonzero(np.unpackbits(np.frombuffer(row.occupied, np.uint8))).astype(np.uint64)
     run = np.concatenate(([0], np.cumsum(ends)[:-1])).astype(np.int64)
-    fp = (quotients[run] << np.uint64(64 - QUOTIENT_BITS)) | (remainder >> np.uint64(QUOTIENT_BITS))
-    fp >>= np.uint64(block_bits)
+    fp = ((quotients[run] << np.uint64(64 - QUOTIENT_BITS)) >> np.uint64(block_bits)) | remainder
     if block_bits:
         fp |= np.uint64(row.block) << np.uint64(64 - block_bits)
-    return fp, np.frombuffer(row.counts, np.int64)
+    more = _values(row.counts, row.width) if row.width else np.zeros(len(fp), np.uint64)
+    return fp, more.astype(np.int64) + 1
+
+
+def merge_sorted(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Two sorted runs of distinct fingerprints with counts as one; the counts of equal ones add up."""
+    at = np.arange(len(a[0])) + np.searchsorted(b[0], a[0], "left")
+    to = np.arange(len(b[0])) + np.searchsorted(a[0], b[0], "right")
+    fp, counts = np.empty(len(at) + len(to), np.uint64), np.empty(len(at) + len(to), np.int64)
+    fp[at], fp[to], counts[at], counts[to] = a[0], b[0], a[1], b[1]
+    first = np.append(True, fp[1:] != fp[:-1])[: len(fp)]
+    return fp[first], np.add.reduceat(counts, np.flatnonzero(first)) if len(fp) else counts
+
+
+def merge_all(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Merge neighbours until one run is left."""
+    while len(parts) > 1:
+        parts = [merge_sorted(*parts[i : i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0]
 
 
 def _filters(batches: Iterator[pd.DataFrame], block_bits: int) -> Iterator[pd.DataFrame]:
-    fp, counts = np.array([], np.uint64), np.array([], np.int64)
-    for pdf in batches:
-        u, n = np.unique(pdf["fp"].to_numpy(np.int64).view(np.uint64), return_counts=True)
-        fp, counts = np.concatenate((fp, u)), np.concatenate((counts, n))
-    if len(fp):
-        yield build_filter(fp, counts, block_bits)
+    parts = [np.unique(pdf["fp"].to_numpy(np.int64).view(np.uint64), return_counts=True) for pdf in batches]
+    if parts:
+        yield build_filter(*merge_all(parts), block_bits)
 
 
 def _merge(pdf: pd.DataFrame, block_bits: int) -> pd.DataFrame:
     """Merge the blocks of all partitions by their sorted remainders; the fingerprints counted twice or more."""
-    parts = [read_filter(r, block_bits) for r in pdf.itertuples()]
-    merged = build_filter(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), block_bits)
-    fp, counts = read_filter(next(merged.itertuples()), block_bits)
+    fp, counts = merge_all([read_filter(r, block_bits) for r in pdf.itertuples()])
     return pd.DataFrame({"fp": fp[counts > 1].view(np.int64), "n": counts[counts > 1]})
 
 
@@ -94,20 +120,21 @@ def repeated_fingerprints(scanned: DataFrame) -> DataFrame:
     """(fp, n) of the fingerprints that occur more than once, from the merged filters of all partitions."""
     block_bits = max(4, min(40, int(scanned.count()).bit_length() - 13))
     blocks = scanned.select("fp").mapInPandas(
-        lambda it: _filters(it, block_bits), "block long, occupied binary, run_end binary, remainders binary, counts binary"
+        lambda it: _filters(it, block_bits), "block long, occupied binary, run_end binary, remainders binary, width int, counts binary"
     )
     return blocks.groupBy("block").applyInPandas(lambda pdf: _merge(pdf, block_bits), "fp long, n long")
 
 
 def _route(repeated: DataFrame):
-    """A bitmap of the leading fingerprint bits that some repeated fingerprint has: 2 MB for any input, since it
-    only saves work (a set bit sends a text to the byte comparison, which decides)."""
-    at = F.shiftrightunsigned("fp", 64 - ROUTE_BITS)
-    words = repeated.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(fp, {64 - ROUTE_BITS}) & 63 as int))")).alias("bits"))
+    """A bitmap of the leading fingerprint bits that some repeated fingerprint has. It only saves work (a set bit sends a text to the byte
+    comparison, which decides) and has some 16 bits for each of them, within 2 and 16 MB."""
+    bits = max(ROUTE_BITS, min(MOST_ROUTE_BITS, int(repeated.count()).bit_length() + 4))
+    at = F.shiftrightunsigned("fp", 64 - bits)
+    words = repeated.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(fp, {64 - bits}) & 63 as int))")).alias("bits"))
     got = words.toPandas()
-    bitmap = np.zeros(1 << (ROUTE_BITS - 6), np.uint64)
+    bitmap = np.zeros(1 << (bits - 6), np.uint64)
     bitmap[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
-    return repeated.sparkSession.sparkContext.broadcast(bitmap)
+    return repeated.sparkSession.sparkContext.broadcast((bits, bitmap))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,20 +144,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     a group stays. Every partition builds a counting quotient filter of 64-bit fingerprints; the filters merge
     by block, and only texts whose fingerprint was counted twice are compared byte for byte (grouped by the whole text, which
     is pre-aggregated, so a hot text moves once per task). Repeated ids are rows of their own: all that hold the largest
-    id are kept. A null id is smaller than any other. An empty table gives an empty result; other columns are ignored.
+    id are kept. A null id is smaller than any other; ids may have any type with an order. An empty table gives an empty result; other columns are ignored.
     """
-    raw = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).cast("binary").alias("t"))
-    id_type = docs.schema[id_col].dataType
-    scanned = checkpoint(raw.mapInArrow(lambda it: _scan(it, False), "id long, fp long, sha string"))
-    route = _route(repeated_fingerprints(scanned))
-    candidates = raw.mapInArrow(lambda it: _scan(it, True, route), "id long, fp long, sha string, norm binary")
+    raw = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("t"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    scanned = checkpoint(raw.mapInArrow(lambda it: _scan(it, False), f"id {kind}, fp long, sha string"))
+    route = _route(checkpoint(repeated_fingerprints(scanned)))
+    candidates = raw.mapInArrow(lambda it: _scan(it, True, route), f"id {kind}, fp long, sha string, norm binary")
     groups = candidates.groupBy("fp", "sha", "norm").agg(F.max("id").alias("keep_id"), F.count("*").alias("n")).where("n > 1")
-    groups = groups.select("fp", "sha", "keep_id", "n")
-    joined = scanned.join(groups, ["fp", "sha"], "left")
-    keep = F.coalesce("keep_id", "id")
+    joined = scanned.join(groups.select("fp", "sha", "keep_id", "n"), ["fp", "sha"], "left")
     return joined.select(
-        F.col("id").cast(id_type).alias(id_col),
-        keep.cast(id_type).alias("keep_id"),
+        F.col("id").alias(id_col),
+        F.coalesce("keep_id", "id").alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
         F.expr("id <=> coalesce(keep_id, id)").alias("kept"),
         F.col("sha").alias("text_sha256"),

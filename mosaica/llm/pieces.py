@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 import zlib
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mosaica.llm.common import table, text_or_empty
+from mosaica.llm.common import slices, table, text_or_empty
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types of the model format
@@ -111,7 +112,11 @@ class PieceModel:
                 self.types.append(f.get(3, NORMAL))
             elif number == 3:
                 self.dummy_prefix = bool(dict(_fields(value)).get(3, 1))
+        # a piece of the user's own outweighs every other way through its bytes
+        best = max((s for s, t in zip(self.scores, self.types) if t == NORMAL), default=0.0)
+        self.scores = [len(p.encode("utf-8")) * best - 0.1 if t == USER else s for p, s, t in zip(self.pieces, self.scores, self.types)]
         self.score = np.array(self.scores, np.float64)
+        self.digest = hashlib.sha256(data).hexdigest()
         known = {p.encode("utf-8"): i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t in (NORMAL, USER)}
         self.trie = DoubleArray(known)
         self.unknown_score = min(s for s, t in zip(self.scores, self.types) if t == NORMAL) - UNKNOWN_PENALTY
@@ -235,26 +240,23 @@ def _char_width(lead: int) -> int:
     return 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
 
 
-_words_seen: dict[int, dict] = {}
+_words_seen: dict[str, dict] = {}  # the words of one model, by the digest of its file
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], model, digest: bool, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     m = model.value
-    known = _words_seen.setdefault(id(m), {})
-    if len(_words_seen) > 1:
-        for k in [k for k in _words_seen if k != id(m)]:
-            del _words_seen[k]
-    for b in batches:
-        for low in range(0, b.num_rows, 512):
-            part = b.slice(low, 512)
-            texts = part.column(1).to_pylist()
-            ids = [np.frombuffer(x, "<u4") for x in m.encode(texts, known)]
-            if digest:
-                back = [m.decode(x.tolist()) == t for x, t in zip(ids, texts)]
-                cols = [pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()), pa.array(back, pa.bool_())]
-                yield pa.RecordBatch.from_arrays([part.column(0), *cols], schema=pa.schema([("id", kind), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("round_trip", pa.bool_())]))
-            else:
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))], schema=pa.schema([("id", kind), ("ids", pa.list_(pa.int32()))]))
+    if m.digest not in _words_seen:
+        _words_seen.clear()
+    known = _words_seen.setdefault(m.digest, {})
+    for part in slices(batches, "t"):
+        texts = part.column(1).to_pylist()
+        ids = [np.frombuffer(x, "<u4") for x in m.encode(texts, known)]
+        if digest:
+            back = [m.decode(x.tolist()) == t for x, t in zip(ids, texts)]
+            cols = [pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()), pa.array(back, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([part.column(0), *cols], schema=pa.schema([("id", kind), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("round_trip", pa.bool_())]))
+        else:
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))], schema=pa.schema([("id", kind), ("ids", pa.list_(pa.int32()))]))
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:

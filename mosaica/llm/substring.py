@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mosaica.llm.common import stored, table, text_or_empty
+from mosaica.llm.common import row_key, slices, stored, table, text_or_empty
 
 WINDOW = 50
 GRAM = 8
@@ -103,62 +103,45 @@ def _first_min(g: np.ndarray, width: int) -> np.ndarray:
     return pos
 
 
-def anchors_of(words: list[bytes], window: int) -> tuple[np.ndarray, ...]:
+def anchors_of(text: bytes, window: int) -> tuple:
     """Segments of a document: (anchor, key, start, end). A window's anchor is the word 8-gram of least hash in it, the
     leftmost if several; windows start..end-1 in a row with the same anchor place form a segment, words start..end+window-2.
-    Anchor and key (a hash of the segment's words) depend on the words alone, so equal windows have equal anchors."""
+    Anchor and key (128 bits of the segment's words) depend on the words alone, so equal windows have equal anchors."""
+    words = text.split()
     n = len(words)
     if n < window:
-        z = np.array([], np.int64)
-        return z, z, z, z
-    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, n)
-    g = _gram_hashes(h)
+        return [], [], [], []
+    g = _gram_hashes(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, n))
     owner = _first_min(g, window - GRAM + 1)
     cut = np.flatnonzero(np.diff(owner)) + 1
     start, end = np.concatenate(([0], cut)), np.concatenate((cut, [len(owner)]))
-    mixed = h * _MIX
-    mixed ^= mixed >> np.uint64(31)
-    lengths = end - start + window - 1
-    # sum of h[i] * ODD**(i - start) over the segment, by prefix sums with the inverse power
-    at = np.arange(n, dtype=np.uint64)
-    power, inverse = _power(_ODD, at), _power(_INVERSE, start.astype(np.uint64))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed * power, dtype=np.uint64)))
-    key = (sums[end + window - 1] - sums[start]) * inverse + lengths.astype(np.uint64) * _MIX
-    return g[owner[start]].view(np.int64), key.view(np.int64), start, end
-
-
-def _power(base: np.uint64, exponents: np.ndarray) -> np.ndarray:
-    out, e, b = np.ones(len(exponents), np.uint64), exponents.copy(), int(base)
-    while e.any():
-        out = np.where(e & np.uint64(1), out * np.uint64(b), out)
-        b = b * b & 0xFFFFFFFFFFFFFFFF
-        e >>= np.uint64(1)
-    return out
-
-
-_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
+    joined, after = b" ".join(words), np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1)
+    before = np.concatenate(([0], after))
+    keys = [xxhash.xxh3_128_digest(joined[a:b]) for a, b in zip(before[start].tolist(), (after[end + window - 2] - 1).tolist())]
+    return g[owner[start]].view(np.int64), keys, start, end
 
 
 def _batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-_ANCHORS = pa.schema([("k", pa.int64()), ("id", pa.int64()), ("anchor", pa.int64()), ("seg", pa.int64()), ("a", pa.int32()), ("b", pa.int32())])
+_ANCHORS = pa.schema([("k", pa.binary()), ("id", pa.int64()), ("anchor", pa.int64()), ("seg", pa.binary()), ("a", pa.int32()), ("b", pa.int32())])
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        k, ids = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)
-        found = [anchors_of(t.split(), window) for t in b.column(2).to_pylist()]
-        n = np.array([len(x[0]) for x in found])
-        if n.sum():
-            yield _batch(_ANCHORS, [np.repeat(k, n), np.repeat(ids, n), *(np.concatenate([x[i] for x in found]) for i in range(4))])
+    for b in slices(batches, "t"):
+        found = [anchors_of(t, window) for t in b.column(2).to_pylist()]
+        n = [len(x[0]) for x in found]
+        if any(n):
+            at, some = pa.array(np.repeat(np.arange(len(n)), n)), [x for x in found if len(x[0])]
+            anchor, start, end = (pa.array(np.concatenate([x[i] for x in some]), _ANCHORS.types[f]) for i, f in ((0, 2), (2, 4), (3, 5)))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), anchor, pa.array([k for x in some for k in x[1]], pa.binary()), start, end], schema=_ANCHORS)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Segment texts from the documents that represent them."""
-    schema = pa.schema([("anchor", pa.int64()), ("seg", pa.int64()), ("low", pa.int64()), ("n_segs", pa.int64()), ("words", pa.binary())])
-    for b in batches:
+    schema = pa.schema([("anchor", pa.int64()), ("seg", pa.binary()), ("low", pa.int64()), ("n_segs", pa.int64()), ("words", pa.binary())])
+    for b in slices(batches, "t"):
         rows: list[list] = [[] for _ in schema]
         for text, wanted in zip(b.column("t").to_pylist(), b.column("wanted").to_pylist()):
             words = text.split()
@@ -168,7 +151,7 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
         yield _batch(schema, rows)
 
 
-_FIRSTS = "anchor long, seg long, firsts array<struct<s:int,e:int,low:long>>"
+_FIRSTS = "anchor long, seg binary, firsts array<struct<s:int,e:int,low:long>>"
 _RANGES = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("low", pa.int64())]))
 
 
@@ -181,7 +164,7 @@ def _runs(lows: list[int]) -> list[dict]:
 
 def _stream(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Per anchor: stream each segment through the automaton of the segments of smaller documents, then add it."""
-    schema = pa.schema([("anchor", pa.int64()), ("seg", pa.int64()), ("firsts", _RANGES)])
+    schema = pa.schema([("anchor", pa.int64()), ("seg", pa.binary()), ("firsts", _RANGES)])
     for b in batches:
         rows: list[list] = [[], [], []]
         for anchor, members in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -197,8 +180,8 @@ def _stream(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("anchor", pa.int64()), ("seg", pa.int64()), ("low", pa.int64()), ("i", pa.int32()), ("w", pa.binary())])
-    for b in batches:
+    schema = pa.schema([("anchor", pa.int64()), ("seg", pa.binary()), ("low", pa.int64()), ("i", pa.int32()), ("w", pa.binary())])
+    for b in slices(batches, "words"):
         rows: list[list] = [[] for _ in schema]
         for anchor, seg, low, text in zip(*(b.column(c).to_pylist() for c in ("anchor", "seg", "low", "words"))):
             words = text.split()
@@ -209,7 +192,7 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
 
 
 def _rest(batches: Iterator[pa.RecordBatch], schema: pa.Schema, window: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches, "t"):
         n, gone, sha = [], [], []
         for text, covers in zip(b.column("t").to_pylist(), b.column("covers").to_pylist()):
             words = text.split()
@@ -231,10 +214,11 @@ def removed_spans(docs: DataFrame, window: int = WINDOW, shard_segments: int = S
     """(k, covers): the word ranges to remove of each document (columns k, id, t) that has any.
 
     Windows meet by their anchor. Of each anchor that documents share, the distinct segments are the reference shard: its suffix
-    automaton is built in order of document number, and every segment is streamed through it. Anchors with more
-    than shard_segments distinct segments are treated window by window instead, grouped by the whole window.
+    automaton is built in order of document number, and every segment is streamed through it. A shard of one distinct segment needs no
+    streaming: all its windows first start in its smallest document. Segments count as equal by 128 bits of their words. Anchors with more
+    than shard_segments distinct segments are treated window by window instead, grouped by 128 bits of the whole window.
     """
-    anchors = stored(docs.select("k", "id", "t").mapInArrow(lambda it: _anchors(it, window), "k long, id long, anchor long, seg long, a int, b int"))
+    anchors = stored(docs.select("k", "id", "t").mapInArrow(lambda it: _anchors(it, window), "k binary, id long, anchor long, seg binary, a int, b int"))
     segs = anchors.groupBy("anchor", "seg").agg(F.min(F.struct("id", "k", "a", "b")).alias("rep"), F.max("id").alias("high"))
     shared = segs.groupBy("anchor").agg(F.min("rep.id").alias("lo"), F.max("high").alias("hi"), F.count("*").alias("n_segs")).where("lo < hi").select("anchor", "n_segs")
     segs = stored(segs.join(shared, "anchor").select("anchor", "seg", "rep", "n_segs"))
@@ -242,10 +226,10 @@ def removed_spans(docs: DataFrame, window: int = WINDOW, shard_segments: int = S
     wanted = segs.where("n_segs > 1").groupBy(F.col("rep.k").alias("k")).agg(
         F.collect_list(F.struct("anchor", "seg", F.col("rep.id").alias("low"), "n_segs", "rep.a", "rep.b")).alias("wanted")
     )
-    texts = stored(docs.select("k", "t").join(wanted, "k").dropDuplicates(["k"]).select("t", "wanted").mapInArrow(lambda it: _cut(it, window), "anchor long, seg long, low long, n_segs long, words binary"))
+    texts = stored(docs.select("k", "t").join(wanted, "k").dropDuplicates(["k"]).select("t", "wanted").mapInArrow(lambda it: _cut(it, window), "anchor long, seg binary, low long, n_segs long, words binary"))
     shards = texts.where(F.col("n_segs") <= shard_segments).groupBy("anchor").agg(F.collect_list(F.struct("seg", "low", "words")).alias("members"))
     streamed = shards.mapInArrow(lambda it: _stream(it, window), _FIRSTS)
-    windows = texts.where(F.col("n_segs") > shard_segments).select("anchor", "seg", "low", "words").mapInArrow(lambda it: _windows(it, window), "anchor long, seg long, low long, i int, w binary")
+    windows = texts.where(F.col("n_segs") > shard_segments).select("anchor", "seg", "low", "words").mapInArrow(lambda it: _windows(it, window), "anchor long, seg binary, low long, i int, w binary")
     lows = windows.groupBy("w").agg(F.min("low").alias("least"))
     single = windows.join(lows, "w").groupBy("anchor", "seg").agg(F.collect_list(F.struct(F.col("i").alias("s"), F.expr("i + 1").alias("e"), F.col("least").alias("low"))).alias("firsts"))
     firsts = alone.unionByName(streamed).unionByName(single)
@@ -264,7 +248,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     kind = docs.schema[id_col].dataType
     raw = docs.select(
-        F.xxhash64(id_col, text_or_empty(text_col)).alias("k"),
+        row_key(id_col, text_or_empty(text_col)).alias("k"),
         F.col(id_col).alias("shown"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"),
         text_or_empty(text_col).cast("binary").alias("t"),
