@@ -49,9 +49,9 @@ def distance(ax: Column, ay: Column, bx: Column, by: Column, scale: float = 1.0)
 
 
 def confidence(n: Column, evaluation: Column) -> Column:
-    """Number of regions (out of 10) or landmarks (out of 100) as a confidence in [0, 1]."""
+    """Number of regions (out of 10) or landmarks (out of 100) as a confidence in [0, 1]; an unknown number stays null."""
     top = F.when(evaluation == "region", 10.0).otherwise(100.0)
-    return F.least(F.greatest(n / top, F.lit(0.0)), F.lit(1.0))
+    return F.when(n.isNotNull(), F.least(F.greatest(n / top, F.lit(0.0)), F.lit(1.0)))
 
 
 def clamp_for_display(value: Column, metric_type: Column) -> Column:

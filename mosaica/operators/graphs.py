@@ -23,10 +23,14 @@ def components(nodes: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFr
     return nodes.select(id_col).join(roots.withColumnsRenamed({"node": id_col, "root": "component"}), id_col, "left").select(id_col, F.coalesce("component", id_col).alias("component"))
 
 
+def pixel_runs(px: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """px with `run`, equal for neighbouring positions of a line (keys)."""
+    return px.withColumn("run", (F.col(col) - F.row_number().over(Window.partitionBy(*keys).orderBy(col))).cast("long"))
+
+
 def pixel_components(mask: DataFrame, diagonal: bool = False) -> DataFrame:
     """(row, col, component) of the pixels of a mask. Runs of a row are found first, so that edges join runs, not pixels."""
-    w = Window.partitionBy("row").orderBy("col")
-    runs = mask.select("row", "col").distinct().withColumn("run", F.col("col") - F.row_number().over(w))
+    runs = pixel_runs(mask.select("row", "col").distinct(), ["row"], "col")
     ends = runs.groupBy("row", "run").agg(F.min("col").alias("c0"), F.max("col").alias("c1"))
     ends = cut(ends.withColumn("id", F.shiftleft(F.col("row").cast("long"), 32) + F.col("c0").cast("long")))
     reach, tile = (1 if diagonal else 0), 64
@@ -77,9 +81,9 @@ def merge_points(p1: DataFrame, p2: DataFrame, t: float = 0.5) -> DataFrame:
         pts = cut(pts.join(gone, "id", "left_anti"))
         m = pts.count()
         if m == n:
-            break
+            return pts
         n = m
-    return pts
+    raise RuntimeError(f"points did not settle in {MAX_ROUNDS} rounds")
 
 
 def one_to_one(matches: DataFrame, left: str = "id", right: str = "other", score: str = "d") -> DataFrame:
@@ -112,9 +116,9 @@ def thin_matches(matches: DataFrame, dmin: float, least: int = 5, keys: list[str
         m = cut(m.join(reduce(DataFrame.unionByName, losers).distinct(), "id", "left_anti"))
         k = m.count()
         if k == n:
-            break
+            return m
         n = k
-    return m
+    raise RuntimeError(f"matches did not settle in {MAX_ROUNDS} rounds")
 
 
 def ratio_test(candidates: DataFrame, ratio: float = 0.8) -> DataFrame:
@@ -168,9 +172,9 @@ def inconsistent_pairs(matches: DataFrame, keys: list[str], reach: float | None
     return pairs.groupBy(*keys).agg(F.sum(bad.cast("int")).alias("n_bad"))
 
 
-def score_match_sets(matches: DataFrame, reference_diameter: float, keys: list[str] = ("line",)) -> DataFrame:
+def score_match_sets(matches: DataFrame, reference_diameter: float, keys: list[str] = ("line",), reach: float | None = None) -> DataFrame:
     """Score of the match sets of each minimal length n > 10: (1 - gap / 360) sqrt(matches), 0 with an inconsistent pair, for sets with
-    a diameter over 0.75 of the reference and a gap below 200 degrees."""
+    a diameter over 0.75 of the reference and a gap below 200 degrees. Pairs are compared within reach, or all of a set without one."""
     from mosaica.operators.windows import max_angular_gap
 
     keys = list(keys)
@@ -178,7 +182,7 @@ def score_match_sets(matches: DataFrame, reference_diameter: float, keys: list[s
     sets = lengths.join(matches, keys).where("length >= n")
     g = [*keys, "n"]
     size = sets.groupBy(*g).agg(F.count("*").alias("matches"), F.hypot(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("diameter"))
-    out = size.join(max_angular_gap(sets, g), g).join(inconsistent_pairs(sets, g), g, "left").where((F.col("diameter") > 0.75 * reference_diameter) & (F.col("gap") < 200))
+    out = size.join(max_angular_gap(sets, g), g).join(inconsistent_pairs(sets, g, reach), g, "left").where((F.col("diameter") > 0.75 * reference_diameter) & (F.col("gap") < 200))
     return out.withColumn("score", F.when(F.coalesce("n_bad", F.lit(0)) > 0, 0.0).otherwise((1 - F.col("gap") / 360) * F.sqrt("matches")))
 
 

@@ -32,23 +32,25 @@ def cell_pixel_overlap(cells: DataFrame, pixels: DataFrame, spacing: float, shri
     """(sample_id, cell_idx, ims_idx, overlap, cell_area) where a cell's ring meets a pixel's box.
 
     cells: sample_id, cell_idx, ring; pixels: sample_id, ims_idx, x, y (corner). A box has side spacing * shrink and is shrunk about its
-    centre once more unless single_shrink. Pairs are sought among centroids closer than max_dist. Rings without area meet nothing.
+    centre once more unless single_shrink. Only pairs with centroids closer than max_dist count. Rings without area meet nothing.
     """
     side = spacing * shrink
     inner = side if single_shrink else side * shrink
-    half = F.lit(side / 2)
+    r = F.lit(inner / 2)
     # exploding an array of one element keeps the filters that joins infer above it, so a ring's figures are computed once
     figures = F.struct(G.ring_area(F.col("ring")).alias("a"), G.ring_centroid(F.col("ring")).alias("c"), G.ring_bbox(F.col("ring")).alias("b"))
     c = cells.select("sample_id", "cell_idx", "ring", F.explode(F.array(figures)).alias("_f")).where("_f.a > 0")
     c = c.select("sample_id", "cell_idx", "ring", F.col("_f.a").alias("_a"), F.col("_f.c.x").alias("_cx"), F.col("_f.c.y").alias("_cy"), F.col("_f.b").alias("_b"))
-    c = _bucket(c, F.col("_cx"), F.col("_cy"), max_dist)
-    p = pixels.select("sample_id", "ims_idx", (F.col("x") + half).alias("_px"), (F.col("y") + half).alias("_py"))
-    p = _around(p, F.col("_px"), F.col("_py"), max_dist)
-    near = c.join(p, ["sample_id", "_bx", "_by"]).where(F.hypot(F.col("_cx") - F.col("_px"), F.col("_cy") - F.col("_py")) < max_dist)
-    r = F.lit(inner / 2)
+    # a cell meets the centres of pixels in its box, half a side wider: on buckets of one spacing some four of them
+    span = lambda lo, hi: F.explode(F.sequence(F.floor((lo - r) / spacing), F.floor((hi + r) / spacing)))
+    c = c.withColumn("_bx", span(F.col("_b.x0"), F.col("_b.x1"))).withColumn("_by", span(F.col("_b.y0"), F.col("_b.y1")))
+    p = pixels.select("sample_id", "ims_idx", (F.col("x") + side / 2).alias("_px"), (F.col("y") + side / 2).alias("_py"))
+    p = _bucket(p, F.col("_px"), F.col("_py"), spacing)
+    near = F.hypot(F.col("_cx") - F.col("_px"), F.col("_cy") - F.col("_py")) < max_dist
     meets = (F.col("_b.x0") < F.col("_px") + r) & (F.col("_b.x1") > F.col("_px") - r) & (F.col("_b.y0") < F.col("_py") + r) & (F.col("_b.y1") > F.col("_py") - r)
     area = G.box_overlap_area(F.col("ring"), F.col("_px") - r, F.col("_py") - r, F.col("_px") + r, F.col("_py") + r)
-    out = near.where(meets).select("sample_id", "cell_idx", "ims_idx", F.explode(F.array(area / F.col("_a"))).alias("overlap"), F.col("_a").alias("cell_area"))
+    pairs = c.join(p, ["sample_id", "_bx", "_by"]).where(near & meets)
+    out = pairs.select("sample_id", "cell_idx", "ims_idx", F.explode(F.array(area / F.col("_a"))).alias("overlap"), F.col("_a").alias("cell_area"))
     return out.where("overlap > 0")
 
 

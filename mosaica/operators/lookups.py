@@ -39,17 +39,20 @@ def with_defaults(df: DataFrame, rules: dict[str, dict]) -> DataFrame:
 
 
 def lookup(df: DataFrame, key: str, value, out: str, all: bool = False, order: str | None = None) -> DataFrame:
-    """The column `out` of rows where key is value, null as ''; the first in the given order, or all."""
+    """The column `out` of rows where key is value, null as ''; the first in the given order (by default the sheet's: `seq` where there is one, else
+    `out` itself), or all."""
     return _found(df.where(F.col(key) == value), out, all, order)
 
 
 def lookup2(df: DataFrame, k1: str, v1, k2: str, v2, out: str, all: bool = False, order: str | None = None) -> DataFrame:
+    """The same by two keys."""
     return _found(df.where((F.col(k1) == v1) & (F.col(k2) == v2)), out, all, order)
 
 
 def _found(df: DataFrame, out: str, all: bool, order: str | None) -> DataFrame:
-    got = df.select(F.coalesce(F.col(out).cast("string"), F.lit("")).alias(out), *([order] if order and order != out else []))
-    return got.select(out) if all else got.orderBy(order or out).limit(1).select(out)
+    order = order or ("seq" if "seq" in df.columns else out)
+    got = df.select(F.coalesce(F.col(out).cast("string"), F.lit("")).alias(out), *([order] if order != out else []))
+    return got.select(out) if all else got.orderBy(order).limit(1).select(out)
 
 
 def resolve_coords(df: DataFrame, folder: str = "results") -> DataFrame:
@@ -103,7 +106,7 @@ def select_step(df: DataFrame, step: str, key: str = "sample") -> DataFrame:
 
 
 def mz_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if re.search(r"^X?[0-9]{3,4}(\.[0-9]+)?$", c)]
+    return [c for c in df.columns if re.search(r"^X?[0-9]{4}(\.[0-9]+)?$", c)]
 
 
 def drop_unannotated(df: DataFrame) -> DataFrame:

@@ -14,6 +14,9 @@ SQL = {
         CAST((p_partkey % 500) % 25 AS INT) AS ims_x, CAST(floor((p_partkey % 500) / 25) AS INT) AS ims_y FROM part WHERE p_size % 10 <> 0""",
     "spectra": """SELECT CAST(l_partkey AS INT) AS ims_idx, round(CAST(1000 + l_quantity + (l_linenumber - 4) * 0.006 AS DOUBLE), 3) AS mz,
         CAST(l_extendedprice AS DOUBLE) AS intensity FROM lineitem""",
+    "grid_pixels": """SELECT CAST(p_partkey AS INT) AS ims_idx, CAST(floor((p_partkey % 500) / 25) AS INT) AS row, CAST((p_partkey % 500) % 25 + 25 * floor(p_partkey / 500) AS INT) AS col FROM part""",
+    "sheet": """SELECT CAST(s_suppkey AS INT) AS seq, s_name AS sample_name, concat('P', CAST(s_nationkey AS STRING)) AS project_name, CASE WHEN s_suppkey % 6 <> 5 THEN concat('c', CAST(99 - s_suppkey % 60 AS STRING)) END AS core_name,
+        concat('T', CAST(s_suppkey % 2 AS STRING)) AS reg_type, CASE WHEN s_suppkey % 3 = 0 THEN '' WHEN s_suppkey % 3 = 1 THEN concat(s_name, '.h5') END AS coords_filename, concat('run', CAST(s_suppkey % 50 AS STRING), '.imzML') AS imzml_filename FROM supplier""",
     "peaklist": """SELECT DISTINCT CAST(1000 + l_quantity AS DOUBLE) AS mz FROM lineitem""",
     "boxes": """SELECT concat('S', CAST(o_orderkey % 4 AS STRING)) AS sample_id, CAST(o_orderkey AS INT) AS cell_idx,
         CAST(o_custkey * 7 % 2500 AS DOUBLE) AS cx, CAST(o_orderkey % 2000 AS DOUBLE) AS cy, CAST(20 + (o_orderkey % 7) * 5 AS DOUBLE) AS half FROM orders""",

@@ -9,6 +9,7 @@ from mosaica.functions import geometry as G
 from mosaica.functions.scalars import filled, log2_na
 from mosaica.operators import aggregates as A
 from mosaica.operators import joins, lookups, models, rasters, windows
+from mosaica.operators.lineage import cut
 
 
 def process_spectra(spectra: DataFrame, peaklist: DataFrame, tol: float = 0.02, transform=None) -> DataFrame:
@@ -32,9 +33,10 @@ def peak_table(peaks: DataFrame, coords: DataFrame, spacing: float) -> DataFrame
 def combine(pixels: DataFrame, overlaps: DataFrame, centroids: DataFrame, markers: DataFrame | None = None, spacing: float = 1.0, project: str = "") -> DataFrame:
     """The combined pixel-cell table: every pixel (sample_id, ims_idx, x, y, ...) with its cells, their overlap, centroid and markers,
     whether it lies in the hull of pixels with cells, and the plausibility of positions."""
+    overlaps = cut(overlaps)  # the dearest join; the table, the hull and the outliers read it
     c = joins.join_cell_centroids(overlaps, centroids.withColumnsRenamed({"x": "cell_x", "y": "cell_y"}))
     table = joins.join_pixels(c, pixels, ["sample_id", "ims_idx"])
-    hull = A.convex_hull(table.where("cell_idx is not null").select("sample_id", "x", "y").distinct(), "sample_id")
+    hull = A.convex_hull(pixels.join(overlaps.select("sample_id", "ims_idx").distinct(), ["sample_id", "ims_idx"], "left_semi").select("sample_id", "x", "y"), "sample_id")
     table = table.join(hull, "sample_id", "left").withColumn("in_IMC", F.coalesce(G.in_convex(F.col("x"), F.col("y"), F.col("ring")), F.lit(False))).drop("ring")
     far = A.position_outliers(c.select("sample_id", "ims_idx", F.col("cell_x").alias("x"), F.col("cell_y").alias("y")), spacing).select("sample_id", "ims_idx").withColumn("implausible", F.lit(True))
     table = table.join(far, ["sample_id", "ims_idx"], "left").fillna(False, subset=["implausible"])
@@ -84,5 +86,3 @@ def two_level_association(df: DataFrame, types: list[str], samples: DataFrame, c
     first = models.associate(x, ["mz", "sample_id"], "z", names, method)
     second = models.fit_second(first.select("mz", "sample_id", "term", "estimate", "std_error", "n"), samples, covariates)
     return windows.fdr(second, "p_value", ["term"], "fdr")
-
-

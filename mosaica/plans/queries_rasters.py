@@ -79,21 +79,17 @@ def image_similarity(spark, sf_dir):
     return A.image_similarity(r.where("channel = 1"), r.where("channel = 2")).select(F.round("mse", 4).alias("mse"), *_r("nrmse", "nmi"))
 
 
-@query()
+@query(with_sql("raster") + """
+, p AS (SELECT x.row, x.col, x.value AS x, y.value AS y FROM raster x JOIN raster y ON x.row = y.row AND x.col = y.col AND x.channel = 1 AND y.channel = 2),
+w AS (SELECT a.row, a.col, avg(b.x) AS mx, avg(b.y) AS my, var_samp(b.x) AS vx, var_samp(b.y) AS vy, covar_samp(b.x, b.y) AS vxy FROM p a JOIN p b ON b.row BETWEEN a.row - 3 AND a.row + 3 AND b.col BETWEEN a.col - 3 AND a.col + 3 GROUP BY ALL HAVING count(*) = 49)
+SELECT round(avg((2 * mx * my + 100) * (2 * vxy + 900) / ((mx * mx + my * my + 100) * (vx + vy + 900))), 6) AS ssim FROM w""")
 def ssim(spark, sf_dir):
     r = fixture(spark, sf_dir, "raster")
     return windows.ssim(r.where("channel = 1"), r.where("channel = 2"), 1000.0).select(*_r("ssim"))
 
 
-@query(with_sql("raster") + " SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col, round(value, 4) AS value FROM raster WHERE channel = 1 AND row BETWEEN 2 AND 14 AND col BETWEEN 3 AND 19")
-def resample_shift(spark, sf_dir):
-    r = fixture(spark, sf_dir, "raster").where("channel = 1")
-    moved = rasters.resample(r, (1, 0, 0, 1, 2, 1), (1, 14), (1, 18))
-    return moved.where("value <> 0").select((F.col("row") + 1).alias("row"), (F.col("col") + 2).alias("col"), F.round("value", 4).alias("value"))
-
-
 @query(with_sql("raster") + " SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col, round(value, 4) AS value FROM raster WHERE channel = 1 AND value <> 0")
-def resample_shift_full(spark, sf_dir):
+def resample_shift(spark, sf_dir):
     """The shift over the raster's whole extent."""
     r = fixture(spark, sf_dir, "raster").where("channel = 1")
     e = r.agg(*[F.coalesce(f(c), F.lit(0)) for c in ("row", "col") for f in (F.min, F.max)]).first()  # one row
@@ -106,7 +102,9 @@ def pyramid(spark, sf_dir):
     return rasters.pyramid(fixture(spark, sf_dir, "raster").where("channel = 1").drop("channel"), 3).select("level", "row", "col", F.round("value", 4).alias("value"))
 
 
-@query()
+@query(_MASKS.replace("WITH ", "WITH RECURSIVE ", 1) + """
+, e AS MATERIALIZED (SELECT x.row AS r, x.col AS c, y.row AS r2, y.col AS c2 FROM a x JOIN a y ON abs(x.row - y.row) + abs(x.col - y.col) = 1),
+k(row, col, root) AS (SELECT row, col, CAST(row AS BIGINT) * 4294967296 + col FROM a UNION SELECT e.r2, e.c2, k.root FROM k JOIN e ON e.r = k.row AND e.c = k.col) SELECT row, col, min(root) AS component FROM k GROUP BY ALL""")
 def pixel_components(spark, sf_dir):
     return graphs.pixel_components(_masks(spark, sf_dir)[0])
 

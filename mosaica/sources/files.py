@@ -31,41 +31,45 @@ def sample_from_path(suffix: str) -> Column:
 
 
 def read_sample_sheet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, schema=SHEET, header=True)
+    """The sheet with its order in `seq` (files of a folder one after the other)."""
+    return spark.read.csv(path, schema=SHEET, header=True).withColumn("seq", F.monotonically_increasing_id())
 
 
-def read_csv_per_sample(spark: SparkSession, path: str, suffix: str, schema: str | None = None) -> DataFrame:
-    """All files of a glob as one table, with the column `sample`."""
+def read_csv_per_sample(spark: SparkSession, path: str, suffix: str, schema: str | None = None, sample: Column | None = None) -> DataFrame:
+    """All files of a glob as one table, with the column `sample`: the file's name without the suffix, or an expression on _metadata."""
     reader = spark.read.option("header", True)
     df = reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
-    return df.select(sample_from_path(suffix).alias("sample"), "*")
+    return df.select((sample if sample is not None else sample_from_path(suffix)).alias("sample"), "*")
 
 
-def read_metric_json(spark: SparkSession, path: str, suffix: str) -> DataFrame:
-    """(sample, metric, value) of flat JSON objects, one a file, whose numbers are written as strings."""
-    raw = spark.read.text(path, wholetext=True).select(sample_from_path(suffix).alias("sample"), F.from_json("value", "map<string,string>").alias("m"))
+def read_metric_json(spark: SparkSession, path: str, suffix: str, sample: Column | None = None) -> DataFrame:
+    """(sample, metric, value) of flat JSON objects, one a file, whose numbers are written as strings; the sample as in read_csv_per_sample."""
+    name = (sample if sample is not None else sample_from_path(suffix)).alias("sample")
+    raw = spark.read.text(path, wholetext=True).select(name, F.from_json("value", "map<string,string>").alias("m"))
     return raw.select("sample", F.explode("m").alias("metric", "v")).select("sample", "metric", F.col("v").try_cast("double").alias("value"))
 
 
-def read_geojson(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    """(layer, name, ring) of files that hold one Feature or a list of them."""
-    feature = "struct<geometry:struct<type:string,coordinates:array<array<array<double>>>>,properties:struct<name:string>>"
-    text = spark.read.text(path, wholetext=True)
+def read_geojson(spark: SparkSession, path: str, layer: str, lines: bool = False, properties: list[str] = ()) -> DataFrame:
+    """(layer, name, ring, further properties as strings) of files that hold one Feature or a list of them, or one Feature a line."""
+    named = ",".join(f"`{n}`:string" for n in ["name", *properties])
+    feature = f"struct<geometry:struct<type:string,coordinates:array<array<array<double>>>>,properties:struct<{named}>>"
+    text = spark.read.text(path, wholetext=not lines)
     listed = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("["), "value", F.lit("]")))
     f = text.select(F.explode(F.from_json(listed, f"array<{feature}>")).alias("f"))
     ring = F.transform(F.get("f.geometry.coordinates", F.lit(0)), lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
-    return f.select(F.lit(layer).alias("layer"), F.col("f.properties.name").alias("name"), ring.alias("ring"))
+    return f.select(F.lit(layer).alias("layer"), F.col("f.properties.name").alias("name"), ring.alias("ring"), *[F.col(f"f.properties.{n}").alias(n) for n in properties])
 
 
-def read_registration_meta(spark: SparkSession, path: str) -> DataFrame:
-    """One row a file: landmark lists and matrices as nested arrays, whatever their names."""
-    return spark.read.option("multiLine", True).json(path)
+def read_registration_meta(spark: SparkSession, path: str, schema: str | None = None, lines: bool = False) -> DataFrame:
+    """One row a file, or a line: landmark lists and matrices as nested arrays, by the given schema; without one it is inferred from the data."""
+    reader = spark.read.option("multiLine", not lines)
+    return (reader.schema(schema) if schema else reader).json(path)
 
 
-def read_regions(spark: SparkSession, path: str) -> DataFrame:
-    """(file, region_id, ring, bbox) of region files."""
+def read_regions(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """(file, region_id, ring, bbox) of region files, one object a file or a line."""
     schema = "regions array<array<array<double>>>, bboxes array<array<double>>"
-    df = spark.read.schema(schema).option("multiLine", True).json(path)
+    df = spark.read.schema(schema).option("multiLine", not lines).json(path)
     r = df.select(F.col("_metadata.file_path").alias("file"), F.posexplode("regions").alias("region_id", "r"), "bboxes")
     ring = F.transform("r", lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
     b = F.get("bboxes", F.col("region_id"))
@@ -87,18 +91,27 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.csv(path, header=True)
 
 
-def write_mz_slices(df: DataFrame, path: str) -> None:
-    """One folder for every m/z value; rows of a value are dealt by pixel, so that a common value is written by many tasks."""
+def write_mz_slices(df: DataFrame, path: str, index: bool = False, checker: bool = False) -> None:
+    """One folder for every m/z value; rows of a value are dealt by pixel, so that a common value is written by many tasks. With index, a further slice
+    of m/z -1 holds each pixel's number; with checker (df with row, col), one of m/z -2 the chequered control image."""
+    from mosaica.operators.rasters import checker_slice, index_slice
+
+    px = df.drop("mz", "value", "intensity").distinct()
+    for wanted, slice_, mz in ((index, index_slice, -1.0), (checker, checker_slice, -2.0)):
+        if wanted:
+            df = df.unionByName(slice_(px).withColumn("mz", F.lit(mz)), allowMissingColumns=True)
     df.repartition(F.col("mz"), F.pmod(F.xxhash64("ims_idx"), F.lit(8))).write.partitionBy("mz").parquet(path)
 
 
 def write_geojson(df: DataFrame, path: str) -> None:
-    """(name, ring) as one GeoJSON Feature a line, without classification."""
+    """(name, ring, other columns) as one GeoJSON Feature a line; other columns become properties, but for `classification`."""
     ring = F.transform("ring", lambda p: F.array(p.x, p.y))
+    rest = [c for c in df.columns if c not in ("name", "ring", "classification")]
+    kind = [] if "objectType" in rest else [F.lit("annotation").alias("objectType")]
     feature = F.struct(
         F.lit("Feature").alias("type"),
         F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"),
-        F.struct(F.lit("annotation").alias("objectType"), F.col("name").alias("name")).alias("properties"),
+        F.struct(*kind, F.col("name"), *rest).alias("properties"),
     )
     df.select(F.to_json(feature).alias("value")).write.text(path)
 
