@@ -79,8 +79,10 @@ def wide_table(df: DataFrame, ids: list[str], types: list[str], value: Column) -
     return A.to_wide(df, ids, "celltype", types, value)
 
 
-def two_level_association(df: DataFrame, types: list[str], samples: DataFrame, covariates: list[str], method: str = "SAR") -> DataFrame:
-    """Wide rows (mz, sample_id, ims_idx, ims_x, ims_y, value, one column a type) to the second level's table with FDR."""
+def two_level_association(df: DataFrame, types: list[str], samples: DataFrame, covariates: list[str], method: str = "SAR", column_names: dict[str, str] | None = None) -> DataFrame:
+    """Wide rows (mz, sample_id, ims_idx, ims_x, ims_y, value, one column a type) to the second level's table with FDR. column_names maps these
+    names to those of df where they differ."""
+    df = models.named(df, column_names or {})
     scored = models.zscore(df.where("value is not null"), "value", ["mz"], "z")
     x, names = models.design(scored, types)
     first = models.associate(x, ["mz", "sample_id"], "z", names, method)

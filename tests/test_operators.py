@@ -279,3 +279,48 @@ def test_whole_job_queries(spark, sf):
 
     assert QUERIES["match_pixels_all_samples"](spark, sf).count() == fixture(spark, sf, "pixels").count()
     assert QUERIES["resample_shift_full"](spark, sf).count() == fixture(spark, sf, "raster").where("channel = 1").count()
+
+
+def test_lag_on_a_strip_goes_beyond_a_quarter(spark):
+    """A line of pixels: the largest eigenvalue is 2, so rho may reach a half."""
+    rng = np.random.default_rng(11)
+    n, rho = 300, 0.4
+    W = np.eye(n, k=1) + np.eye(n, k=-1)
+    x = rng.normal(size=n)
+    y = np.linalg.solve(np.eye(n) - rho * W, 1 + 2 * x + 0.3 * rng.normal(size=n))
+    df = spark.createDataFrame([("g", i, i, 0, float(a), float(b), 1.0) for i, (a, b) in enumerate(zip(x, y))], "g string, ims_idx int, ims_x int, ims_y int, x double, y double, one double")
+    fit = {r.term: r for r in models.fit_lag(df, ["g"], "y", ["one", "x"]).collect()}
+    assert abs(fit["rho"].estimate - rho) < 0.02 and abs(fit["x"].estimate - 2) < 0.1 and fit["rho"].status == "ok"
+    moments = [np.trace(np.linalg.matrix_power(W, k)) / n for k in range(1, 13)]
+    for r in (0.1, 0.3, 0.45):
+        assert models.log_det(r, moments, 2.0) == pytest.approx(np.linalg.slogdet(np.eye(n) - r * W)[1] / n, rel=0.01)
+
+
+def test_unsettled_point_sets_raise(spark, monkeypatch):
+    monkeypatch.setattr(graphs, "MAX_ROUNDS", 0)
+    a = spark.createDataFrame([(1, 0.0, 0.0)], "id int, x double, y double")
+    with pytest.raises(RuntimeError):
+        graphs.merge_points(a, a.withColumn("id", F.lit(2)))
+
+
+def test_lookup_takes_the_first_row_of_the_sheet(spark):
+    sheet = spark.createDataFrame([(0, "p", "z"), (1, "p", "a")], "seq int, project string, core string")
+    assert lookups.lookup(sheet, "project", "p", "core").first()[0] == "z"
+    assert lookups.mz_columns(sheet.withColumns({"1001.2": F.lit(1), "X2000": F.lit(1), "123": F.lit(1)})) == ["1001.2", "X2000"]
+
+
+def test_checkpoint_folder_is_refused_on_a_cluster(monkeypatch):
+    from mosaica.operators import lineage
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        lineage.checkpoint_dir(Session())
