@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from mosaica.operators.lineage import cut
+
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
 def tic(spectra: DataFrame, key: str = "ims_idx") -> DataFrame:
+    """Total intensity and number of features of each pixel."""
     return spectra.groupBy(key).agg(F.sum("intensity").alias("tic"), F.count("*").alias("n_features"))
 
 
@@ -26,6 +29,7 @@ def label_means(labels: DataFrame, raster: DataFrame, channels: list[int] | None
 
 
 def label_props(labels: DataFrame) -> DataFrame:
+    """Area, centroid and box of each label but 0."""
     return labels.where("label <> 0").groupBy("label").agg(
         F.count("*").alias("area"), F.avg("row").alias("c_row"), F.avg("col").alias("c_col"),
         F.min("row").alias("r0"), F.min("col").alias("c0"), F.max("row").alias("r1"), F.max("col").alias("c1"),
@@ -47,6 +51,7 @@ def corner_label(boxes: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def union_bbox(boxes: DataFrame, margin: float, shape: tuple[float, float], keys: list[str] = ()) -> DataFrame:
+    """Box around all boxes of a group with a margin, within the image (rows, columns)."""
     return boxes.groupBy(*keys).agg(
         F.greatest(F.min("r0") - margin, F.lit(0.0)).alias("r0"), F.greatest(F.min("c0") - margin, F.lit(0.0)).alias("c0"),
         F.least(F.max("r1") + margin, F.lit(float(shape[0]))).alias("r1"), F.least(F.max("c1") + margin, F.lit(float(shape[1]))).alias("c1"),
@@ -104,13 +109,33 @@ def image_similarity(img1: DataFrame, img2: DataFrame, bins: int = 100) -> DataF
     return out.select("mse", (F.sqrt("mse") / F.sqrt("ms")).alias("nrmse"), ((F.col("hi") + F.col("hj")) / F.col("hij")).alias("nmi"))
 
 
+def table_quantile(df: DataFrame, col: str, q: float, out: str) -> DataFrame:
+    """One row: the quantile of a whole column with linear interpolation, exact, without its values meeting in one task.
+
+    Values are counted, ranges of them sorted in partitions, and only the sizes of the ranges and the two neighbouring ranks come together. Nulls do not count.
+    """
+    counted = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    part = F.spark_partition_id().alias("part")
+    ranged = cut(counted.repartitionByRange("v").select("v", "n", part))
+    sizes = ranged.groupBy("part").agg(F.sum("n").alias("size"))
+    before = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"), F.sum("size").over(Window.partitionBy()).alias("total"))  # a row a partition
+    inside = F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1))
+    at = q * (F.col("total") - 1)
+    run = ranged.join(F.broadcast(before), "part").withColumn("lo", F.col("before") + F.coalesce(inside, F.lit(0)))
+    pick = lambda rank: F.max(F.when((F.col("lo") <= rank) & (rank < F.col("lo") + F.col("n")), F.col("v")))
+    got = run.agg(pick(F.floor(at)).alias("a"), pick(F.ceil(at)).alias("b"), F.max(at).alias("at"))
+    return got.select((F.col("a") + (F.col("at") - F.floor("at")) * (F.col("b") - F.col("a"))).alias(out))
+
+
 def mad(df: DataFrame, col: str) -> DataFrame:
     """(median, mad): mad is 1.4826 times the median absolute deviation."""
-    m = df.agg(F.percentile(col, F.lit(0.5)).alias("median"))
-    return df.crossJoin(F.broadcast(m)).groupBy("median").agg((F.percentile(F.abs(F.col(col) - F.col("median")), F.lit(0.5)) * 1.4826).alias("mad"))  # one row
+    m = table_quantile(df, col, 0.5, "median")
+    off = df.crossJoin(F.broadcast(m)).select(F.abs(F.col(col) - F.col("median")).alias("_off"))  # one row
+    return m.crossJoin(F.broadcast(table_quantile(off, "_off", 0.5, "_mad"))).select("median", (F.col("_mad") * 1.4826).alias("mad"))  # one row
 
 
 def completeness(df: DataFrame, found: str = "n_found", expected: str = "n_expected") -> DataFrame:
+    """Found over expected, null where nothing is expected."""
     return df.withColumn("completeness", F.col(found) / F.when(F.col(expected) > 0, F.col(expected)))
 
 
@@ -121,27 +146,33 @@ def pixel_cell_stats(df: DataFrame, key: str = "sample_id") -> DataFrame:
 
 
 def pixel_total(df: DataFrame, keys: list[str] = ("ims_idx",)) -> DataFrame:
+    """Sum of the values of each pixel."""
     return df.groupBy(*keys).agg(F.sum("value").alias("total"))
 
 
 def multi_pixel_cells(df: DataFrame, keys: list[str] = ("sample_id", "cell_idx")) -> DataFrame:
+    """Rows of the cells that lie on more than one pixel."""
     many = df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
     return df.join(many, list(keys), "left_semi")
 
 
 def filled_area(df: DataFrame, keys: list[str] = ("sample_id", "ims_idx")) -> DataFrame:
+    """Area of each pixel that cells fill; a missing overlap fills nothing."""
     return df.groupBy(*keys).agg(F.sum(F.coalesce(F.col("overlap") * F.col("cell_area"), F.lit(0.0))).alias("filled"))
 
 
 def missing_fraction(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Share of null values of each group."""
     return df.groupBy(*keys).agg(F.avg(F.col("value").isNull().cast("double")).alias("missing"))
 
 
 def mean_intensity(df: DataFrame, keys: list[str] = ("sample_id", "mz")) -> DataFrame:
+    """Mean of the known values of each group."""
     return df.groupBy(*keys).agg(F.avg("value").alias("mean"))
 
 
 def celltype_proportions(annotation: DataFrame, types: list[str] | None = None, wide: bool = False) -> DataFrame:
+    """Number and share of each cell type in its sample, long, or one column a type with 0 for absent ones."""
     n = annotation.groupBy("sample_id", "celltype").agg(F.count("*").alias("n"))
     out = n.withColumn("proportion", F.col("n") / F.sum("n").over(Window.partitionBy("sample_id")))
     if not wide:
@@ -155,6 +186,7 @@ def to_wide(df: DataFrame, ids: list[str], names: str, types: list[str], aggrega
 
 
 def to_long(df: DataFrame, ids: list[str], values: list[str] | None = None, name: str = "name", value: str = "value") -> DataFrame:
+    """One row for each value column, nulls too."""
     return df.unpivot(ids, values or [c for c in df.columns if c not in ids], name, value)
 
 
@@ -218,6 +250,7 @@ def convex_hull(points: DataFrame, key: str) -> DataFrame:
 
 
 def component_sizes(df: DataFrame, least: int = 0) -> DataFrame:
+    """Members of each component, for those with at least so many."""
     return df.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") >= least)
 
 
@@ -233,9 +266,11 @@ def two_population_threshold(px: DataFrame) -> DataFrame:
 
 
 def missing_vs_estimate(fit: DataFrame, missing: DataFrame) -> DataFrame:
+    """Correlation over m/z of the share of missing values with the estimate, for each cell type."""
     return fit.join(missing, "mz").groupBy("celltype").agg(F.corr("missing", "estimate").alias("correlation"))
 
 
 def standardise(df: DataFrame, col: str, keys: list[str], out: str = "z") -> DataFrame:
+    """Values less their group's mean, over its sample standard deviation. For groups that fit a task; models.zscore takes any."""
     w = Window.partitionBy(*keys)
     return df.withColumn(out, (F.col(col) - F.avg(col).over(w)) / F.stddev_samp(col).over(w))

@@ -57,6 +57,7 @@ def frame_metrics(displacement: DataFrame, before: DataFrame, after: DataFrame,
 
 
 def similarity_metrics(img1: DataFrame, img2: DataFrame, data_range: float = 1.0) -> DataFrame:
+    """Errors, mutual information and structural similarity of two images."""
     return A.image_similarity(img1, img2).crossJoin(ssim(img1, img2, data_range))
 
 
@@ -67,6 +68,7 @@ def verdict_ims(df: DataFrame, t: dict = THRESHOLDS) -> DataFrame:
 
 
 def verdict_landmarks(n: Column, error: Column, t: dict = THRESHOLDS) -> Column:
+    """Error below its threshold; null with too few landmarks."""
     return F.when(n > t["min_landmarks"], error < t["max_error"])
 
 
@@ -77,10 +79,12 @@ def verdict_regions(n: Column, error: Column, dice: Column, both: bool, t: dict
 
 
 def verdict_shift(dx: Column, dy: Column, t: dict = THRESHOLDS) -> Column:
+    """Shift shorter than the largest error."""
     return F.hypot(dx, dy) < t["max_error"]
 
 
 def thresholds_table(spark: SparkSession, settings: list[dict]) -> DataFrame:
+    """A short table of settings, numbered in the order given."""
     return spark.createDataFrame([{"setting": i, **{k: float(v) for k, v in s.items()}} for i, s in enumerate(settings)])
 
 
@@ -108,11 +112,13 @@ def overall_verdict(ims: Column, preims_postims: Column, preimc_preims: Column,
 
 
 def verdict_table(df: DataFrame, cols: list[str], long: bool = False) -> DataFrame:
+    """The verdicts of each sample, one column each or one row each (step, keep)."""
     wide = df.select("sample", *cols)
     return A.to_long(wide, ["sample"], cols, "step", "keep") if long else wide
 
 
 def step_summary(df: DataFrame, step: str, digits: int = 3) -> DataFrame:
+    """The metrics of a step under their short names, with completeness where counts are there, to significant digits."""
     s = select_step(df, step)
     if {"n_found", "n_expected"} <= set(s.columns):
         s = A.completeness(s)
@@ -139,6 +145,7 @@ def metric_overview(wide: DataFrame, metrics: list[str], lookup: DataFrame) -> D
 
 
 def association_table(fit: DataFrame, digits: int = 3) -> DataFrame:
+    """Fit with the false discovery rate of each term, to significant digits."""
     q = fdr(fit, "p_value", ["term"], "fdr")
     return q.withColumns({c: signif(F.col(c), digits) for c in ("estimate", "std_error", "p_value", "fdr")})
 
@@ -150,6 +157,7 @@ def association_matrix(fit: DataFrame, value: str, types: list[str], term: str =
 
 
 def volcano(fit: DataFrame, term: str, alpha: float = 0.05) -> DataFrame:
+    """Estimate and -log10 of the false discovery rate of one term, with a label where it is below alpha."""
     f = fit.where(F.col("term") == term)
     hit = F.col("fdr") < alpha
     return f.select("mz", "celltype", "estimate", (-F.log10("fdr")).alias("neg_log10_fdr"), hit.alias("significant"), F.when(hit, F.concat_ws(" ", "celltype", F.col("mz").cast("string"))).alias("label"))

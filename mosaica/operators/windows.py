@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 
 def index_rows(df: DataFrame, keys: list[str], order: str, out: str = "idx") -> DataFrame:
+    """Rows of each group numbered from 0."""
     return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1)
 
 
@@ -27,6 +28,7 @@ def drop_rare_types(df: DataFrame, most: int = 2, col: str = "celltype") -> Data
 
 
 def cells_per_pixel(df: DataFrame) -> DataFrame:
+    """The number of cells of the row's pixel beside every row."""
     return df.withColumn("n_cells", F.count("cell_idx").over(Window.partitionBy("sample_id", "ims_idx")))
 
 
@@ -38,6 +40,7 @@ def fill_updown(df: DataFrame, cols: list[str], keys: list[str], order: str) ->
 
 
 def share(df: DataFrame, n: str, keys: list[str], out: str = "share") -> DataFrame:
+    """Share of a value in its group's sum."""
     return df.withColumn(out, F.col(n) / F.sum(n).over(Window.partitionBy(*keys)))
 
 
@@ -123,15 +126,18 @@ def erode(mask: DataFrame, size: int) -> DataFrame:
 
 
 def ring_mask(mask: DataFrame, outside: int, inside: int) -> DataFrame:
+    """The grown mask without the shrunk one."""
     return dilate(mask, outside).join(erode(mask, inside), ["row", "col"], "left_anti")
 
 
 def normalise_origin(px: DataFrame, keys: list[str] = ("sample_id",)) -> DataFrame:
+    """x, y moved so that each group starts at 0."""
     low = px.groupBy(*keys).agg(F.min("x").alias("_x"), F.min("y").alias("_y"))
     return px.join(low, list(keys)).withColumn("x", F.col("x") - F.col("_x")).withColumn("y", F.col("y") - F.col("_y")).drop("_x", "_y")
 
 
 def top_fraction(df: DataFrame, score: str, frac: float = 0.9) -> DataFrame:
+    """Rows whose score reaches a share of the best, best first."""
     top = df.agg(F.max(score).alias("_top"))
     return df.crossJoin(F.broadcast(top)).where(F.col(score) >= frac * F.col("_top")).drop("_top").orderBy(F.col(score).desc())  # one row
 
@@ -142,7 +148,10 @@ def top_n(df: DataFrame, score: str, n: int, largest: bool = False) -> DataFrame
 
 
 def quantile_cut(df: DataFrame, col: str, q: float) -> DataFrame:
-    cutoff = df.agg(F.percentile(col, F.lit(q)).alias("_q"))
+    """Rows whose value reaches the column's quantile."""
+    from mosaica.operators.aggregates import table_quantile
+
+    cutoff = table_quantile(df, col, q, "_q")
     return df.crossJoin(F.broadcast(cutoff)).where(F.col(col) >= F.col("_q")).drop("_q")  # one row
 
 
@@ -165,10 +174,12 @@ def composite_best(candidates: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:
+    """All rows of all tables by column name; absent columns are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
 def distinct_pixels(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Distinct rows of the columns."""
     return df.select(*cols).distinct()
 
 
@@ -178,9 +189,11 @@ def name_mismatch(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def common_samples(a: DataFrame, b: DataFrame, key: str = "sample_id") -> DataFrame:
+    """Samples of both tables."""
     return a.select(key).intersect(b.select(key))
 
 
 def presence(df: DataFrame, types: list[str], col: str = "type") -> DataFrame:
+    """For each expected type whether the table has it."""
     expected = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(t) for t in types])).alias(col))
     return expected.join(df.select(col).distinct().withColumn("_h", F.lit(True)), col, "left").select(col, F.coalesce("_h", F.lit(False)).alias("exists"))
