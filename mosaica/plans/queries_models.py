@@ -34,14 +34,31 @@ def fit_ols(spark, sf_dir):
     return fit.groupBy("sample", "n").agg(F.round(at("one", "estimate"), 5).alias("intercept"), F.round(at("p1x", "estimate"), 5).alias("slope"), F.round(at("p1x", "std_error"), 5).alias("slope_se"))
 
 
-@query()
+def _robust_sql(rounds: int = 30) -> str:
+    """Weighted least squares round by round: Huber weights in the first three, then bisquare, the scale by the median of absolute residuals."""
+    fit = "SELECT sample, regr_slope(p2x, p1x) AS b, regr_intercept(p2x, p1x) AS a FROM matches GROUP BY sample"
+    sql = f", f0 AS MATERIALIZED ({fit})"
+    for k in range(rounds):
+        weight = "CASE WHEN u <= 1.345 THEN 1 ELSE 1.345 / u END" if k < 3 else "CASE WHEN u < 4.685 THEN (1 - (u / 4.685) ** 2) ** 2 ELSE 0 END"
+        sql += f"""
+, r{k} AS (SELECT sample, p1x AS x, p2x AS y, abs(p2x - a - b * p1x) AS r FROM matches JOIN f{k} USING (sample)),
+w{k} AS (SELECT sample, x, y, {weight} AS w FROM (SELECT sample, x, y, r / greatest(1.4826 * median(r) OVER (PARTITION BY sample), 1e-12) AS u FROM r{k})),
+m{k} AS (SELECT sample, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my FROM w{k} GROUP BY sample),
+f{k + 1} AS MATERIALIZED (SELECT sample, b, my - b * mx AS a FROM (SELECT sample, mx, my, sum(w * (x - mx) * (y - my)) / sum(w * (x - mx) ** 2) AS b FROM w{k} JOIN m{k} USING (sample) GROUP BY ALL))"""
+    return sql + f" SELECT sample, 'one' AS term, round(a, 4) AS estimate FROM f{rounds} UNION ALL SELECT sample, 'p1x', round(b, 4) FROM f{rounds}"
+
+
+@query(with_sql("matches") + _robust_sql())
 def fit_robust(spark, sf_dir):
     m = fixture(spark, sf_dir, "matches").withColumn("one", F.lit(1.0))
     return models.fit_robust(m, ["sample"], "p2x", ["one", "p1x"]).select("sample", "term", *_r("estimate", digits=4))
 
 
-@query()
+@query(with_sql("cell_annotation") + """
+, m AS (SELECT sample_id, ln(avg(CASE WHEN status <> 'F' THEN value END)) AS a, ln(avg(CASE WHEN status = 'F' THEN value END)) AS b FROM cell_annotation GROUP BY sample_id)
+SELECT sample_id, 'one' AS term, round(a, 5) AS estimate FROM m UNION ALL SELECT sample_id, 'f', round(b - a, 5) FROM m""")
 def fit_glm_gamma(spark, sf_dir):
+    """With one two-valued covariate the likelihood is greatest at the means of the two kinds."""
     d = fixture(spark, sf_dir, "cell_annotation").withColumn("one", F.lit(1.0)).withColumn("f", (F.col("status") == "F").cast("double"))
     return models.fit_glm(d, ["sample_id"], "value", ["one", "f"]).select("sample_id", "term", *_r("estimate", digits=5))
 
