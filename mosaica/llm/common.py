@@ -53,6 +53,28 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYT
     pa.default_memory_pool().release_unused()
 
 
+ROUTE_BITS, MOST_ROUTE_BITS = 24, 27  # bounds of a routing bitmap: 2**24 bits are 2 MB
+
+
+def routing_bitmap(hashes: DataFrame, col: str):
+    """Broadcast (bits, words): a bitmap of the leading bits of 64-bit hashes, to tell in a scan which rows may be among them. It has some 16 bits for each
+    hash, within 2 and 16 MB; beyond, more rows hit than need be, so it only saves work, and an exact join must follow."""
+    bits = max(ROUTE_BITS, min(MOST_ROUTE_BITS, int(hashes.count()).bit_length() + 4))
+    at = F.shiftrightunsigned(col, 64 - bits)
+    words = hashes.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned({col}, {64 - bits}) & 63 as int))")).alias("b"))
+    got = words.toPandas()
+    bitmap = np.zeros(1 << (bits - 6), np.uint64)
+    bitmap[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64).view(np.uint64)
+    return hashes.sparkSession.sparkContext.broadcast((bits, bitmap))
+
+
+def routed(hashes: np.ndarray, route) -> np.ndarray:
+    """Which of the hashes the bitmap has."""
+    bits, bitmap = route.value
+    at = hashes.astype(np.uint64) >> np.uint64(64 - bits)
+    return ((bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Materialise df as a table in the shared checkpoint folder: more compact than checkpoint(), same guarantee.
     drop_stored() removes such tables."""

@@ -11,10 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mosaica.llm.common import checkpoint, slices, table, text_or_empty
+from mosaica.llm.common import checkpoint, routed, routing_bitmap, slices, table, text_or_empty
 
 QUOTIENT_BITS = 8  # of a block
-ROUTE_BITS, MOST_ROUTE_BITS = 24, 27  # bounds of the routing bitmap: 2**24 bits are 2 MB
 
 
 def _scan(batches: Iterator[pa.RecordBatch], with_text: bool, route=None) -> Iterator[pa.RecordBatch]:
@@ -29,10 +28,7 @@ def _scan(batches: Iterator[pa.RecordBatch], with_text: bool, route=None) -> Ite
             names.append("norm")
         out = pa.RecordBatch.from_arrays(cols, names)
         if route is not None:
-            bits, bitmap = route.value
-            at = fp >> np.uint64(64 - bits)
-            hit = (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)
-            out = out.filter(pa.array(hit.astype(bool)))
+            out = out.filter(pa.array(routed(fp, route)))
         yield out
 
 
@@ -125,18 +121,6 @@ def repeated_fingerprints(scanned: DataFrame) -> DataFrame:
     return blocks.groupBy("block").applyInPandas(lambda pdf: _merge(pdf, block_bits), "fp long, n long")
 
 
-def _route(repeated: DataFrame):
-    """A bitmap of the leading fingerprint bits that some repeated fingerprint has. It only saves work (a set bit sends a text to the byte
-    comparison, which decides) and has some 16 bits for each of them, within 2 and 16 MB."""
-    bits = max(ROUTE_BITS, min(MOST_ROUTE_BITS, int(repeated.count()).bit_length() + 4))
-    at = F.shiftrightunsigned("fp", 64 - bits)
-    words = repeated.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(fp, {64 - bits}) & 63 as int))")).alias("bits"))
-    got = words.toPandas()
-    bitmap = np.zeros(1 << (bits - 6), np.uint64)
-    bitmap[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
-    return repeated.sparkSession.sparkContext.broadcast((bits, bitmap))
-
-
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, keep_id, group_size, kept, text_sha256), one row per input row.
 
@@ -149,7 +133,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     raw = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("t"))
     kind = docs.schema[id_col].dataType.simpleString()
     scanned = checkpoint(raw.mapInArrow(lambda it: _scan(it, False), f"id {kind}, fp long, sha string"))
-    route = _route(checkpoint(repeated_fingerprints(scanned)))
+    route = routing_bitmap(checkpoint(repeated_fingerprints(scanned)), "fp")
     candidates = raw.mapInArrow(lambda it: _scan(it, True, route), f"id {kind}, fp long, sha string, norm binary")
     groups = candidates.groupBy("fp", "sha", "norm").agg(F.max("id").alias("keep_id"), F.count("*").alias("n")).where("n > 1")
     joined = scanned.join(groups.select("fp", "sha", "keep_id", "n"), ["fp", "sha"], "left")

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mosaica.llm.common import checkpoint, partitions, slices, stored, table, text_or_empty
+from mosaica.llm.common import checkpoint, partitions, routed, routing_bitmap, slices, stored, table, text_or_empty
 from mosaica.operators.components import connected_components
 
 BYTES = 8
@@ -169,10 +169,12 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
         yield out.filter(pa.array([x is not None for x in sig], pa.bool_()))
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int, route) -> Iterator[pa.RecordBatch]:
+    """Shingle sets of the rows that the routing bitmap has."""
     for b in slices(batches, "t"):
-        s = [np.unique((shingle_hashes(t, width) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.list_(pa.int32()))], ["id", "s"])
+        b = b.filter(pa.array(routed(b.column("h").to_numpy().view(np.uint64), route)))
+        s = [np.unique((shingle_hashes(t, width) >> np.uint64(32)).astype(np.uint32)).view(np.int32) for t in b.column("t").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(s, pa.list_(pa.int32()))], ["id", "s"])
 
 
 def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -180,8 +182,8 @@ def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     A positional index again: POSITIONS least hashes a text, each BAND neighbouring ones a posting key. First every member of a list is
     held against the list's smallest id, which settles most copies at one pair a member. Members not found so are then held against all
-    smaller members of their lists: at once in lists of up to SHORT_LIST members, else in steps, a member's step being drawn by its hash, the first of some two
-    members of the longest list and each about four times as large as the one before; rows found leave as the ones sought but stay as the ones held
+    smaller members of their lists: at once in lists of up to SHORT_LIST members, else in steps, a member's step being drawn by its hash, the first of some four
+    members of the longest list and each about eight times as large as the one before; rows found leave as the ones sought but stay as the ones held
     against. So every pair on a list is compared unless its larger row was found already, and once, on the first list that both are on.
     Pairs must share enough positions (the count filter), then the whole shingle sets are compared. A pair at the threshold
     shares a list with a probability of 0.995 and passes the count filter with one of 0.999. Texts without words and null ids are never found.
@@ -197,8 +199,9 @@ def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def similar(pairs: DataFrame) -> DataFrame:
         """(id) of the pairs (id, rep) whose whole sets are similar."""
-        wanted = pairs.select("id").unionByName(pairs.select(F.col("rep").alias("id"))).distinct()
-        sets = stored(raw.join(wanted, "id").select("id", "t").mapInArrow(lambda it: _sets(it, width), f"id {kind}, s array<int>"))
+        wanted = pairs.select(F.xxhash64("id").alias("h")).unionByName(pairs.select(F.xxhash64("rep").alias("h"))).distinct()
+        route = routing_bitmap(wanted, "h")  # texts stay where they lie
+        sets = stored(raw.select("id", "t", F.xxhash64("id").alias("h")).mapInArrow(lambda it: _sets(it, width, route), f"id {kind}, s array<int>"))
         both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("rep"), F.col("s").alias("rep_s")), "rep")
         common = F.size(F.array_intersect("s", "rep_s"))
         return stored(both.where(common / (F.size("s") + F.size("rep_s") - common) >= similarity).select("id").distinct())
@@ -214,11 +217,11 @@ def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     left = stored(listed.where("id > low").join(gone, "id", "left_anti").select("id", "band", "h", "n"))
     tops = left.groupBy("band", "h").agg(F.max("id").alias("top"))
     held = listed.where("id > low").join(tops, ["band", "h"]).where("id < top").select("id", "band", "h", "n")
-    # Step 0 takes a share 4**-(steps - 1) of the longest list's members, the last one three quarters.
+    # Step 0 takes a share 8**-(steps - 1) of the longest list's members, the last one seven eighths.
     most = int(held.agg(F.max("n")).first()[0] or 0)
-    steps = 1 if most <= SHORT_LIST else (most.bit_length() + 1) // 2
+    steps = 1 if most <= SHORT_LIST else (most.bit_length() + 1) // 3
     draw = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 40)) / float(1 << 40)
-    step = F.when(F.col("n") <= SHORT_LIST, 0).otherwise(F.greatest(F.lit(0), F.lit(steps - 1) - F.floor(-F.log(4.0, draw + 1e-13))).cast("int"))
+    step = F.when(F.col("n") <= SHORT_LIST, 0).otherwise(F.greatest(F.lit(0), F.lit(steps - 1) - F.floor(-F.log(8.0, draw + 1e-13))).cast("int"))
     held = stored(held.join(signed, "id").select(F.col("id").alias("rep"), "band", "h", F.col("sig").alias("rep_sig"), step.alias("step")))
     for at in range(steps if most else 0):
         wanted = left if at == 0 else left.where(F.col("n") > SHORT_LIST)
