@@ -383,7 +383,7 @@ def test_personal_query_and_context(spark, sf, docs):
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == n for k, _, _ in base) for n in names)
         assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest()
         assert ",".join(x for x in r.spans.split(",") if not x.startswith("iban:")) == said
-    rows = [(1, "the ship hotel 10.0.0.1"), (2, "my IP 10.0.0.1"), (3, "account DE89370400440532013000"), (4, "+49 DE89370400440532013000"), (5, "+1 4111111111111111")]
+    rows = [(1, "the ship hotel 10.0.0.1"), (2, "my IP 10.0.0.1"), (3, "account DE89370400440532013000"), (4, "+49 DE89370400440532013000"), (5, "+ (4111111111111111")]
     got = {r.doc_id: [(x.kind, x.score) for x in r.found] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == [("ip", 0.6)] and got[2] == [("ip", 0.75)] and got[3] == [("iban", 0.95)]
     assert got[4] == [] and ("card", 0.7) in got[5]  # what continues a phone number is no account number without a word for it
