@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["fingerprints", "simhash", "exact_dedup", "pieces", "substring", "quality", "packing", "secrets", "urls", "pii"]
+MODULES = ["fingerprints", "simhash", "exact_dedup", "pieces", "substring", "quality", "packing", "secrets", "urls", "pii", "length_packing", "spelling", "merkle"]
 
 
 def load() -> tuple[dict, dict]:
