@@ -26,6 +26,8 @@ EPOCHS = 2
 GENERATIONS = 40  # an epoch ends before if an island reaches the lower bound
 POPULATION = 8
 BLOCK_PIECES = 2048
+BUNDLE_SHARE = 64  # pieces shorter than such a part of a sequence are bundled
+GROUP_PIECES = 65_536  # short pieces that are put end to end in one group
 LEFT_BINS = 4  # least filled sequences of a block that are packed again with those of other blocks
 CACHE_PARTS = 200_000  # in each half of a task's cache, some 50 MB in all
 TEXT_SLICE = 8 << 20  # bytes of text whose words are encoded together
@@ -252,14 +254,36 @@ def evolved_blocks(pieces: DataFrame, blocks: int, capacity: int, salt: int) ->
     return elite
 
 
+def bundled(pieces: DataFrame, count: int, unit: int) -> DataFrame:
+    """(row, piece, length, lead_row, lead_piece, item_length) of pieces: those shorter than `unit` are put end to end within groups of bounded size and bundled,
+    so that every item but one a group is about `unit` long at least and less than twice that; longer pieces are items of their own. The first piece of
+    an item names it."""
+    group = F.when(F.col("length") < unit, F.pmod(F.xxhash64("row", "piece", F.lit(-1)), F.lit(-(-count // GROUP_PIECES))))
+    small = pieces.withColumn("group", group).where("group is not null")
+    run = Window.partitionBy("group").orderBy("row", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    small = small.withColumn("bundle", F.floor(F.coalesce(F.sum("length").over(run), F.lit(0)) / unit))
+    one = Window.partitionBy("group", "bundle")
+    lead = F.min(F.struct("row", "piece")).over(one)
+    small = small.select("row", "piece", "length", lead.alias("lead"), F.sum("length").over(one).alias("item_length")).select("row", "piece", "length", "lead.row", "lead.piece", "item_length").toDF("row", "piece", "length", "lead_row", "lead_piece", "item_length")
+    large = pieces.where(F.col("length") >= unit).select("row", "piece", "length", F.col("row").alias("lead_row"), F.col("piece").alias("lead_piece"), F.col("length").alias("item_length"))
+    return large.unionByName(small)
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY, block_pieces: int = BLOCK_PIECES) -> DataFrame:
     """(row, piece, sequence_id, offset) of pieces (columns row and piece, which name one, and length, at most capacity).
 
-    Every block leaves sequences with room. The LEFT_BINS least filled ones of each block are dealt and evolved again in a
-    further pass over them alone, and so on until the pass has one block; a pass has some hundredth of the pieces of the one before.
+    Pieces shorter than a BUNDLE_SHARE-th of a sequence are bundled to items of about that length, so that a block of items fills many sequences. Every block leaves
+    sequences with room. The LEFT_BINS least filled ones of each block are dealt and evolved again in a further pass over them alone, and so on until
+    a pass has one block. A block holds more than half of block_pieces items and so at least some block_pieces / 2 / BUNDLE_SHARE sequences: a pass has a
+    quarter of the items of the one before at most. Should a pass not halve them (tiny blocks), all its sequences stand and packing ends.
     """
     bits, settled, at = 20, None, 0
-    count = pieces.count()
+    count, unit = pieces.count(), capacity // BUNDLE_SHARE
+    members = None
+    if unit > 1 and count:
+        members = stored(bundled(pieces, count, unit))
+        pieces = members.where("row = lead_row and piece = lead_piece").select("row", "piece", F.col("item_length").alias("length"))
+        count = pieces.count()
     while True:
         blocks = max(1, -(-count // block_pieces))
         out = evolved_blocks(pieces, blocks, capacity, at).select("row", "piece", "length", "block", "bin")
@@ -272,11 +296,17 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block_pieces: int = BLOCK_
         rank = F.row_number().over(Window.partitionBy("block").orderBy("fill", "bin"))
         loose = fill.select("block", "bin", rank.alias("rank")).where(F.col("rank") <= LEFT_BINS).drop("rank")
         pieces = stored(out.join(loose, ["block", "bin"], "left_semi").select("row", "piece", "length"))
-        done = out.join(loose, ["block", "bin"], "left_anti").withColumn("pass", F.lit(at))
+        left = pieces.count()
+        halved = 2 * left <= count
+        done = (out.join(loose, ["block", "bin"], "left_anti") if halved else out).withColumn("pass", F.lit(at))
         settled = settled.unionByName(done) if settled is not None else done
-        count, at = pieces.count(), at + 1
+        if not halved:
+            break
+        count, at = left, at + 1
     sequence = F.shiftleft(F.col("pass").cast("long"), 56).bitwiseOR(F.shiftleft("block", bits)).bitwiseOR(F.col("bin"))
     placed = settled.select("row", "piece", "length", sequence.alias("sequence_id"))
+    if members is not None:
+        placed = placed.select(F.col("row").alias("lead_row"), F.col("piece").alias("lead_piece"), "sequence_id").join(members, ["lead_row", "lead_piece"]).select("row", "piece", "length", "sequence_id")
     before = Window.partitionBy("sequence_id").orderBy("row", "piece").rowsBetween(Window.unboundedPreceding, -1)
     return placed.select("row", "piece", "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
 

@@ -215,6 +215,29 @@ def test_left_over_sequences_are_packed_again(spark):
     assert bound <= len(fill) <= bound + 2
 
 
+@pytest.mark.parametrize("length", [1, 2, 12, 13])
+def test_many_short_pieces_end(spark, monkeypatch, length):
+    """10^5 pieces of a few tokens, far beyond one block: few passes, no gaps, sequences within a hundredth of the bound."""
+    passes = []
+    evolved = packing.evolved_blocks
+    monkeypatch.setattr(packing, "evolved_blocks", lambda pieces, blocks, *rest: (passes.append(blocks), evolved(pieces, blocks, *rest))[1])
+    kind = F.lit(length) if length < 13 else F.lit(1) + F.col("id") % 13
+    df = spark.range(100_000).select(F.col("id").alias("row"), F.lit(0).alias("piece"), kind.cast("long").alias("length"))
+    placed = packing.pack(df).join(df, ["row", "piece"])
+    fill = placed.groupBy("sequence_id").agg(F.sum("length").alias("fill"), F.max(F.col("offset") + F.col("length")).alias("end"), F.count_distinct("offset").alias("places"), F.count("*").alias("n")).toPandas()
+    assert fill["n"].sum() == 100_000 and (fill["fill"] == fill["end"]).all() and (fill["places"] == fill["n"]).all() and fill["fill"].max() <= 2048
+    bound = -(-int(fill["fill"].sum()) // 2048)
+    assert len(fill) <= bound + max(1, bound // 100) and len(passes) <= 3
+
+
+def test_passes_that_do_not_shrink_end(spark, monkeypatch):
+    """Blocks of so few sequences that all of them are left over."""
+    monkeypatch.setattr(packing, "BUNDLE_SHARE", packing.CAPACITY)
+    df = spark.range(5000).select(F.col("id").alias("row"), F.lit(0).alias("piece"), F.lit(1).cast("long").alias("length"))
+    got = packing.pack(df).groupBy("sequence_id").agg(F.count("*").alias("n"), F.max("offset").alias("top")).collect()
+    assert sum(r.n for r in got) == 5000 and all(r.top == r.n - 1 < 2048 for r in got)
+
+
 def test_genetic_search_beats_best_fit():
     """Triples that fill a bin exactly: best-fit decreasing spoils them."""
     for seed in range(3):
