@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -12,6 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,18 +45,20 @@ class UnitEncoder:
 
     A space between other characters always starts a pre-token, so a text is cut there, the distinct units of a slice are encoded once and texts put
     together from them by index, in Arrow. Texts with white space that does not split so, or with special tokens, are encoded whole. Units
-    are kept between slices: when the young half of the cache is full it becomes the old half, so frequent units stay.
+    are kept between slices: when the young half of the cache is full it becomes the old half, so frequent units stay. Words of letters, most of what is
+    new, go many at a time through a byte-pair encoder on the same vocabulary, whose ids are its merge ranks; all else goes through the tokenizer itself.
     """
 
     BLANK = r"[\t-\r \x{85}\p{Z}]"
     WHOLE = BLANK + " (" + BLANK + r"|$)|<\|"  # a space between blanks, or at the end after one
-    WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
-    PLAIN = re.compile(r"\S+")
+    _PART = r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)"  # a word and signs after it: pre-tokens of their own
+    WORD, LINE = re.compile(_PART), re.compile(_PART + "\n" + _PART)
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
+        self.words = _word_encoder(self.tokenizer)
         self.starts = np.zeros(max(vocabulary.values()) + 1, bool)
         self.starts[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True  # the byte-level sign of a space
         self.young: dict[str, bytes] = {}
@@ -82,41 +86,68 @@ class UnitEncoder:
         """Ids of " " + unit for every unit."""
         if len(self.young) > CACHE_UNITS:
             self.young, self.old = {}, self.young
-        known, old, word = self.young, self.old, self.WORD.fullmatch
-        new, parts = set(), {}
+        known, old = self.young, self.old
+        word, line = self.WORD.fullmatch, self.LINE.fullmatch
+        words, heads, others, parts = set(), set(), [], {}  # heads: words that start a line
         for u in units:
             if u in known:
                 continue
             if u in old:
                 known[u] = old[u]
                 continue
-            m = word(u)
-            if m and m[2]:  # a word and the signs after it are pre-tokens of their own
-                parts[u] = m.groups()
-                new.add(m[1])
-            else:
-                new.add(u)
-        self._learn([u for u in new if u not in known])
-        signs = sorted({p for _, p in parts.values()})
+            m = word(u) or line(u)
+            if not m:
+                others.append(u)
+                continue
+            own = m.groups()
+            words.add(own[0])
+            if own[0] != u:
+                parts[u] = own
+                if len(own) == 4:
+                    heads.add(own[2])
+        self._learn([w for w in words if w not in known])
+        known.update(zip(others, self._each([" " + u for u in others])))
+        signs = sorted({p for own in parts.values() for p in own[1::2]})
         ids = dict(zip(signs, self._each(signs)))
-        for u, (w, p) in parts.items():
-            known[u] = known[w] + ids[p]
-        return [known[u] for u in units]
-
-    def _learn(self, units: list[str]) -> None:
-        """Units without white space are encoded many at a time; a token that starts with a space starts a unit."""
-        plain = [u for u in units if self.PLAIN.fullmatch(u)]
-        rest = [u for u in units if not self.PLAIN.fullmatch(u)]
-        for at in range(0, len(plain), 200):
-            some = plain[at : at + 200]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+        first = self._line_heads(sorted(heads))
+        for u, own in parts.items():
+            known[u] = known[own[0]] + ids[own[1]] + (first[own[2]] + ids[own[3]] if len(own) == 4 else b"")
+        return list(map(known.__getitem__, units))
+
+    def _line_heads(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of a line's end and the word after it, many at a time: the end is a token of its own before every word."""
+        out, end = {}, self.words("\n")
+        for at in range(0, len(words) if len(end) == 1 else 0, 500):
+            some = words[at : at + 500]
+            ids = np.array(self.words("\n" + "\n".join(some)), "<u4")
+            starts, raw = np.flatnonzero(ids == end[0]).tolist(), ids.tobytes()
+            out.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(some, starts, [*starts[1:], len(ids)]))
+        return out or dict(zip(words, self._each(["\n" + w for w in words])))
+
+    def _learn(self, words: list[str]) -> None:
+        """Words of letters, many at a time: a token that starts with a space starts a word."""
+        for at in range(0, len(words), 500):
+            some = words[at : at + 500]
+            ids = np.array(self.words(" " + " ".join(some)), "<u4")
             starts = np.flatnonzero(self.starts[ids]).tolist()
-            if len(starts) == len(some):
-                raw = ids.tobytes()
-                self.young.update((u, raw[4 * a : 4 * b]) for u, a, b in zip(some, starts, [*starts[1:], len(ids)]))
-            else:
-                rest += some
-        self.young.update(zip(rest, self._each([" " + u for u in rest])))
+            raw = ids.tobytes()
+            self.young.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(some, starts, [*starts[1:], len(ids)]))
+
+
+def _word_encoder(tokenizer: Tokenizer):
+    """Ids of words of letters, each with a space or a line's end before it. A byte-level vocabulary without a normalizer whose merges are numbered in order has its ids as
+    merge ranks, and a faster encoder gives the tokenizer's ids; any other goes through the tokenizer."""
+    kind = json.loads(tokenizer.to_str())
+    model = kind["model"]
+    merged = [model["vocab"].get(a + b) for a, b in (m if isinstance(m, list) else m.split(" ") for m in model.get("merges", []))]
+    ranked = model["type"] == "BPE" and kind["normalizer"] is None and None not in merged and merged == sorted(merged)
+    if not (ranked and kind["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}):
+        return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others are shown from U+0100 on
+    byte = {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in shown)}
+    special = {t["content"] for t in kind["added_tokens"]}
+    ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+    return tiktoken.Encoding("words", pat_str=r"\n| ?[^ \n]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 @lru_cache(maxsize=1)

@@ -77,7 +77,7 @@ def test_packing_of_equal_lengths(spark, text):
 
 def test_units_equal_whole_texts():
     rng = random.Random(3)
-    bits = ["a", "word", "Word,", "it's", "'ll", "12", "34x", " ", "  ", "\n", " \n", "\t", " ", " ", "\r\n", "é", "漢字", "😀", "<|endoftext|>", "(x)", "'", "_", "²", "--", "\x85", "ß!"]
+    bits = ["a", "word", "Word,", "it's", "'ll", "12", "34x", " ", "  ", "\n", " \n", "\t", " ", " ", "\r\n", "é", "漢字", "😀", "<|endoftext|>", "(x)", "'", "_", "²", "--", "\x85", "ß!", ".\nNext", "\nA", "it.\nÉa,"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(12))) for _ in range(4000)] + ["", " ", "  ", "a ", " a", "a  b", "a \n b"]
     encoder = lp.UnitEncoder(lp.default_tokenizer())
     want = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
