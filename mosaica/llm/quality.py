@@ -14,7 +14,8 @@ from mosaica.llm.common import slices, table, text_or_empty
 
 SAMPLE = 8_000  # rows of each kind, trusted positives and unlabelled, that the classifier is fitted on
 HIDDEN = 32
-EPOCHS = 60
+EPOCHS, ROUGH_EPOCHS = 60, 30
+FOLDS = 3
 RATE = 3e-3
 THRESHOLD = 0.7
 _SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -47,7 +48,8 @@ def features(text: bytes) -> np.ndarray:
 class PositiveUnlabelled:
     """One hidden layer, sigmoid loss, fitted to the non-negative unbiased risk of positives and unlabelled rows."""
 
-    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 7):
+    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 7, epochs: int = EPOCHS):
+        self.epochs = epochs
         both = np.concatenate((positive, unlabelled))
         self.mean, self.scale = both.mean(0), both.std(0) + 1e-3
         self.prior = prior
@@ -60,7 +62,7 @@ class PositiveUnlabelled:
         d = p.shape[1]
         self.w = [rng.normal(0, d**-0.5, (d, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)]
         m, v, step = [np.zeros_like(x) for x in self.w], [np.zeros_like(x) for x in self.w], 0
-        for _ in range(EPOCHS):
+        for _ in range(self.epochs):
             rng.shuffle(p)
             rng.shuffle(u)
             batches = max(1, min(len(p), len(u)) // 256)
@@ -97,8 +99,51 @@ class PositiveUnlabelled:
             out[3] += d.sum()
         return out
 
+    def margin(self, x: np.ndarray) -> np.ndarray:
+        return np.clip(self._forward(self._normal(x))[1], -30, 30)
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-self.margin(x)))
+
+
+class CalibratedFolds:
+    """Classifiers fitted on all folds but one each; their mean margin, mapped to a probability.
+
+    Every row gets the margin of the classifier that was not fitted on it. On those the class prior is estimated, fold by fold and averaged, and
+    the map from margin to probability fitted, so neither trusts what a classifier says of its own rows."""
+
+    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, folds: int = FOLDS):
+        fold_p, fold_u = np.arange(len(positive)) % folds, np.arange(len(unlabelled)) % folds
+
+        def fitted(prior: float, epochs: int) -> list[PositiveUnlabelled]:
+            return [PositiveUnlabelled(positive[fold_p != k], unlabelled[fold_u != k], prior, 7 + k, epochs) for k in range(folds)]
+
+        rough = fitted(0.5, ROUGH_EPOCHS)
+        self.prior = float(np.mean([estimate_prior(m.score(positive[fold_p == k]), m.score(unlabelled[fold_u == k])) for k, m in enumerate(rough)]))
+        self.models = fitted(self.prior, EPOCHS)
+        margins = [np.concatenate([m.margin(x[fold == k]) for k, m in enumerate(self.models)]) for x, fold in ((positive, fold_p), (unlabelled, fold_u))]
+        self.slope, self.shift = calibrate(*margins, self.prior)
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self._forward(self._normal(x))[1], -30, 30)))
+        margin = np.mean([m.margin(x) for m in self.models], axis=0)
+        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
+
+
+def calibrate(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[float, float]:
+    """(a, b) of the probability 1 / (1 + exp(-(a m + b))) for a margin m: the least unbiased log loss, -prior E_p[a m + b] + E_u[log(1 + exp(a m + b))], which is convex. At its
+    minimum the mean probability of unlabelled rows is the prior. A little weight holds the slope near one where the margins do not settle it."""
+    a, b, hold = 1.0, 0.0, 1e-3
+    for _ in range(100):
+        s = 1 / (1 + np.exp(-np.clip(a * unlabelled + b, -30, 30)))
+        w = s * (1 - s)
+        gradient = np.array([(s * unlabelled).mean() - prior * positive.mean() + hold * (a - 1), s.mean() - prior])
+        cross = (w * unlabelled).mean()
+        step = np.linalg.solve([[(w * unlabelled**2).mean() + hold, cross], [cross, w.mean() + 1e-6]], gradient)
+        step *= min(1.0, 2 / max(np.abs(step).max(), 1e-12))
+        a, b = a - step[0], b - step[1]
+        if np.abs(step).max() < 1e-9:
+            break
+    return float(a), float(b)
 
 
 def held_out(id_col: str) -> Column:
@@ -123,32 +168,32 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float =
     return float(np.clip(u[at] / p[at], 0.02, 0.98))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> PositiveUnlabelled | None:
+def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> CalibratedFolds | PositiveUnlabelled | None:
     """Fit on at most `sample` trusted positives (label 1, without the held-out rows) and at most `sample` documents whose label is not
-    read, each of smallest id hash; the latter stand for the web text as it comes. None without positives.
+    read, each of smallest id hash; the latter stand for the web text as it comes. Of rows that share an id the one of smallest text stands for it. None without positives.
 
-    The class prior is estimated: a classifier fitted on one half of both, with a prior of one half, scores the other half, and the
-    shares of positives and unlabelled rows at the top of those scores give it. Labels other than 1 are never used.
+    The class prior is estimated and the score calibrated to it on rows that the classifiers in question were not fitted on (CalibratedFolds); with fewer than
+    two rows of either kind a fold there is one classifier, with a prior of one half. Labels other than 1 are never used.
     """
     known = labels.where(~held_out(id_col)).where("quality = 1").select(F.col(id_col).alias("id")).distinct()
-    ids = docs.select(F.col(id_col).alias("id")).where("id is not null")
+    ids = docs.select(F.col(id_col).alias("id")).where("id is not null").distinct()
     positive = known.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(sample).select("id", F.lit(1).alias("role"))
-    unlabelled = ids.orderBy(F.xxhash64("id", F.lit(2)), "id").limit(sample).distinct().select("id", F.lit(0).alias("role"))
-    chosen = F.broadcast(positive.unionByName(unlabelled))  # at most 2 * sample rows
+    unlabelled = ids.orderBy(F.xxhash64("id", F.lit(2)), "id").limit(sample).select("id", F.lit(0).alias("role"))
+    chosen = F.broadcast(positive.unionByName(unlabelled).groupBy("id").agg(F.collect_list("role").alias("roles")))  # at most 2 * sample rows
     text = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("t"))
-    got = text.join(chosen, "id").select("role", "t").mapInArrow(_features, "role int, x array<float>").toPandas()
+    one = text.join(chosen, "id").groupBy("id").agg(F.min(F.struct("t", "roles")).alias("row"))  # a repeated id counts once
+    got = one.select(F.explode("row.roles").alias("role"), F.col("row.t").alias("t")).mapInArrow(_features, "role int, x array<float>").toPandas()
     x, role = np.array(got["x"].tolist(), np.float64), got["role"].to_numpy()
     if not (role == 1).any():
         return None
     order = np.lexsort(x.T)  # the fit does not depend on the order of partitions
     p, u = x[order][role[order] == 1], x[order][role[order] == 0]
-    if min(len(p), len(u)) < 4:
+    if min(len(p), len(u)) < 2 * FOLDS:
         return PositiveUnlabelled(p, u, 0.5)
-    rough = PositiveUnlabelled(p[::2], u[::2], 0.5)
-    return PositiveUnlabelled(p, u, estimate_prior(rough.score(p[1::2]), rough.score(u[1::2])))
+    return CalibratedFolds(p, u)
 
 
-def _score(texts: list[bytes], model: PositiveUnlabelled | None) -> np.ndarray:
+def _score(texts: list[bytes], model: CalibratedFolds | PositiveUnlabelled | None) -> np.ndarray:
     """Without a model nothing is known against a text, and it just passes."""
     return model.score(np.array([features(t) for t in texts])) if texts and model else np.full(len(texts), THRESHOLD)
 

@@ -178,6 +178,29 @@ def test_prior_is_estimated(prior):
     assert abs(quality.estimate_prior(positive, unlabelled) - prior) < 0.08
 
 
+def test_calibration_meets_the_prior():
+    """Probabilities of planted classes with known odds: the mean is the prior, and 0.7 means 0.7."""
+    rng = np.random.default_rng(2)
+    positive = rng.normal(1, 1, 40_000)
+    kind = rng.random(60_000) < 0.6
+    unlabelled = np.where(kind, rng.normal(1, 1, 60_000), rng.normal(-1, 1, 60_000))
+    a, b = quality.calibrate(positive, unlabelled, 0.6)
+    s = 1 / (1 + np.exp(-(a * unlabelled + b)))
+    assert abs(s.mean() - 0.6) < 1e-3 and abs(a - 2) < 0.1 and abs(b - np.log(1.5)) < 0.1
+    some = (s > 0.65) & (s < 0.75)
+    assert abs(kind[some].mean() - 0.7) < 0.03
+
+
+def test_repeated_ids_do_not_fill_the_sample(spark, sf):
+    """One id repeated thousands of times counts once among the rows that the classifier is fitted on."""
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    junk = spark.range(9000).select(F.lit(10**9).alias("doc_id"), F.lit("x x x").alias("text"))
+    once = quality.fit_quality(docs.select("doc_id", "text").unionByName(junk.limit(1)), labels, sample=500)
+    often = quality.fit_quality(docs.select("doc_id", "text").unionByName(junk), labels, sample=500)
+    x = np.array([quality.features(t.encode()) for t in ("Some text of words.", "", "x x x")])
+    assert np.allclose(once.score(x), often.score(x))
+
+
 def test_quality_reads_whole_texts_and_no_other_label(spark):
     lines = [f"line {i}" for i in range(80)] + ["again"] * 70
     a, b = "\n".join(lines).encode(), "\n".join(lines[::-1]).encode()
