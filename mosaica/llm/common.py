@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -50,7 +52,22 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYT
             high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + size, "right")))
             yield b.slice(low, high - low)
             low = high
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give what a task has freed back to the machine; else a reused worker holds on to the largest task it has seen."""
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of DataFrames that nobody holds any more; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 ROUTE_BITS, MOST_ROUTE_BITS = 24, 27  # bounds of a routing bitmap: 2**24 bits are 2 MB

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mosaica.llm.common import checkpoint, partitions, routed, routing_bitmap, slices, stored, table, text_or_empty
+from mosaica.llm.common import checkpoint, drop_stored, free_shuffles, partitions, routed, routing_bitmap, slices, stored, table, text_or_empty, written
 from mosaica.operators.components import connected_components
 
 BYTES = 8
@@ -198,13 +198,19 @@ def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     whole = F.filter(F.array(*[F.lit(b) for b in range(POSITIONS // BAND)]), lambda b: F.forall(F.slice(equal, b * BAND + 1, F.lit(BAND)), lambda x: x == 1))
 
     def similar(pairs: DataFrame) -> DataFrame:
-        """(id) of the pairs (id, rep) whose whole sets are similar."""
+        """(id) of the pairs (id, rep) whose whole sets are similar. The pairs, a stored table, and the sets go when that is known."""
+        mark = written() - 1
         wanted = pairs.select(F.xxhash64("id").alias("h")).unionByName(pairs.select(F.xxhash64("rep").alias("h"))).distinct()
         route = routing_bitmap(wanted, "h")  # texts stay where they lie
         sets = stored(raw.select("id", "t", F.xxhash64("id").alias("h")).mapInArrow(lambda it: _sets(it, width, route), f"id {kind}, s array<int>"))
         both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("rep"), F.col("s").alias("rep_s")), "rep")
         common = F.size(F.array_intersect("s", "rep_s"))
-        return stored(both.where(common / (F.size("s") + F.size("rep_s") - common) >= similarity).select("id").distinct())
+        found = stored(both.where(common / (F.size("s") + F.size("rep_s") - common) >= similarity).select("id").distinct())
+        route.unpersist()
+        drop_stored(raw.sparkSession, mark, keep=1)
+        del wanted, sets, both
+        free_shuffles(raw.sparkSession)
+        return found
 
     banded = signed.select("id", F.posexplode(F.array(*keys)).alias("band", "h"))
     lists = stored(banded.groupBy("band", "h").agg(F.min("id").alias("rep"), F.max("id").alias("top"), F.count("*").alias("n")).where("rep < top"))
