@@ -58,20 +58,57 @@ def union_bbox(boxes: DataFrame, margin: float, shape: tuple[float, float], keys
     )
 
 
-def _summary(value: Column, prefix: str = "") -> list[Column]:
-    q = F.percentile(value, F.array(*[F.lit(p) for p in QUANTILES]))
-    out = [F.avg(value).alias(f"{prefix}mean"), F.min(value).alias(f"{prefix}min"), F.max(value).alias(f"{prefix}max"), F.count(value).alias(f"{prefix}n")]
-    return out + [F.get(q, F.lit(i)).alias(f"{prefix}q{int(p * 100):02d}") for i, p in enumerate(QUANTILES)]
+def join_safe(a: DataFrame, b: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """a joined with b on keys, where null equals null; without keys b is one row."""
+    if not keys:
+        return a.crossJoin(F.broadcast(b))
+    b = b.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return a.join(b, on, how).drop(*[f"_k{i}" for i in range(len(keys))])
+
+
+def grouped_quantiles(df: DataFrame, keys: list[str], quantiles: dict[str, tuple[Column, float]]) -> DataFrame:
+    """(keys, one column a quantile): exact quantiles with linear interpolation of each group, by {name: (value, q)}.
+
+    Values are counted, sorted in ranges of (keys, value), and only the sizes of (range, group) meet, so a group that holds most rows spreads over
+    as many ranges as it needs. Null values do not count, NaN is the largest; a group without values has no row; a null key is a group of its own.
+    Quantiles of several values of a row are found in one pass, each value marked by its own number.
+    """
+    values = {str(v): v for v, _ in quantiles.values()}
+    which = {name: list(values).index(str(v)) for name, (v, _) in quantiles.items()}
+    keys, g = list(keys), [*keys, "_i"]
+    long = df.select(*keys, F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), v.cast("double").alias("_v")) for i, v in enumerate(values.values())])).alias("_e"))
+    counted = long.select(*keys, "_e._i", "_e._v").where("_v is not null").groupBy(*g, "_v").agg(F.count("*").alias("_n"))
+    ranged = cut(counted.repartitionByRange(*g, "_v").withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy("_part", *g).agg(F.sum("_n").alias("_size"))
+    whole = Window.partitionBy(*g)  # a row a range
+    before = sizes.select("_part", *g, (F.sum("_size").over(whole.orderBy("_part")) - F.col("_size")).alias("_before"), F.sum("_size").over(whole).alias("_total"))
+    inside = F.sum("_n").over(Window.partitionBy("_part", *g).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1))
+    run = join_safe(ranged.withColumn("_inside", F.coalesce(inside, F.lit(0))), before, ["_part", *g]).withColumn("_lo", F.col("_before") + F.col("_inside"))
+    at = {name: F.lit(q) * (F.col("_total") - 1) for name, (_, q) in quantiles.items()}
+    pick = lambda name, rank: F.max(F.when((F.col("_i") == which[name]) & (F.col("_lo") <= rank) & (rank < F.col("_lo") + F.col("_n")), F.col("_v")))
+    found = run.groupBy(*keys).agg(*[x for n in quantiles for x in (
+        pick(n, F.floor(at[n])).alias(f"_a_{n}"), pick(n, F.ceil(at[n])).alias(f"_b_{n}"), F.max(F.when(F.col("_i") == which[n], at[n] - F.floor(at[n]))).alias(f"_f_{n}"))])
+    # equal neighbours give their value, infinite ones too
+    between = lambda n: F.when(F.col(f"_a_{n}") == F.col(f"_b_{n}"), F.col(f"_a_{n}")).otherwise(F.col(f"_a_{n}") + F.col(f"_f_{n}") * (F.col(f"_b_{n}") - F.col(f"_a_{n}")))
+    return found.select(*keys, *[between(n).alias(n) for n in quantiles])
+
+
+def _summaries(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    plain = [f for p, v in values.items() for f in (F.avg(v).alias(f"{p}mean"), F.min(v).alias(f"{p}min"), F.max(v).alias(f"{p}max"), F.count(v).alias(f"{p}n"))]
+    names = {p: {f"{p}q{int(q * 100):02d}": (v, q) for q in QUANTILES} for p, v in values.items()}
+    out = join_safe(df.groupBy(*keys).agg(*plain), grouped_quantiles(df, keys, {n: x for own in names.values() for n, x in own.items()}), keys)
+    return out.select(*keys, *[c for p in values for c in (f"{p}mean", f"{p}min", f"{p}max", f"{p}n", *names[p])])
 
 
 def error_summary(df: DataFrame, keys: list[str], col: str) -> DataFrame:
-    """Mean, least, greatest, number and quantiles with linear interpolation."""
-    return df.groupBy(*keys).agg(*_summary(F.col(col)))
+    """Mean, least, greatest, number and exact quantiles with linear interpolation; all but the number are null for a group of nulls."""
+    return _summaries(df, list(keys), {"": F.col(col)})
 
 
 def error_summary_masked(df: DataFrame, keys: list[str], col: str, mask: str) -> DataFrame:
-    """The same overall and for the rows in the mask, in one pass."""
-    return df.groupBy(*keys).agg(*_summary(F.col(col)), *_summary(F.when(F.col(mask), F.col(col)), "masked_"))
+    """The same overall and, with the prefix masked_, for the rows in the mask, in one pass."""
+    return _summaries(df, list(keys), {"": F.col(col), "masked_": F.when(F.col(mask), F.col(col))})
 
 
 def dice(m1: DataFrame, m2: DataFrame) -> DataFrame:
@@ -110,21 +147,8 @@ def image_similarity(img1: DataFrame, img2: DataFrame, bins: int = 100) -> DataF
 
 
 def table_quantile(df: DataFrame, col: str, q: float, out: str) -> DataFrame:
-    """One row: the quantile of a whole column with linear interpolation, exact, without its values meeting in one task.
-
-    Values are counted, ranges of them sorted in partitions, and only the sizes of the ranges and the two neighbouring ranks come together. Nulls do not count.
-    """
-    counted = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count("*").alias("n"))
-    part = F.spark_partition_id().alias("part")
-    ranged = cut(counted.repartitionByRange("v").select("v", "n", part))
-    sizes = ranged.groupBy("part").agg(F.sum("n").alias("size"))
-    before = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"), F.sum("size").over(Window.partitionBy()).alias("total"))  # a row a partition
-    inside = F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1))
-    at = q * (F.col("total") - 1)
-    run = ranged.join(F.broadcast(before), "part").withColumn("lo", F.col("before") + F.coalesce(inside, F.lit(0)))
-    pick = lambda rank: F.max(F.when((F.col("lo") <= rank) & (rank < F.col("lo") + F.col("n")), F.col("v")))
-    got = run.agg(pick(F.floor(at)).alias("a"), pick(F.ceil(at)).alias("b"), F.max(at).alias("at"))
-    return got.select((F.col("a") + (F.col("at") - F.floor("at")) * (F.col("b") - F.col("a"))).alias(out))
+    """One row: the quantile of a whole column with linear interpolation, exact, without its values meeting in one task. Nulls do not count; null without values."""
+    return grouped_quantiles(df, [], {out: (F.col(col), q)})
 
 
 def mad(df: DataFrame, col: str) -> DataFrame:
@@ -140,9 +164,10 @@ def completeness(df: DataFrame, found: str = "n_found", expected: str = "n_expec
 
 
 def pixel_cell_stats(df: DataFrame, key: str = "sample_id") -> DataFrame:
-    """Pixels, cells, and mean, sd and median of cells a pixel."""
+    """Pixels, cells, and mean, sd and exact median of cells a pixel."""
     per = df.groupBy(key, "ims_idx").agg(F.count("cell_idx").alias("c"))
-    return per.groupBy(key).agg(F.count("*").alias("n_pixels"), F.sum("c").alias("n_cells"), F.avg("c").alias("mean_cells"), F.stddev_samp("c").alias("sd_cells"), F.percentile("c", F.lit(0.5)).alias("median_cells"))
+    plain = per.groupBy(key).agg(F.count("*").alias("n_pixels"), F.sum("c").alias("n_cells"), F.avg("c").alias("mean_cells"), F.stddev_samp("c").alias("sd_cells"))
+    return join_safe(plain, grouped_quantiles(per, [key], {"median_cells": (F.col("c"), 0.5)}), [key])
 
 
 def pixel_total(df: DataFrame, keys: list[str] = ("ims_idx",)) -> DataFrame:
@@ -222,31 +247,56 @@ def axis_flipped(df: DataFrame, keys: list[str], rule: str = "threshold") -> Dat
     return a.withColumn("flipped", F.when((F.greatest(s, e) > 0.8) & (F.abs(F.log10(F.abs(s) / F.abs(e))) > 0.30102999566398120), s > e))
 
 
-def convex_hull(points: DataFrame, key: str) -> DataFrame:
-    """(key, ring): counter-clockwise hull of the points (x, y) of each key.
+HULL_PART = 4096  # points that meet in a task
 
-    Points are first thinned to the lowest and highest y of every x, by aggregation; only those, two a column of the grid, meet in a task.
-    """
+
+def hull_of(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Counter-clockwise hull, closed, by Andrew's monotone chain; points on its edges are left out."""
+    pts = sorted(set(points))
+    turn = lambda o, a, b: (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
+    halves = []
+    for walk in (pts, pts[::-1]):
+        half: list = []
+        for p in walk:
+            while len(half) > 1 and turn(half[-2], half[-1], p) <= 0:
+                half.pop()
+            half.append(p)
+        halves.append(half)
+    return halves[0][:-1] + halves[1]
+
+
+def convex_hull(points: DataFrame, key: str, part: int = HULL_PART) -> DataFrame:
+    """(key, ring): counter-clockwise closed hull of the points (x, y) of each key; points with a null coordinate do not count.
+
+    Points are first thinned to the lowest and highest y of every x, by aggregation. While a key has more than `part` points they are dealt into parts of about
+    that many, and only each part's own hull goes on: a tree of hulls, whose last step holds at most `part` points or, for keys whose parts lose less than
+    half, the hull itself."""
     import pandas as pd
 
-    ends = points.groupBy(key, "x").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
     kind = points.schema[key].dataType.simpleString()
+    ends = points.where("x is not null and y is not null").groupBy(key, "x").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
+    left = cut(ends.select(key, F.explode(F.array(F.struct(F.col("x").cast("double").alias("x"), F.col("lo").cast("double").alias("y")), F.struct(F.col("x").cast("double").alias("x"), F.col("hi").cast("double").alias("y")))).alias("p")).select(key, "p.x", "p.y").distinct())
+
+    def thinned(pdf: pd.DataFrame) -> pd.DataFrame:
+        ring = hull_of(list(zip(pdf["x"], pdf["y"])))
+        return pd.DataFrame(ring, columns=["x", "y"]).assign(**{key: pdf[key].iloc[0]})[[key, "x", "y"]].drop_duplicates(["x", "y"])
+
+    n = left.count()
+    while True:
+        sizes = left.groupBy(key).agg(F.ceil(F.count("*") / part).alias("_parts"))
+        if (sizes.agg(F.max("_parts")).first()[0] or 0) <= 1:
+            break
+        dealt = join_safe(left, sizes, [key]).withColumn("_part", F.pmod(F.xxhash64("x", "y"), F.col("_parts")))
+        left = cut(dealt.groupBy(key, "_part").applyInPandas(lambda pdf: thinned(pdf), f"`{key}` {kind}, x double, y double"))
+        m = left.count()
+        if 2 * m > n:
+            break
+        n = m
 
     def hull(pdf: pd.DataFrame) -> pd.DataFrame:
-        pts = sorted({(float(x), float(y)) for x, lo, hi in zip(pdf["x"], pdf["lo"], pdf["hi"]) for y in (lo, hi)})
-        turn = lambda o, a, b: (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
-        halves = []
-        for walk in (pts, pts[::-1]):
-            half: list = []
-            for p in walk:
-                while len(half) > 1 and turn(half[-2], half[-1], p) <= 0:
-                    half.pop()
-                half.append(p)
-            halves.append(half)
-        ring = halves[0][:-1] + halves[1]
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "ring": [[{"x": x, "y": y} for x, y in ring]]})
-
-    return ends.groupBy(key).applyInPandas(hull, f"{key} {kind}, ring array<struct<x:double,y:double>>")
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "ring": [[{"x": x, "y": y} for x, y in hull_of(list(zip(pdf["x"], pdf["y"])))]]})
+
+    return left.groupBy(key).applyInPandas(hull, f"`{key}` {kind}, ring array<struct<x:double,y:double>>")
 
 
 def component_sizes(df: DataFrame, least: int = 0) -> DataFrame:

@@ -59,9 +59,10 @@ def index_mode(df: DataFrame, regions: DataFrame) -> DataFrame:
     return df.crossJoin(region_count(regions)).withColumn("by_location", F.col("coords_filename").rlike("automatic") | (F.col("n_regions") == 1)).drop("n_regions")  # one row
 
 
-def filter_lattice(points: DataFrame, min_n: int = 9) -> DataFrame:
-    """Points of components larger than min_n under edges to the four nearest of length within (.93, 1.07) and 9 degrees of an axis."""
-    near = knn_join(points, points.select("*"), 5, max_dist=1.07).where("id <> other")
+def filter_lattice(points: DataFrame, min_n: int = 9, keys: list[str] = ()) -> DataFrame:
+    """Points (keys, id, x, y; id unique) of components larger than min_n under edges to the four nearest of length within (.93, 1.07) and 9 degrees of an axis."""
+    keys = list(keys)
+    near = knn_join(points, points.select("*"), 5, keys, max_dist=1.07).where("id <> other")
     a = points.select("id", "x", "y")
     b = points.select(F.col("id").alias("other"), F.col("x").alias("_x"), F.col("y").alias("_y"))
     turn = F.degrees(F.atan2(F.col("_y") - F.col("y"), F.col("_x") - F.col("x")))
@@ -71,12 +72,13 @@ def filter_lattice(points: DataFrame, min_n: int = 9) -> DataFrame:
     return points.join(placed, "id").join(big, "component", "left_semi")
 
 
-def merge_points(p1: DataFrame, p2: DataFrame, t: float = 0.5) -> DataFrame:
-    """Union of two point sets in which, of two points nearer than t that are each one's nearest, the lower id stays; repeated until stable."""
+def merge_points(p1: DataFrame, p2: DataFrame, t: float = 0.5, keys: list[str] = ()) -> DataFrame:
+    """Union of two point sets in which, of two points of a group nearer than t that are each one's nearest, the lower id stays; repeated until stable."""
+    keys = list(keys)
     pts = cut(p1.unionByName(p2))
     n = pts.count()
     for _ in range(MAX_ROUNDS):
-        pairs = knn_join(pts, pts, 2, max_dist=t).where("id <> other").where(F.col("d") < t)
+        pairs = knn_join(pts, pts, 2, keys, max_dist=t).where("id <> other").where(F.col("d") < t)
         gone = pairs.select(F.greatest("id", "other").alias("id")).distinct()
         pts = cut(pts.join(gone, "id", "left_anti"))
         m = pts.count()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mosaica.functions import geometry as G
-from mosaica.operators.lineage import cut
+from mosaica.operators.neighbours import nearest, placed
 
 
 def _bucket(df: DataFrame, x, y, side: float) -> DataFrame:
@@ -166,25 +166,14 @@ def radius_self_join(points: DataFrame, r: float, keys: list[str] = ()) -> DataF
 def knn_join(a: DataFrame, b: DataFrame, k: int, keys: list[str] = (), max_dist: float | None = None, start: float = 1.0) -> DataFrame:
     """(keys, id, other, d, rank): the k nearest points of b for each of a, ties by the smaller id.
 
-    With max_dist one radius join decides. Without, the radius doubles for the points that have not yet k neighbours within it; the
-    others are final, since nothing outside a radius is nearer than what is inside. Groups with fewer than k points of b take them all.
+    With max_dist one radius join decides. Without, a pyramid of cell counts bounds each point's radius before the points meet (operators.neighbours);
+    `start` is the side of its finest cells. Groups with fewer than k points of b take them all. Points with a null, NaN or infinite coordinate
+    have no neighbours and are none; ids are unique within a group.
     """
     keys = list(keys)
     w = Window.partitionBy(*keys, "id").orderBy("d", "other")
-    best = lambda df: df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    if max_dist is not None:
-        return best(radius_join(a, b, max_dist, keys))
-    have = b.groupBy(*keys).agg(F.least(F.count("*"), F.lit(k)).alias("_need")) if keys else b.agg(F.least(F.count("*"), F.lit(k)).alias("_need"))
-    todo = cut(a.select(*keys, "id", "x", "y").join(have, keys) if keys else a.select("id", "x", "y").crossJoin(F.broadcast(have)))  # one row
-    todo, done, r = todo.where("_need > 0"), [], start
-    while True:
-        found = cut(best(radius_join(todo, b, r, keys)))
-        enough = found.groupBy(*keys, "id").agg(F.count("*").alias("_n")).join(todo.select(*keys, "id", "_need"), [*keys, "id"]).where("_n >= _need").select(*keys, "id")
-        done.append(found.join(enough, [*keys, "id"], "left_semi"))
-        todo = cut(todo.join(enough, [*keys, "id"], "left_anti"))
-        if todo.isEmpty():
-            return reduce(DataFrame.unionByName, done)
-        r *= 2
+    found = nearest(a, b, k, keys, start) if max_dist is None else radius_join(placed(a), placed(b), max_dist, keys)
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def mutual_nn(a: DataFrame, b: DataFrame, max_dist: float, keys: list[str] = ()) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mosaica.functions.scalars import normal_pvalues, t_pvalues
+from mosaica.operators.aggregates import grouped_quantiles
 from mosaica.operators.joins import lattice_neighbours
 from mosaica.operators.lineage import cut
 
@@ -128,21 +130,24 @@ def fit_glm(df: DataFrame, keys: list[str], y: str, X: list[str], family: str =
 
 
 def fit_robust(df: DataFrame, keys: list[str], y: str, X: list[str], rounds: int = 20, tol: float = 1e-6) -> DataFrame:
-    """Bisquare M-estimation: Huber weights in the first rounds, MAD scale, weighted least squares each round."""
+    """Bisquare M-estimation: Huber weights in the first rounds, MAD scale, weighted least squares each round. Groups that still move by tol in the last
+    round have the status `not converged`."""
     data = cut(df.select(*keys, F.col(y).cast("double").alias("_y"), *[F.col(f"`{c}`").cast("double").alias(c) for c in X]))
     fit = cut(fit_ols(data, keys, "_y", X))
     for i in range(rounds):
         beta = _coefficients(fit, keys, X)
         res = data.join(beta, keys).withColumn("_r", F.col("_y") - _linear(X)).drop("beta")
-        scale = res.groupBy(*keys).agg((F.percentile(F.abs("_r"), F.lit(0.5)) * 1.4826).alias("_s"))
+        scale = grouped_quantiles(res, keys, {"_s": (F.abs("_r") * 1.4826, 0.5)})
         u = F.abs(F.col("_r")) / F.greatest(F.col("_s"), F.lit(1e-12))
         w = F.when(u <= 1.345, 1.0).otherwise(1.345 / u) if i < 3 else F.when(u < 4.685, F.pow(1 - F.pow(u / 4.685, F.lit(2.0)), F.lit(2.0))).otherwise(0.0)
         new = cut(fit_ols(res.join(scale, keys).withColumn("_w", w), keys, "_y", X, "_w"))
-        worst = new.join(fit.select(*keys, "term", F.col("estimate").alias("_old")), [*keys, "term"]).agg(F.max(F.abs(F.col("estimate") - F.col("_old")))).first()[0]
-        fit = new
+        moved = cut(new.join(fit.select(*keys, "term", F.col("estimate").alias("_old")), [*keys, "term"]).groupBy(*keys).agg(F.max(F.abs(F.col("estimate") - F.col("_old"))).alias("_moved")))
+        fit, worst = new, moved.agg(F.max("_moved")).first()[0]
         if i > 3 and (worst is None or worst < tol):
-            break
-    return fit
+            return fit
+    late = moved.where(F.col("_moved") >= tol).select(*keys, F.lit(True).alias("_late"))
+    late = fit.join(late, keys, "left") if keys else fit.crossJoin(F.broadcast(late.agg(F.max("_late").alias("_late"))))  # one row
+    return late.withColumn("status", F.when(F.col("_late") & (F.col("status") == "ok"), "not converged").otherwise(F.col("status"))).drop("_late")
 
 
 # ---- spatial lag model ----
@@ -193,13 +198,57 @@ def log_det(rho: float, moments: np.ndarray, radius: float = 4.0) -> float:
     return _log_det(rho, *spectrum(np.asarray(moments, float), radius))
 
 
+EXACT_PIXELS = 1500  # regions up to so many pixels have their eigenvalues computed
+
+
+def region_eigenvalues(px: DataFrame, keys: list[str], most: int = EXACT_PIXELS) -> DataFrame:
+    """(keys, eigen): all eigenvalues of the rook graph's W of each group of at most `most` pixels (one group meets in a task); larger groups have no row."""
+    small = px.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") <= most).select(*keys)
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        at = {p: i for i, p in enumerate(zip(pdf["ims_x"].tolist(), pdf["ims_y"].tolist()))}
+        w = np.zeros((len(pdf), len(pdf)))
+        for (x, y), i in at.items():
+            for near in ((x + 1, y), (x, y + 1)):
+                if near in at:
+                    w[i, at[near]] = w[at[near], i] = 1.0
+        return pd.DataFrame([(*[pdf[k].iloc[0] for k in keys], np.linalg.eigvalsh(w).tolist())], columns=[*keys, "eigen"])
+
+    kept = px.join(small, keys, "left_semi").select(*keys, "ims_x", "ims_y")
+    return kept.groupBy(*keys).applyInPandas(solve, _schema(px, keys) + "eigen array<double>")
+
+
+class LogDeterminant:
+    """ln det(I - rho W) / n of one region and its second derivative: by all eigenvalues where they are known, else by the quadrature of spectrum()."""
+
+    def __init__(self, eigen, moments, radius: float):
+        if eigen is not None:
+            self.l = np.asarray(eigen, float)
+            self.weights = np.full(len(self.l), 1 / max(1, len(self.l)))
+            self.radius = float(np.abs(self.l).max()) if len(self.l) else 0.0
+        else:
+            nodes, weights = spectrum(np.asarray(moments, float), radius)
+            self.l = np.concatenate((np.sqrt(nodes), -np.sqrt(nodes)))  # eigenvalues lie symmetric about 0
+            self.weights, self.radius = np.concatenate((weights, weights)) / 2, radius
+
+    def value(self, rho: float) -> float:
+        return float(np.sum(self.weights * np.log(np.maximum(1e-300, 1 - rho * self.l))))
+
+    def second(self, rho: float) -> float:
+        return -float(np.sum(self.weights * (self.l / (1 - rho * self.l)) ** 2))
+
+    def mean_inverse(self, rho):
+        """tr((I - rho W)^-1) / n for one rho or many."""
+        return np.sum(self.weights / (1 - np.multiply.outer(rho, self.l)), axis=-1)
+
+
 def _lag_rows(it: Iterator[pd.DataFrame], keys: list[str], names: list[str]) -> Iterator[pd.DataFrame]:
     k = len(names)
     for pdf in it:
         out = []
         for row in pdf.to_dict("records"):
             m, n = _square(row["_gram"], k + 2), int(row["n"])
-            nodes, weights = spectrum(np.array(row["moments"], float), float(row["radius"]))
+            det = LogDeterminant(row["eigen"], row["moments"], float(row["radius"]))
             terms, status = ["rho", *names], "ok"
             est = se = np.full(k + 1, np.nan)
             ll = s2 = np.nan
@@ -210,11 +259,12 @@ def _lag_rows(it: Iterator[pd.DataFrame], keys: list[str], names: list[str]) ->
                 inv = np.linalg.inv(xx)
                 ee = lambda a, b, xa, xb: m[a, b] - xa @ inv @ xb
                 e00, e01, e11 = ee(k, k, xy, xy), ee(k, k + 1, xy, xl), ee(k + 1, k + 1, xl, xl)
+                rss = lambda rho: max(1e-300, e00 - 2 * rho * e01 + rho * rho * e11)
 
                 def loss(rho):
-                    return -(n * _log_det(rho, nodes, weights) - n / 2 * np.log(max(1e-300, (e00 - 2 * rho * e01 + rho * rho * e11) / n)))
+                    return -(n * det.value(rho) - n / 2 * np.log(rss(rho) / n))
 
-                most = 0.999 / max(float(row["radius"]), 1e-3)  # I - rho W is regular where |rho| times the largest eigenvalue is below 1
+                most = 0.999 / max(det.radius, 1e-3)  # I - rho W is regular where |rho| times the largest eigenvalue is below 1
                 lo, hi, g = -most, most, (5**0.5 - 1) / 2
                 a, b = hi - g * (hi - lo), lo + g * (hi - lo)
                 for _ in range(80):
@@ -225,12 +275,12 @@ def _lag_rows(it: Iterator[pd.DataFrame], keys: list[str], names: list[str]) ->
                         lo, a = a, b
                         b = lo + g * (hi - lo)
                 rho = (lo + hi) / 2
-                s2 = (e00 - 2 * rho * e01 + rho * rho * e11) / n
+                s2 = rss(rho) / n
                 beta, ll = inv @ (xy - rho * xl), -loss(rho) - n / 2 * (np.log(2 * np.pi) + 1)
                 if abs(rho) > 0.999 * most:
                     status = "at bound"
-                h = 1e-3 * most
-                curve = (loss(rho + h) - 2 * loss(rho) + loss(rho - h)) / h**2
+                first = 2 * (rho * e11 - e01)
+                curve = -n * det.second(rho) + n / 2 * (2 * e11 / rss(rho) - (first / rss(rho)) ** 2)
                 var_rho = 1 / curve if curve > 0 else np.nan
                 bl = inv @ xl
                 est = np.concatenate(([rho], beta))
@@ -249,19 +299,23 @@ def spatial_lag(df: DataFrame, keys: list[str], y: str) -> DataFrame:
     return df.join(lag, [*keys, "ims_idx"], "left").fillna(0.0, subset=["Wy"])
 
 
-def fit_lag(df: DataFrame, keys: list[str], y: str, X: list[str], order: int = 12, probes: int = 16) -> DataFrame:
+def fit_lag(df: DataFrame, keys: list[str], y: str, X: list[str], order: int = 12, probes: int = 16, exact: int = EXACT_PIXELS) -> DataFrame:
     """Maximum likelihood of y = rho W y + X b + e per group, tidy; rows with a null go before W is built.
 
-    The likelihood in rho needs only the Gram matrix of [X, y, Wy] and the trace moments of W, one row a group. rho is sought within the inverse of the largest
-    eigenvalue of the group's graph; status is `at bound` where the likelihood rises up to it.
+    The likelihood in rho needs only the Gram matrix of [X, y, Wy] and ln det(I - rho W): by the eigenvalues of groups of up to `exact` pixels, by the trace moments of W beyond,
+    one row a group. rho is sought within the inverse of the largest eigenvalue of the group's graph; status is `at bound` where the likelihood rises up to it.
     """
     full = cut(df.dropna(subset=[y, *X]))
     lagged = spatial_lag(full, keys, y)
     g = gram(lagged, keys, F.col("Wy"), [*[F.col(f"`{c}`").cast("double") for c in X], F.col(y).cast("double")])
-    moments = trace_moments(full, keys, order, probes).select(*keys, "moments", "radius")
+    eigen = cut(region_eigenvalues(full, keys, exact))
+    large = cut(full.join(eigen.select(*keys), keys, "left_anti"))
+    out = g.join(eigen, keys, "left").withColumn("moments", F.lit(None).cast("array<double>")).withColumn("radius", F.lit(0.0))
+    if not large.isEmpty():
+        moments = trace_moments(large, keys, order, probes).select(*keys, "moments", "radius")
+        out = out.drop("moments", "radius").join(moments, keys, "left").withColumn("radius", F.coalesce("radius", F.lit(0.0)))
     schema = _schema(df, keys) + "n long, term string, estimate double, std_error double, statistic double, p_value double, log_likelihood double, sigma2 double, status string"
-    out = g.join(moments, keys).mapInPandas(lambda it: _lag_rows(it, keys, X), schema)
-    return _none(out, ["estimate", "std_error", "statistic", "p_value", "log_likelihood", "sigma2"])
+    return _none(out.mapInPandas(lambda it: _lag_rows(it, keys, X), schema), ["estimate", "std_error", "statistic", "p_value", "log_likelihood", "sigma2"])
 
 
 def coef_table(fit: DataFrame, keys: list[str], terms: list[str]) -> DataFrame:
@@ -327,41 +381,149 @@ def predict_lag(df: DataFrame, fit: DataFrame, keys: list[str], y: str, X: list[
     return out.withColumn("residual", F.col(y) - F.col("trend") - F.col("signal")).drop("beta", "Wy")
 
 
-def predict_tc(df: DataFrame, fit: DataFrame, keys: list[str], X: list[str], iters: int = 40, tol: float = 1e-6) -> DataFrame:
-    """(I - rho W)^-1 X b for every pixel, by u <- X b + rho W u until it moves by less than tol."""
-    base = cut(df.join(_coefficients(fit, keys, [*X, "rho"]), keys).withColumn("_xb", _linear(X)).withColumn("_rho", F.col("beta")[len(X)]).drop("beta"))
-    W = cut(lattice_neighbours(df.select(*keys, "ims_idx", "ims_x", "ims_y"), keys=keys))
-    u = base.select(*keys, "ims_idx", F.col("_xb").alias("u"))
-    for _ in range(iters):
-        wu = W.join(u.withColumnRenamed("ims_idx", "neighbour"), [*keys, "neighbour"]).groupBy(*keys, "ims_idx").agg(F.sum(F.col("w") * F.col("u")).alias("_wu"))
-        new = base.join(wu, [*keys, "ims_idx"], "left").select(*keys, "ims_idx", (F.col("_xb") + F.col("_rho") * F.coalesce("_wu", F.lit(0.0))).alias("u"))
-        new = cut(new)
-        moved = new.join(u.withColumnRenamed("u", "_old"), [*keys, "ims_idx"]).agg(F.max(F.abs(F.col("u") - F.col("_old")))).first()[0]
-        u = new
-        if moved is None or moved < tol:
-            break
-    return df.join(u.withColumnRenamed("u", "predicted"), [*keys, "ims_idx"])
-
-
-def impacts(fit: DataFrame, moments: DataFrame, keys: list[str], term: str, draws: int = 200, seed: int = 3) -> DataFrame:
-    """Direct, indirect and total effect of a term, with standard errors from hashed normal draws of rho and the coefficient.
-
-    direct = b sum rho^k tr(W^k) / n; total uses 1 / (1 - rho d) with the mean degree d = tr(W^2) / n.
-    """
-    wide = fit.where(F.col("term").isin("rho", term)).groupBy(*keys).pivot("term", ["rho", term]).agg(F.first("estimate").alias("e"), F.first("std_error").alias("s"))
-    j = wide.join(moments, keys)
-    u = lambda i: (F.pmod(F.xxhash64(*keys, "draw", F.lit(seed + i)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-    normal = lambda i: F.sqrt(-2 * F.log(u(i))) * F.cos(2 * 3.141592653589793 * u(i + 1))
-    d = j.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws))))
-    shift = lambda i: F.when(F.col("draw") == 0, 0.0).otherwise(normal(i))
-    rho = F.col("rho_e") + F.coalesce("rho_s", F.lit(0.0)) * shift(0)
-    b = F.col(f"`{term}_e`") + F.coalesce(F.col(f"`{term}_s`"), F.lit(0.0)) * shift(2)
-    d = d.withColumn("_rho", rho).withColumn("_b", b)
-    series = F.aggregate(F.transform("moments", lambda m, i: m * F.pow(F.col("_rho"), (i + 1).cast("double"))), F.lit(1.0), lambda s, v: s + v)
-    d = d.withColumn("direct", F.col("_b") * series).withColumn("total", F.col("_b") / (1 - F.col("_rho") * F.col("moments")[1])).withColumn("indirect", F.col("total") - F.col("direct"))
-    point = lambda c: F.max(F.when(F.col("draw") == 0, F.col(c))).alias(c)
-    sd = lambda c: F.stddev_samp(F.when(F.col("draw") > 0, F.col(c))).alias(f"{c}_se")
-    return d.groupBy(*keys).agg(*[f(c) for c in ("direct", "indirect", "total") for f in (point, sd)])
+def _walk(points: DataFrame, keys: list[str], own: list[str], sent: str) -> DataFrame:
+    """points (keys, ims_x, ims_y, own columns; positions unique in a group) with w_<sent>, the sum of `sent` over the rook neighbours, 0 without any. One shuffle that
+    reads the points once: every point sends itself and, to the four places around it, what they sum."""
+    none = [F.lit(None).cast("double").alias(c) for c in own]
+    places = [F.struct(F.lit(True).alias("own"), F.col("ims_x").alias("ims_x"), F.col("ims_y").alias("ims_y"), *[F.col(c).cast("double").alias(c) for c in own], F.lit(0.0).alias("sent"))]
+    places += [F.struct(F.lit(False).alias("own"), (F.col("ims_x") + i).alias("ims_x"), (F.col("ims_y") + j).alias("ims_y"), *none, F.col(sent).cast("double").alias("sent")) for i, j in ((0, 1), (0, -1), (1, 0), (-1, 0))]
+    all_ = points.select(*keys, F.explode(F.array(*places)).alias("_p")).select(*keys, "_p.*")
+    got = all_.groupBy(*keys, "ims_x", "ims_y").agg(F.max("own").alias("_own"), *[F.max(c).alias(c) for c in own], F.sum("sent").alias(f"w_{sent}"))
+    return got.where("_own").drop("_own")
+
+
+def spectral_bound(px: DataFrame, keys: list[str], steps: int = 6) -> DataFrame:
+    """(keys, radius): a bound of the largest eigenvalue of each group's rook graph that is never below it, the greatest growth of a positive vector in one
+    step after some steps; 0 for groups of isolated pixels."""
+    v = px.select(*keys, "ims_x", "ims_y", F.lit(1.0).alias("v"))
+    for _ in range(steps - 1):  # scaled, since it grows by up to four a step; pixels without neighbours leave
+        v = _walk(v, keys, ["v"], "v").where("w_v > 0").select(*keys, "ims_x", "ims_y", (F.col("w_v") / 4).alias("v"))
+    grown = _walk(v, keys, ["v"], "v").groupBy(*keys).agg(F.max(F.col("w_v") / F.col("v")).alias("radius"))
+    return px.select(*keys).distinct().join(grown, keys, "left").select(*keys, F.coalesce("radius", F.lit(0.0)).alias("radius"))
+
+
+MAX_STEPS, STEPS_A_CUT = 3000, 8
+
+
+def solve_lag(points: DataFrame, keys: list[str], rhs: str, tol: float = 1e-8) -> DataFrame:
+    """points (keys, ims_idx, ims_x, ims_y, rhs, rho, radius) with u, the solution of (I - rho W) u = rhs, and status.
+
+    A Chebyshev iteration: with q = |rho| radius < 1 the error after k steps is known to fall by 1 / T_k(1 / q), so each group's number of steps for a relative error of tol
+    is known beforehand, and no inner product is needed between steps; groups that have made their steps leave at the next checkpoint. A step is one shuffle.
+    status: ok; `outside` with a null u where q >= 1; `not converged` where the steps known to be needed pass MAX_STEPS or the residual shows otherwise."""
+    at, own = [*keys, "ims_x", "ims_y"], ["_c", "rho", "_q", "_steps", "u", "_prev", "_w"]
+    q = F.abs(F.col("rho")) * F.col("radius")
+    arcosh = lambda x: F.log(x + F.sqrt(x * x - 1))
+    needed = F.when(q < 1e-12, 1.0).when(q < 1, F.ceil(arcosh(F.greatest(F.lit(1.0), q / (1 - q) / tol)) / arcosh(1 / q)) + 1.0).otherwise(0.0)
+    start = points.select(*at, F.col(rhs).cast("double").alias("_c"), F.col("rho").cast("double").alias("rho"), q.alias("_q"), needed.alias("_steps"))
+    state = cut(start.withColumns({"u": F.when(F.col("_q") < 1, F.col("_c")), "_prev": F.lit(0.0), "_w": F.lit(2.0)}))
+    rounds = min(MAX_STEPS, int(state.agg(F.max("_steps")).first()[0] or 0))
+    done = state.where("_steps = 0")
+    state = state.where("_steps > 0")
+    for step in range(1, rounds + 1):
+        near = _walk(state, keys, own, "u")
+        plain = F.col("rho") * F.col("w_u") + F.col("_c")
+        weight = F.lit(1.0) if step == 1 else 1 / (1 - F.col("_q") * F.col("_q") * F.col("_w") / 4)
+        near = near.withColumn("_go", F.col("_steps") >= step).withColumn("_weight", weight)
+        new = F.col("_weight") * (plain - F.col("_prev")) + F.col("_prev") if step > 1 else plain
+        keep = lambda a, c: F.when(F.col("_go"), a).otherwise(F.col(c)).alias(c)
+        state = near.select(*at, "_c", "rho", "_q", "_steps", keep(new, "u"), keep(F.col("u"), "_prev"), keep(F.lit(2.0) if step == 1 else F.col("_weight"), "_w"))
+        if step % STEPS_A_CUT == 0:
+            state = cut(state)
+            done, state = done.unionByName(state.where(F.col("_steps") <= step)), state.where(F.col("_steps") > step)
+    state = cut(state.unionByName(done))
+    check = _walk(state, keys, own, "u")
+    off = F.max(F.abs(F.col("rho") * F.col("w_u") + F.col("_c") - F.col("u"))).alias("_off")
+    worst = check.groupBy(*keys).agg(off, F.max(F.abs("_c")).alias("_size"), F.max("_q").alias("_top"))
+    status = F.when(F.col("_top") >= 1, "outside").when(F.coalesce(F.col("_off") <= 100 * tol * F.col("_size"), F.lit(True)), "ok").otherwise("not converged")
+    return points.join(state.select(*at, "u"), at).join(worst.select(*keys, status.alias("status")), keys)
+
+
+def predict_tc(df: DataFrame, fit: DataFrame, keys: list[str], X: list[str], tol: float = 1e-8) -> DataFrame:
+    """df with `predicted`, (I - rho W)^-1 X b for every pixel of a fitted group, and the solver's status (solve_lag); groups without a fit have no rows. A null in X counts as 0
+    there; `predicted` is null where rho lies outside the bound."""
+    base = df.join(_coefficients(fit, keys, [*X, "rho"]), keys).withColumn("_xb", F.coalesce(_linear(X), F.lit(0.0))).withColumn("rho", F.col("beta")[len(X)])
+    base = cut(base.where("rho is not null").select(*keys, "ims_idx", "ims_x", "ims_y", "_xb", "rho"))
+    solved = solve_lag(base.join(spectral_bound(base, keys), keys), keys, "_xb", tol)
+    return df.join(solved.select(*keys, "ims_idx", F.col("u").alias("predicted"), F.col("status").alias("status")), [*keys, "ims_idx"])
+
+
+WALKS = 24  # steps of the vector of ones
+
+
+def walk_series(px: DataFrame, keys: list[str], steps: int = WALKS) -> DataFrame:
+    """(keys, n, walks, radius): 1' T_k(W / radius) 1 / n for k = 0 .. 2 steps, T_k being Chebyshev's polynomials, from `steps` products of W with the vector of ones:
+    two inner products a step give two of them."""
+    at = [*keys, "ims_x", "ims_y"]
+    bound = cut(spectral_bound(px, keys))
+    state = cut(px.select(*at).join(bound, keys).withColumn("radius", F.greatest("radius", F.lit(1e-9))).withColumns({"t": F.lit(1.0), "p": F.lit(0.0)}))
+    found = []
+    for j in range(steps + 1):
+        near = _walk(state, keys, ["radius", "t", "p"], "t")
+        grown = F.col("w_t") / F.col("radius")
+        state = cut(near.withColumn("_t", grown if j == 0 else 2 * grown - F.col("p")).select(*at, "radius", F.col("t").alias("p"), F.col("_t").alias("t")))
+        found.append(state.groupBy(*keys).agg(F.avg(F.col("p") * F.col("p")).alias(f"e{j}"), F.avg(F.col("p") * F.col("t")).alias(f"o{j}")))
+    out = px.groupBy(*keys).agg(F.count("*").alias("n")).join(bound, keys)
+    for f in found:
+        out = out.join(f, keys)
+    # T_2j = 2 T_j^2 - T_0 and T_(2j+1) = 2 T_j T_(j+1) - T_1
+    s = [F.col("e0"), F.col("o0")]
+    for j in range(1, steps + 1):
+        s += [2 * F.col(f"e{j}") - s[0], 2 * F.col(f"o{j}") - s[1]]
+    return out.select(*keys, "n", F.array(*s[: 2 * steps + 1]).alias("walks"), "radius")
+
+
+def total_factor(rho, walks: np.ndarray, radius: float):
+    """(value, remainder): 1' (I - rho W)^-1 1 / n for one rho or many by its Chebyshev series, 1 / (1 - q x) = (1 + 2 sum z^k T_k(x)) / sqrt(1 - q^2) with
+    q = rho radius and z = (1 - sqrt(1 - q^2)) / q, and a bound of what the terms beyond the known ones can add; NaN where |q| >= 1."""
+    q = np.asarray(rho, float) * radius
+    with np.errstate(all="ignore"):
+        root = np.sqrt(1 - q * q)
+        z = q / (1 + root)
+        powers = z[..., None] ** np.arange(1, len(walks))
+        return (walks[0] + 2 * (powers * walks[1:]).sum(-1)) / root, 2 * np.abs(z) ** len(walks) / (1 - np.abs(z)) / root
+
+
+def impacts(fit: DataFrame, px: DataFrame, keys: list[str], term: str, draws: int = 200, seed: int = 3, steps: int = WALKS, exact: int = EXACT_PIXELS) -> DataFrame:
+    """(keys, direct, direct_se, direct_p, indirect.., total.., total_remainder, rho, rho_se, rho_p, log_likelihood, sigma2, sse) of a term of a lag fit, one row a group of ok fits.
+
+    direct = b tr((I - rho W)^-1) / n, by the eigenvalues of groups of up to `exact` pixels, by quadrature of trace moments beyond; total = b 1'(I - rho W)^-1 1 / n by
+    the walk series, with a bound of its remainder; indirect is their difference. Standard errors come from draws of rho and the coefficient, independent and normal, seeded by
+    the group; draws of rho outside the bound are drawn at it. px: keys, ims_idx, ims_x, ims_y of the fitted pixels."""
+    at = lambda t, c: F.max(F.when(F.col("term") == t, F.col(c)))
+    wide = fit.where("status = 'ok'").groupBy(*keys).agg(
+        at("rho", "estimate").alias("rho"), at("rho", "std_error").alias("rho_se"), at("rho", "p_value").alias("rho_p"), at(term, "estimate").alias("b"), at(term, "std_error").alias("b_se"),
+        F.max("log_likelihood").alias("log_likelihood"), F.max("sigma2").alias("sigma2"), F.max("n").alias("n"),
+    )
+    px = cut(px.select(*keys, "ims_idx", "ims_x", "ims_y"))
+    eigen = cut(region_eigenvalues(px, keys, exact))
+    large = px.join(eigen.select(*keys), keys, "left_anti")
+    rows = wide.join(walk_series(px, keys, steps).drop("n"), keys).join(eigen, keys, "left")
+    rows = rows.join(trace_moments(large, keys).select(*keys, "moments"), keys, "left") if not large.isEmpty() else rows.withColumn("moments", F.lit(None).cast("array<double>"))
+    kinds = ("direct", "indirect", "total")
+    own = ["total_remainder", "rho", "rho_se", "rho_p", "log_likelihood", "sigma2", "sse"]
+
+    def effects(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            out = []
+            for r in pdf.to_dict("records"):
+                det = LogDeterminant(r["eigen"], r["moments"], r["radius"])
+                rng = np.random.default_rng([seed, zlib.crc32(repr([r[k] for k in keys]).encode())])
+                most = 0.999 / max(r["radius"], 1e-9)
+                shift = rng.standard_normal((2, draws))
+                rho = np.clip(np.concatenate(([r["rho"]], r["rho"] + np.nan_to_num(r["rho_se"]) * shift[0])), -most, most)
+                b = np.concatenate(([r["b"]], r["b"] + np.nan_to_num(r["b_se"]) * shift[1]))
+                factor, remainder = total_factor(rho, np.array(r["walks"], float), r["radius"])
+                direct, total = b * det.mean_inverse(rho), b * factor
+                row = [r[k] for k in keys]
+                for v in (direct, total - direct, total):
+                    sd = float(np.std(v[1:], ddof=1)) if draws > 1 else np.nan
+                    row += [v[0], sd, float(normal_pvalues(np.array([v[0] / sd if sd else np.nan]))[0])]
+                out.append((*row, abs(b[0]) * remainder[0], r["rho"], r["rho_se"], r["rho_p"], r["log_likelihood"], r["sigma2"], r["sigma2"] * r["n"]))
+            yield pd.DataFrame(out, columns=[*keys, *[f"{k}{e}" for k in kinds for e in ("", "_se", "_p")], *own])
+
+    columns = [f"{k}{e}" for k in kinds for e in ("", "_se", "_p")] + own
+    return _none(rows.mapInPandas(effects, _schema(fit, keys) + ", ".join(f"{c} double" for c in columns)), columns)
 
 
 def zscore(df: DataFrame, col: str, keys: list[str], out: str) -> DataFrame:

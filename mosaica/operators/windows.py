@@ -163,8 +163,10 @@ def sample_cap(df: DataFrame, n: int, seed: int, *key: str) -> DataFrame:
 def composite_best(candidates: DataFrame, keys: list[str]) -> DataFrame:
     """Best candidate of each group among those whose coverage reaches the 0.995 quantile, by the sum of scaled coverage, matches and
     inverted weighted distance; a constant criterion counts 1. `identity` says that the best coverage is below 0.95."""
-    q = candidates.groupBy(*keys).agg(F.percentile("coverage", F.lit(0.995)).alias("_q"))
-    kept = candidates.join(q, keys).where("coverage >= _q").drop("_q")
+    from mosaica.operators.aggregates import grouped_quantiles, join_safe
+
+    q = grouped_quantiles(candidates, keys, {"_q": (F.col("coverage"), 0.995)})
+    kept = join_safe(candidates, q, keys, "inner").where("coverage >= _q").drop("_q")
     w = Window.partitionBy(*keys)
     scaled = lambda x: F.when(F.max(x).over(w) > F.min(x).over(w), (F.col(x) - F.min(x).over(w)) / (F.max(x).over(w) - F.min(x).over(w))).otherwise(1.0)
     flipped = F.when(F.max("weighted_distance").over(w) > F.min("weighted_distance").over(w), 1 - scaled("weighted_distance")).otherwise(1.0)

@@ -97,10 +97,11 @@ t AS MATERIALIZED (SELECT sample_id, x, min(y) AS y FROM s GROUP BY ALL UNION SE
 e AS MATERIALIZED (SELECT a.sample_id, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_ FROM t a JOIN t b ON a.sample_id = b.sample_id AND (a.x <> b.x OR a.y <> b.y) JOIN t d ON d.sample_id = a.sample_id
   GROUP BY ALL HAVING min((b.x - a.x) * (d.y - a.y) - (b.y - a.y) * (d.x - a.x)) >= 0),
 h AS (SELECT p.sample_id, p.ims_idx, min((bx - ax) * (ims_y - ay) - (by_ - ay) * (ims_x - ax)) >= 0 AS inside FROM pixels p JOIN e ON e.sample_id = p.sample_id GROUP BY ALL)
-SELECT p.sample_id, p.ims_idx, c.cell_idx, round(c.overlap, 5) AS overlap, coalesce(h.inside, false) AS "in_IMC", far.ims_idx IS NOT NULL AS implausible
+SELECT p.sample_id, p.ims_idx, c.cell_idx, round(c.overlap, 9) AS overlap, coalesce(h.inside, false) AS "in_IMC", far.ims_idx IS NOT NULL AS implausible
 FROM pixels p LEFT JOIN c ON c.sample_id = p.sample_id AND c.ims_idx = p.ims_idx LEFT JOIN h ON h.sample_id = p.sample_id AND h.ims_idx = p.ims_idx LEFT JOIN far ON far.sample_id = p.sample_id AND far.ims_idx = p.ims_idx""")
 def combined_table(spark, sf_dir):
-    """The combined pixel-cell table of the library. Overlaps below a millionth are what rounding makes of boxes that touch."""
+    """The combined pixel-cell table of the library. Overlaps below a millionth are what rounding makes of boxes that touch. An
+    overlap is a whole number over 4 half^2, which ends within eight digits or never, so no value lies on a tie of the ninth."""
     from mosaica.operators import joins
     from mosaica.functions import geometry as G
 
@@ -108,4 +109,4 @@ def combined_table(spark, sf_dir):
     px = _positions(spark, sf_dir)
     cent = c.select("sample_id", "cell_idx", G.ring_centroid(F.col("ring")).alias("c")).select("sample_id", "cell_idx", "c.x", "c.y")
     out = jobs.combine(px, joins.cell_pixel_overlap(c, px, 1.0, 1.0, 2.0).where("overlap > 0.000001"), cent, spacing=1.0, project="p")
-    return out.select("sample_id", "ims_idx", "cell_idx", *_r("overlap", digits=5), "in_IMC", "implausible")
+    return out.select("sample_id", "ims_idx", "cell_idx", *_r("overlap", digits=9), "in_IMC", "implausible")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from mosaica.functions import geometry as G
 from mosaica.functions import scalars
 from mosaica.operators import aggregates as A
-from mosaica.operators import graphs, joins, lookups, models, rasters, transforms, verdicts, windows
+from mosaica.operators import graphs, joins, lookups, models, rasters, sweep, transforms, verdicts, windows
 from mosaica.sources import files
 
 
@@ -274,11 +274,141 @@ def test_match_pixels_by_group(spark):
 
 
 def test_whole_job_queries(spark, sf):
+    """The widened queries give a row for every row of their tables."""
     from mosaica.plans.catalog import QUERIES
     from mosaica.plans.fixtures import fixture
 
-    assert QUERIES["match_pixels_all_samples"](spark, sf).count() == fixture(spark, sf, "pixels").count()
-    assert QUERIES["resample_shift_full"](spark, sf).count() == fixture(spark, sf, "raster").where("channel = 1").count()
+    assert QUERIES["match_pixels_swapped"](spark, sf).count() == fixture(spark, sf, "pixels").count()
+    assert QUERIES["resample_shift"](spark, sf).count() == fixture(spark, sf, "raster").where("channel = 1").count()
+
+
+def brute_components(values, t):
+    """{first pixel: pixels} of the 4-connected components above t."""
+    left, out = {p for p, v in values.items() if v is not None and v > t}, {}
+    while left:
+        first = min(left)
+        part, todo = set(), [first]
+        while todo:
+            p = todo.pop()
+            if p in left:
+                left.discard(p)
+                part.add(p)
+                todo += [(p[0] + 1, p[1]), (p[0] - 1, p[1]), (p[0], p[1] + 1), (p[0], p[1] - 1)]
+        out[first] = part
+    return out
+
+
+def test_components_at_all_thresholds(spark):
+    """Random rasters over several tiles, and one component over all of them, against a flood fill for each threshold."""
+    rng = np.random.default_rng(12)
+    values = {("a", r, c): float(v) for (r, c), v in np.ndenumerate(rng.integers(0, 10, (90, 140)))} | {("b", r, c): 5.0 for r in range(70) for c in range(70)} | {("b", 0, 200): None, ("b", 1, 200): 5.0}
+    df = spark.createDataFrame([(k, r, c, v) for (k, r, c), v in values.items()], "s string, row int, col int, value double")
+    levels = [2, 3.5, 4, 5, 7, 9]
+    got = {(r.s, r.threshold, r.component): r for r in rasters_at(df, levels).collect()}
+    want = {}
+    for s in "ab":
+        for t in levels:
+            for (r0, c0), part in brute_components({(r, c): v for (k, r, c), v in values.items() if k == s}, t).items():
+                want[s, float(t), r0 << 32 | c0] = part
+    assert set(got) == set(want)
+    for k, part in want.items():
+        r, (rows, cols) = got[k], zip(*part)
+        assert (r.area, r.r0, r.c0, r.r1, r.c1) == (len(part), min(rows), min(cols), max(rows), max(cols)) and (r.c_row, r.c_col) == pytest.approx((np.mean(rows), np.mean(cols)))
+
+
+def rasters_at(df, levels):
+    return sweep.threshold_components(df, levels, ["s"])
+
+
+def test_sweep_of_thresholds(spark):
+    """Marks on a lattice of brightness 200 that a bright veil joins below 170: the sweep finds a threshold at which they are apart, as a plain loop does."""
+    rng = np.random.default_rng(2)
+    image = np.full((60, 60), 100.0)
+    image[25:, :] = 170.0
+    for r in range(8, 57, 8):
+        for c in range(8, 57, 8):
+            image[r - 1 : r + 2, c - 1 : c + 2] = 200 + rng.integers(0, 5)
+    image = np.floor(image)
+    edge = {(r, c): float(min(r, c) - 4) for r in range(60) for c in range(60)}
+    df = spark.createDataFrame([("s", r, c, float(v)) for (r, c), v in np.ndenumerate(image)], "s string, row int, col int, value double")
+    dist = spark.createDataFrame([("s", r, c, d) for (r, c), d in edge.items()], "s string, row int, col int, distance double")
+    chosen, marks = sweep.sweep_thresholds(df, dist, pixel=8.0, resolution=1.0, step=8.0, low=155, high=186, keys=["s"])
+    table = {}
+    for t in range(144, 198):
+        parts = [p for p in brute_components({(r, c): v for (r, c), v in np.ndenumerate(image)}, t).values() if math.pi < len(p) < 64]
+        marked = [np.mean(list(p), axis=0) for p in parts]
+        d = [edge[int(r), int(c)] / 8 for r, c in marked] if len(marked) >= 6 else []  # all lie on one lattice
+        table[t] = (len(d), sum(x <= 2 for x in d), sum(1 / x for x in d if x))
+
+    def best(ts):
+        top = [max(table[t][i] for t in ts) or 1 for i in range(3)]
+        return max(ts, key=lambda t: (round(2 * table[t][2] / top[2] + table[t][0] / top[0] + 4 * table[t][1] / top[1], 9), -t))
+
+    t = best(range(155, 186, 10))
+    t = best(range(t - 9, t + 10, 3))
+    fine = range(t - 2, t + 3)
+    row = chosen.collect()
+    assert len(row) == 1 and row[0].threshold == best(fine) and row[0].n == max(table[t][0] for t in fine) == 49 and row[0].b == max(table[t][1] for t in fine)
+    assert row[0].w == pytest.approx(max(table[t][2] for t in fine))
+    assert sorted((round(m.x, 3), round(m.y, 3)) for m in marks.collect()) == sorted((float(c), float(r)) for r in range(1, 8) for c in range(1, 8))
+
+
+def brute_knn(a, b, k):
+    out = {}
+    for g, i, x, y in a:
+        if x is not None and y is not None and math.isfinite(x) and math.isfinite(y):
+            near = sorted((math.hypot(x - u, y - v), o) for h, o, u, v in b if h == g and u is not None and v is not None and math.isfinite(u) and math.isfinite(v))
+            out |= {(g, i, r + 1): (o, d) for r, (d, o) in enumerate(near[:k])}
+    return out
+
+
+def test_knn_without_a_radius(spark):
+    """Clusters, a far outlier, points at one place, points without a place, groups with few or no partners."""
+    rng = np.random.default_rng(9)
+    clump = [("c", int(i), float(x), float(y)) for i, (x, y) in enumerate(rng.normal(0, 0.01, (400, 2)))] + [("c", 400, 1e6, -3e6), ("c", 401, 5.0, 5.0)]
+    same = [("s", i, 1.0, 1.0) for i in range(300)] + [("s", 300, 1.0, 1.5)]
+    odd = [("c", 900, None, 1.0), ("c", 901, float("nan"), 1.0), ("c", 902, 1.0, float("inf"))]
+    grid = [("g", i, float(i % 12), float(i // 12)) for i in range(144)]
+    a = clump + same + odd + grid + [("few", 0, 0.0, 0.0), ("none", 0, 0.0, 0.0)]
+    b = [(g, i + 10_000, x + 0.25 if x is not None else None, y) for g, i, x, y in clump + same + odd + grid] + [("few", 1, 100.0, 0.0), ("few", 2, -1.0, -1.0)]
+    schema = "g string, id long, x double, y double"
+    for k, side in ((1, 1.0), (5, 1e-2)):
+        got = joins.knn_join(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), k, ["g"], start=side).collect()
+        want = brute_knn(a, b, k)
+        assert {(r.g, r.id, r.rank): r.other for r in got} == {key: o for key, (o, _) in want.items()}
+        assert all(r.d == pytest.approx(want[r.g, r.id, r.rank][1]) for r in got)
+    none = spark.createDataFrame([], schema)
+    assert joins.knn_join(none, none, 2, ["g"]).count() == joins.knn_join(spark.createDataFrame(a, schema), none, 2, ["g"]).count() == 0
+
+
+def test_grouped_quantiles(spark):
+    """Against numpy: skewed groups, ties, null keys and values, groups without values."""
+    rng = np.random.default_rng(3)
+    rows = [("hot", float(v)) for v in np.round(rng.normal(size=3000), 2)] + [(f"g{i % 7}", float(i % 13)) for i in range(200)] + [(None, 1.0), (None, 4.0), ("none", None), ("one", 5.0), ("hot", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    groups: dict = {}
+    for k, v in rows:
+        groups.setdefault(k, []).append(v)
+    for r in A.error_summary(df, ["k"], "v").collect():
+        own = [v for v in groups[r.k] if v is not None]
+        assert r.n == len(own)
+        for q in (5, 25, 50, 75, 95):
+            assert r[f"q{q:02d}"] == (pytest.approx(np.quantile(own, q / 100)) if own else None)
+    whole = A.table_quantile(df, "v", 0.3, "q").first().q
+    assert whole == pytest.approx(np.quantile([v for _, v in rows if v is not None], 0.3))
+    masked = {r.k: r for r in A.error_summary_masked(df.withColumn("m", F.col("v") > 0), ["k"], "v", "m").collect()}
+    assert masked["hot"].masked_q50 == pytest.approx(np.median([v for v in groups["hot"] if v is not None and v > 0])) and masked["none"].masked_q50 is None
+
+
+def test_hull_in_a_tree(spark):
+    rng = np.random.default_rng(4)
+    turn = rng.uniform(0, 2 * np.pi, 3000)
+    pts = [("disc", float(x), float(y)) for x, y in rng.normal(size=(5000, 2))] + [("ring", float(x), float(y)) for x, y in zip(np.cos(turn), np.sin(turn))] + [("line", float(i), 2.0 * i) for i in range(50)] + [("dot", 1.0, 1.0), ("disc", None, 1.0)]
+    df = spark.createDataFrame(pts, "k string, x double, y double")
+    for part in (4096, 64):
+        rings = {r.k: [(p.x, p.y) for p in r.ring] for r in A.convex_hull(df, "k", part).collect()}
+        for k in ("disc", "ring", "line", "dot"):
+            assert rings[k] == A.hull_of([(x, y) for g, x, y in pts if g == k and x is not None])
 
 
 def test_lag_on_a_strip_goes_beyond_a_quarter(spark):
@@ -296,6 +426,61 @@ def test_lag_on_a_strip_goes_beyond_a_quarter(spark):
         assert models.log_det(r, moments, 2.0) == pytest.approx(np.linalg.slogdet(np.eye(n) - r * W)[1] / n, rel=0.01)
 
 
+def irregular_region(seed, side=14, share=0.8):
+    """(pixels, W) of a ragged region with isolated pixels."""
+    rng = np.random.default_rng(seed)
+    px = [(x, y) for x in range(side) for y in range(side) if rng.random() < share] + [(side + 5, 0)]
+    W = np.array([[float(abs(a - c) + abs(b - d) == 1) for c, d in px] for a, b in px])
+    return px, W
+
+
+def test_lag_solver_against_dense(spark):
+    """At 0.98 of the bound, far below it, with negative rho, and beyond it."""
+    px, W = irregular_region(1)
+    most = np.abs(np.linalg.eigvalsh(W)).max()
+    rng = np.random.default_rng(1)
+    rhs = rng.normal(size=len(px))
+    bound = models.spectral_bound(spark.createDataFrame([("g", i, x, y) for i, (x, y) in enumerate(px)], "g string, ims_idx int, ims_x int, ims_y int"), ["g"]).first().radius
+    assert most <= bound < 1.2 * most
+    rhos = {"near": 0.98 / bound, "far": 0.05, "negative": -0.7 / bound, "zero": 0.0, "beyond": 1.1 / bound}
+    rows = [(g, i, x, y, float(rhs[i]), rho, float(bound)) for g, rho in rhos.items() for i, (x, y) in enumerate(px)]
+    df = spark.createDataFrame(rows, "g string, ims_idx int, ims_x int, ims_y int, b double, rho double, radius double")
+    got: dict = {}
+    for r in models.solve_lag(df, ["g"], "b").collect():
+        got.setdefault(r.g, {})[r.ims_idx] = (r.u, r.status)
+    for g, rho in rhos.items():
+        if g == "beyond":
+            assert all(v == (None, "outside") for v in got[g].values())
+        else:
+            want = np.linalg.solve(np.eye(len(px)) - rho * W, rhs)
+            assert [got[g][i][0] for i in range(len(px))] == pytest.approx(want, rel=1e-5, abs=1e-6) and got[g][0][1] == "ok"
+
+
+def test_impacts_against_dense(spark):
+    """Effects on an irregular region equal dense algebra; their errors and p-values come from the draws."""
+    px, W = irregular_region(2)
+    n = len(px)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=n)
+    y = np.linalg.solve(np.eye(n) - 0.18 * W, 1 + 2 * x + 0.2 * rng.normal(size=n))
+    df = spark.createDataFrame([("g", i, a, b, float(x[i]), float(y[i]), 1.0) for i, (a, b) in enumerate(px)], "g string, ims_idx int, ims_x int, ims_y int, x double, y double, one double")
+    fit = models.fit_lag(df, ["g"], "y", ["one", "x"])
+    e = {r.term: r for r in fit.collect()}
+    rho, b = e["rho"].estimate, e["x"].estimate
+    inverse = np.linalg.inv(np.eye(n) - rho * W)
+    r = models.impacts(fit, df, ["g"], "x").first()
+    assert r.direct == pytest.approx(b * np.trace(inverse) / n, rel=1e-9)
+    assert r.total == pytest.approx(b * inverse.sum() / n, abs=r.total_remainder + 1e-9) and r.total_remainder < 1e-4 * abs(r.total)
+    assert r.indirect == pytest.approx(r.total - r.direct) and r.rho == rho and r.sse == pytest.approx(e["x"].sigma2 * n)
+    draws = np.random.default_rng(0)
+    totals = [(b + e["x"].std_error * draws.standard_normal()) * np.linalg.solve(np.eye(n) - (rho + e["rho"].std_error * draws.standard_normal()) * W, np.ones(n)).sum() / n for _ in range(400)]
+    assert r.total_se == pytest.approx(np.std(totals), rel=0.2) and r.total_p < 1e-6 and r.rho_p == e["rho"].p_value
+    likelihood = -n / 2 * (np.log(2 * np.pi * e["x"].sigma2) + 1) + np.linalg.slogdet(np.eye(n) - rho * W)[1]
+    assert r.log_likelihood == pytest.approx(likelihood)
+    large = models.impacts(models.fit_lag(df, ["g"], "y", ["one", "x"], exact=10), df, ["g"], "x", exact=10).first()  # by trace moments
+    assert large.direct == pytest.approx(r.direct, rel=0.02) and large.total == pytest.approx(r.total, rel=0.05)
+
+
 def test_unsettled_point_sets_raise(spark, monkeypatch):
     monkeypatch.setattr(graphs, "MAX_ROUNDS", 0)
     a = spark.createDataFrame([(1, 0.0, 0.0)], "id int, x double, y double")
