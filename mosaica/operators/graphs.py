@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import product
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql.window import Window
 from mosaica.operators.components import connected_components
 from mosaica.operators.joins import knn_join, radius_join, radius_self_join
 from mosaica.operators.lineage import cut
-from mosaica.operators.windows import circular_ngrams, direction_codes, valid_steps
+from mosaica.operators.windows import direction_codes
 
 MAX_ROUNDS = 100
 
@@ -135,48 +134,70 @@ def best_shape_match(candidates: DataFrame, score: str = "shape_distance") -> Da
     return candidates.groupBy("id").agg(F.min_by("other", F.struct(score, "other")).alias("other"), F.min(score).alias(score))
 
 
+def step_windows(points: DataFrame, keys: list[str], min_n: int, max_n: int, tol: float = 0.2, angle: float = 15.0) -> DataFrame:
+    """(keys, id, x, y, before, after, ngram): for each point (keys, seq, id, x, y) of a closed line the directions of the `before` steps that lead to it and the `after` steps that leave it, for
+    every such window of min_n to max_n steps, at least one, that fits on the line and whose steps are all of length 1 within tol and within an angle of an axis.
+
+    Steps are taken on the line as it is, so no window spans a point that is not there: how far the valid steps run to both sides bounds the windows of a point. One window function a line,
+    whatever the number of windows; a point holds at most 2 max_n + 1 steps."""
+    line = Window.partitionBy(*keys)
+    whole = line.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    order = line.orderBy("seq")
+    numbered = direction_codes(points, keys).withColumns({"_i": F.row_number().over(order), "_n": F.count("*").over(line)})
+    dx = F.coalesce(F.lead("x").over(order), F.first("x").over(whole)) - F.col("x")
+    dy = F.coalesce(F.lead("y").over(order), F.first("y").over(whole)) - F.col("y")
+    turn = F.degrees(F.atan2(dy, dx))
+    ok = (F.abs(F.hypot(dx, dy) - 1) <= tol) & (F.abs(turn - F.round(turn / 90) * 90) <= angle)
+    numbered = numbered.withColumn("_step", F.struct(F.col("code").alias("code"), F.coalesce(ok, F.lit(False)).alias("ok")))
+    reach = F.least(F.col("_n"), F.lit(max_n))
+    copies = numbered.withColumn("_t", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))).where((F.col("_t") == 0) | ((F.col("_t") < 0) & (F.col("_i") > F.col("_n") - reach)) | ((F.col("_t") > 0) & (F.col("_i") <= reach)))
+    along = line.orderBy(F.col("_i") + F.col("_t") * F.col("_n"))
+    held = copies.withColumn("_steps", F.collect_list("_step").over(along.rowsBetween(-max_n, max_n))).withColumn("_own", F.count("*").over(along.rowsBetween(-max_n, -1)).cast("int")).where("_t = 0")
+    back = F.reverse(F.slice("_steps", F.lit(1), F.col("_own")))
+    ahead = F.slice("_steps", F.col("_own") + 1, F.lit(max_n))
+    run = lambda steps: F.when(F.exists(steps, lambda s: ~s.ok), F.array_position(F.transform(steps, lambda s: s.ok), False) - 1).otherwise(F.size(steps)).cast("int")
+    least = max(1, min_n)
+    most = F.least(F.col("_n") - 1, F.lit(max_n)).cast("int")
+    wide = held.withColumns({"_b": run(back), "_a": run(ahead)}).withColumn("before", F.explode(F.sequence(F.lit(0), F.least("_b", most))))
+    low, high = F.greatest(F.lit(0), F.lit(least) - F.col("before")), F.least(F.col("_a"), most - F.col("before"))
+    wide = wide.where(low <= high).withColumn("after", F.explode(F.sequence(low, high)))
+    gram = F.array_join(F.transform(F.slice("_steps", F.col("_own") + 1 - F.col("before"), F.col("before") + F.col("after")), lambda s: s.code), "")
+    return wide.select(*keys, "id", "x", "y", "before", "after", gram.alias("ngram"))
+
+
 def sequence_match(a: DataFrame, b: DataFrame, min_n: int, max_n: int, max_dist: float = 1.75, keys: list[str] = ("line",)) -> DataFrame:
-    """(id, other, length): points of a whose direction n-gram equals that of exactly one point of b within max_dist.
+    """(id, other, length): points of a whose directions in a window equal those of exactly one point of b within max_dist.
 
-    a, b: keys, seq, id, x, y. Windows (before, after) of min_n to max_n steps are tried; a point must find the same
-    partner in all windows that decide; length is the longest of them. The windows are parameters, so they form a loop of joins over one union.
+    a, b: keys, seq, id, x, y; lines of a and b meet whatever their keys. All windows (before, after) of min_n to max_n valid steps are tried in one join (step_windows); a point must find the same
+    partner in all windows that decide, those with exactly one partner; length is the longest of them. Points without such a window have no row.
     """
     keys = list(keys)
-    found = []
-    for before, after in product(range(max_n + 1), repeat=2):
-        if not min_n <= before + after <= max_n:
-            continue
-
-        def coded(p: DataFrame, name: str) -> DataFrame:
-            ok = valid_steps(direction_codes(p, keys), keys, before=before, after=after).where("valid")
-            return circular_ngrams(ok, before, after, keys).select(F.col("id").alias(name), F.col("x").alias(f"_{name}x"), F.col("y").alias(f"_{name}y"), "ngram")
-
-        m = coded(a, "id").join(coded(b, "other"), "ngram").where(F.hypot(F.col("_idx") - F.col("_otherx"), F.col("_idy") - F.col("_othery")) <= max_dist)
-        one = m.groupBy("id").agg(F.count("*").alias("n"), F.min("other").alias("other")).where("n = 1")
-        found.append(one.select("id", "other", F.lit(before + after).alias("length")))
-    every = reduce(DataFrame.unionByName, found)
-    return every.groupBy("id").agg(F.countDistinct("other").alias("n"), F.min("other").alias("other"), F.max("length").alias("length")).where("n = 1").drop("n")
+    near = step_windows(b, keys, min_n, max_n).select(F.col("id").alias("other"), F.col("x").alias("_x"), F.col("y").alias("_y"), "before", "after", "ngram")
+    met = step_windows(a, keys, min_n, max_n).join(near, ["before", "after", "ngram"]).where(F.hypot(F.col("x") - F.col("_x"), F.col("y") - F.col("_y")) <= max_dist)
+    one = met.groupBy("id", "before", "after").agg(F.count("*").alias("n"), F.min("other").alias("other")).where("n = 1")
+    found = one.groupBy("id").agg(F.min("other").alias("other"), F.max("other").alias("_last"), F.max(F.col("before") + F.col("after")).alias("length"))
+    return found.where("other = _last").drop("_last")
 
 
 def inconsistent_pairs(matches: DataFrame, keys: list[str], reach: float | None = None) -> DataFrame:
     """(keys, n_bad): pairs of matches (id, x, y, d) with abs(d_i - d_j) > 0.5 + 0.1 dist(i, j).
 
-    With reach, only pairs so near are compared, on grid cells; the bound makes the rest rare. Without, a group is compared whole and
-    must be small, as the match set of one border is.
+    With reach, only pairs so near are compared, on grid cells. Without, the reach is that beyond which no pair can be inconsistent, since no two d of a group differ by more than the
+    group's range. A group without any pair so near has no row.
     """
-    right = matches.select(*keys, F.col("id").alias("other"), F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("d").alias("_d"))
     if reach is None:
-        pairs = matches.join(right, keys).where("id < other")
-    else:
-        near = radius_self_join(matches, reach, keys).drop("d")
-        pairs = near.join(matches.select(*keys, "id", "x", "y", "d"), [*keys, "id"]).join(right, [*keys, "other"])
+        spread = matches.groupBy(*keys).agg((F.max("d") - F.min("d")).alias("s")).agg(F.max("s")).first()[0]
+        reach = max(1e-6, ((spread or 0.0) - 0.5) / 0.1)
+    right = matches.select(*keys, F.col("id").alias("other"), F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("d").alias("_d"))
+    near = radius_self_join(matches, reach, keys).drop("d")
+    pairs = near.join(matches.select(*keys, "id", "x", "y", "d"), [*keys, "id"]).join(right, [*keys, "other"])
     bad = F.abs(F.col("d") - F.col("_d")) > 0.5 + 0.1 * F.hypot(F.col("x") - F.col("_x"), F.col("y") - F.col("_y"))
     return pairs.groupBy(*keys).agg(F.sum(bad.cast("int")).alias("n_bad"))
 
 
 def score_match_sets(matches: DataFrame, reference_diameter: float, keys: list[str] = ("line",), reach: float | None = None) -> DataFrame:
     """Score of the match sets of each minimal length n > 10: (1 - gap / 360) sqrt(matches), 0 with an inconsistent pair, for sets with
-    a diameter over 0.75 of the reference and a gap below 200 degrees. Pairs are compared within reach, or all of a set without one."""
+    a diameter over 0.75 of the reference and a gap below 200 degrees. Pairs are compared within reach, or as far as they can be inconsistent."""
     from mosaica.operators.windows import max_angular_gap
 
     keys = list(keys)

@@ -426,6 +426,58 @@ def test_lag_on_a_strip_goes_beyond_a_quarter(spark):
         assert models.log_det(r, moments, 2.0) == pytest.approx(np.linalg.slogdet(np.eye(n) - r * W)[1] / n, rel=0.01)
 
 
+def test_sequences_do_not_span_gaps(spark):
+    """Closed lines with missing points, against a plain loop over all windows."""
+    rng = np.random.default_rng(7)
+
+    def outline(w, h):
+        return [(x, 0) for x in range(w)] + [(w, y) for y in range(h)] + [(x, h) for x in range(w, 0, -1)] + [(0, y) for y in range(h, 0, -1)]
+
+    full = [*outline(9, 6)]
+    full[4:5] = [(4, 0), (4, 1), (5, 1), (5, 0)]  # a notch
+    a = [("l", i, i, float(x) + rng.uniform(-0.05, 0.05), float(y)) for i, (x, y) in enumerate(full) if i not in (7, 20)] + [("s", 0, 100, 50.0, 50.0), ("s", 1, 101, 51.0, 50.0)]
+    b = [("l", i, 1000 + i, float(x) + 0.1, float(y)) for i, (x, y) in enumerate(full) if i != 12]
+
+    def windows_of(pts, lo, hi):
+        out, lines = {}, {}
+        for p in sorted(pts):
+            lines.setdefault(p[0], []).append(p)
+        for own in lines.values():
+            n = len(own)
+            steps = []
+            for p, q in zip(own, own[1:] + own[:1]):
+                dx, dy = q[3] - p[3], q[4] - p[4]
+                t = math.degrees(math.atan2(dy, dx))
+                steps.append(("RBLT"[round(t / 90) % 4], abs(math.hypot(dx, dy) - 1) <= 0.2 and abs(t - round(t / 90) * 90) <= 15))
+            for i, p in enumerate(own):
+                for before in range(hi + 1):
+                    for after in range(hi + 1 - before):
+                        if lo <= before + after < n:
+                            w = [steps[(i + k) % n] for k in range(-before, after)]
+                            if all(s[1] for s in w):
+                                out[p[2], before, after] = ("".join(s[0] for s in w), p[3], p[4])
+        return out
+
+    wa, wb = windows_of(a, 2, 6), windows_of(b, 2, 6)
+    votes: dict = {}
+    for (i, bf, af), (code, x, y) in wa.items():
+        hits = [o for (o, f, g), (c, u, v) in wb.items() if (f, g, c) == (bf, af, code) and math.hypot(x - u, y - v) <= 1.75]
+        if len(hits) == 1:
+            votes.setdefault(i, []).append((hits[0], bf + af))
+    want = {i: (v[0][0], max(n for _, n in v)) for i, v in votes.items() if len({o for o, _ in v}) == 1}
+    schema = "line string, seq int, id int, x double, y double"
+    got = {r.id: (r.other, r.length) for r in graphs.sequence_match(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), 2, 6).collect()}
+    assert got == want and len(want) > 10
+
+
+def test_inconsistent_pairs_without_a_reach(spark):
+    rng = np.random.default_rng(8)
+    rows = [(g, i, float(x), float(y), float(d)) for g in "ab" for i, (x, y, d) in enumerate(zip(*rng.uniform(0, 30, (2, 80)), rng.uniform(0, 1.75, 80)))]
+    want = {g: sum(abs(p[4] - q[4]) > 0.5 + 0.1 * math.hypot(p[2] - q[2], p[3] - q[3]) for i, p in enumerate(own) for q in own[i + 1 :]) for g in "ab" for own in [[r for r in rows if r[0] == g]]}
+    got = graphs.inconsistent_pairs(spark.createDataFrame(rows, "g string, id int, x double, y double, d double"), ["g"])
+    assert {r.g: r.n_bad for r in got.collect()} == want
+
+
 def irregular_region(seed, side=14, share=0.8):
     """(pixels, W) of a ragged region with isolated pixels."""
     rng = np.random.default_rng(seed)
