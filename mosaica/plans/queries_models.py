@@ -196,3 +196,22 @@ def combined_table(spark, sf_dir):
     cent = c.select("sample_id", "cell_idx", G.ring_centroid(F.col("ring")).alias("c")).select("sample_id", "cell_idx", "c.x", "c.y")
     out = jobs.combine(px, joins.cell_pixel_overlap(c, px, 1.0, 1.0, 2.0).where("overlap > 0.000001"), cent, spacing=1.0, project="p")
     return out.select("sample_id", "ims_idx", "cell_idx", *_r("overlap", digits=9), "in_IMC", "implausible")
+
+
+@query(with_sql("pixels", "boxes", "spectra") + """
+, o AS (SELECT b.sample_id, cell_idx, ims_idx, cx / 100 AS x, cy / 100 AS y,
+  greatest(0, least(cx + half, ims_x * 100 + 100) - greatest(cx - half, ims_x * 100)) * greatest(0, least(cy + half, ims_y * 100 + 100) - greatest(cy - half, ims_y * 100)) / (4 * half * half) AS overlap
+  FROM boxes b JOIN pixels p ON p.sample_id = b.sample_id AND abs(cx - ims_x * 100 - 50) < 200 AND abs(cy - ims_y * 100 - 50) < 200 WHERE sqrt((cx - ims_x * 100 - 50) ** 2 + (cy - ims_y * 100 - 50) ** 2) < 200),
+c AS (SELECT * FROM o WHERE overlap > 0.000001),
+k AS (SELECT ims_idx, max(intensity) AS marker FROM spectra WHERE ims_idx % 3 <> 0 GROUP BY ims_idx)
+SELECT p.sample_id, p.ims_idx, c.cell_idx, round(k.marker, 2) AS marker, 'p' AS project_name FROM pixels p LEFT JOIN c ON c.sample_id = p.sample_id AND c.ims_idx = p.ims_idx LEFT JOIN k ON k.ims_idx = p.ims_idx""")
+def combined_table_markers(spark, sf_dir):
+    """The combined table with a marker of two thirds of the pixels; the others have none."""
+    from mosaica.operators import joins
+    from mosaica.functions import geometry as G
+
+    c, px = cells(spark, sf_dir), _positions(spark, sf_dir)
+    cent = c.select("sample_id", "cell_idx", G.ring_centroid(F.col("ring")).alias("c")).select("sample_id", "cell_idx", "c.x", "c.y")
+    marker = fixture(spark, sf_dir, "spectra").where("ims_idx % 3 <> 0").groupBy("ims_idx").agg(F.max("intensity").alias("marker")).join(px.select("sample_id", "ims_idx"), "ims_idx").withColumnRenamed("ims_idx", "label")
+    out = jobs.combine(px, joins.cell_pixel_overlap(c, px, 1.0, 1.0, 2.0).where("overlap > 0.000001"), cent, marker, project="p")
+    return out.select("sample_id", "ims_idx", "cell_idx", *_r("marker", digits=2), "project_name")

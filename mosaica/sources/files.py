@@ -87,8 +87,10 @@ def read_table(spark: SparkSession, kind: str, path: str) -> DataFrame:
     return spark.read.schema(TABLES[kind]).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.csv(path, header=True)
+def write_csv(df: DataFrame, path: str, order: list[str] = ()) -> None:
+    """A folder of CSV files with headers. With `order` the files in the order of their names hold the rows sorted by those columns (nulls first), by ranges, so that no task
+    sorts all; cell tables are sorted by cell id."""
+    (df.orderBy(*order) if order else df).write.csv(path, header=True)
 
 
 def write_mz_slices(df: DataFrame, path: str, index: bool = False, checker: bool = False) -> None:

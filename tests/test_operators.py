@@ -426,6 +426,14 @@ def test_lag_on_a_strip_goes_beyond_a_quarter(spark):
         assert models.log_det(r, moments, 2.0) == pytest.approx(np.linalg.slogdet(np.eye(n) - r * W)[1] / n, rel=0.01)
 
 
+def test_sorted_cell_tables(spark, tmp_path):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("cell_idx"), F.lit("c").alias("v"))
+    files.write_csv(df, str(tmp_path / "cells"), ["cell_idx"])
+    parts = sorted((tmp_path / "cells").glob("part-*.csv"))
+    read = [int(line.split(",")[0]) for p in parts for line in p.read_text().split() if not line.startswith("cell_idx")]
+    assert read == list(range(5000))
+
+
 def test_sequences_do_not_span_gaps(spark):
     """Closed lines with missing points, against a plain loop over all windows."""
     rng = np.random.default_rng(7)
