@@ -244,7 +244,8 @@ def score_thresholds(candidates: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def icp(a: DataFrame, b: DataFrame, keys: list[str], kind: str = "affine", tol: float = 1e-3, max_dist: float = 10.0, rounds: int = 20) -> DataFrame:
-    """(keys, m): iterated closest point from a to b. Groups whose points moved less than tol on average stop; lineage is cut each round."""
+    """(keys, m, status): iterated closest point from a to b, until every group's points move less than tol on average; lineage is cut each round. status is ok, or
+    `not converged` for groups that still moved by tol in the last round. Groups without pairs within max_dist have no row."""
     fit_of = fit_affine if kind == "affine" else fit_rigid
     start = cut(a.select(*keys, "id", F.col("x").alias("p1x"), F.col("y").alias("p1y"), "x", "y"))
     fit = None
@@ -255,8 +256,10 @@ def icp(a: DataFrame, b: DataFrame, keys: list[str], kind: str = "affine", tol:
         fit = cut(fit_of(pairs, keys).where("m is not null").select(*keys, "m"))
         moved = start.join(fit, keys).withColumn("nx", F.col("m.a") * F.col("p1x") + F.col("m.b") * F.col("p1y") + F.col("m.tx")).withColumn("ny", F.col("m.c") * F.col("p1x") + F.col("m.d") * F.col("p1y") + F.col("m.ty"))
         moved = cut(moved)
-        worst = moved.groupBy(*keys).agg(F.avg(F.hypot(F.col("nx") - F.col("x"), F.col("ny") - F.col("y"))).alias("_moved")).agg(F.max("_moved")).first()[0]
+        per = cut(moved.groupBy(*keys).agg(F.avg(F.hypot(F.col("nx") - F.col("x"), F.col("ny") - F.col("y"))).alias("_moved")))
+        worst = per.agg(F.max("_moved")).first()[0]
         start = moved.select(*keys, "id", "p1x", "p1y", F.col("nx").alias("x"), F.col("ny").alias("y"))
         if worst is None or worst < tol:
             break
-    return fit
+    ended = fit.join(per, keys) if keys else fit.crossJoin(F.broadcast(per))  # one row
+    return ended.select(*keys, "m", F.when(F.col("_moved") < tol, "ok").otherwise("not converged").alias("status"))
