@@ -8,6 +8,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from heapq import nsmallest
+from itertools import pairwise
 
 import pyarrow as pa
 import xxhash
@@ -29,8 +30,8 @@ SAMPLE_VALUES = 400  # labelled credentials a kind that the automata are fitted
 SAMPLE_WORDS = 2000  # ordinary candidates for the background
 MAX_FIT_LENGTH = 256  # characters of a labelled credential that the fit takes; longer ones are scored like any other
 ALPHA = 0.05
-MARGIN = 1.0  # natural log odds a character that a credential must have over ordinary text
-EVIDENCE = 16.0  # natural log odds in all that it must have, so that a short one must be the clearer
+MARGIN = 0.5  # natural log odds a character that a credential must have over ordinary text
+EVIDENCE = 12.0  # natural log odds in all that it must have, so that a short one must be the clearer
 CACHE_SCORES = 50_000  # decisions by character classes that a task keeps
 _FLOOR = 1e-4
 
@@ -59,6 +60,8 @@ def candidates(text: str, taken: list) -> Iterator[tuple[int, int, str]]:
 
 _CLASSES = {c: "d" for c in "0123456789"} | {c: "h" for c in "abcdef"} | {c: "l" for c in "ghijklmnopqrstuvwxyz"} | {c: "H" for c in "ABCDEF"} | {c: "U" for c in "GHIJKLMNOPQRSTUVWXYZ"}
 _TO_CLASS = str.maketrans(_CLASSES)
+_ALPHABET, _START, _END = "dhlHU+/_.=-", "^", "$"  # classes of credential characters, and the marks around a run
+_AFTER = _ALPHABET + _END
 
 
 class FormatAutomaton:
@@ -150,19 +153,26 @@ class FormatAutomaton:
 
 
 class FormatModel:
-    """Automata of the base kinds, and the class frequencies of ordinary candidates to hold them against."""
+    """Automata of the base kinds, and a chain of ordinary candidates to hold them against.
+
+    The chain has the frequency of each character class after the one before it, start and end included. So a run of digits, an
+    address or a capitalised word is as likely as ordinary text makes it, though its classes alone are rare there.
+    """
 
     def __init__(self, values: dict[str, list[str]], ordinary: list[str]):
         self.automata = {k: FormatAutomaton(v) for k, v in values.items() if v}
-        seen = Counter("".join(ordinary).translate(_TO_CLASS))
-        n = sum(seen.values())
-        self.background = {c: math.log((seen[c] + 1) / (n + 20)) for c in set(seen) | set("dhlHU+/_.=-")}
+        pairs = Counter(xy for o in ordinary for xy in pairwise(_START + o.translate(_TO_CLASS) + _END))
+        before = Counter()
+        for (x, _), n in pairs.items():
+            before[x] += n
+        self.background = {(x, y): math.log((pairs[x, y] + 1) / (before[x] + len(_AFTER))) for x in _START + _ALPHABET for y in _AFTER}
 
     def log_odds(self, classes: str) -> float:
         """Log odds of the likeliest credential format against ordinary text, for a run of character classes."""
         if not self.automata:
             return -math.inf
-        return max(a.log_likelihood(classes) for a in self.automata.values()) - sum(self.background[c] for c in classes)
+        ordinary = sum(self.background[xy] for xy in pairwise(_START + classes + _END))
+        return max(a.log_likelihood(classes) for a in self.automata.values()) - ordinary
 
     def is_secret(self, value: str, known: dict | None = None) -> bool:
         """Whether the log odds are above MARGIN a character and EVIDENCE in all; known keeps decisions between calls."""
