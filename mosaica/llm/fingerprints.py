@@ -47,7 +47,8 @@ def signatures(texts: DataFrame, keys: list[str], text_cols: list[str], samples:
     words = [F.split(F.btrim(F.col(c), F.lit(_SPACE)), "[\\x20\\x09-\\x0D]+") for c in text_cols]
     extra = [F.array(*[F.substring(F.col(carried), 1 + 16 * q, 16) for q in range(4)])] if carried else []
     sized = texts.select(*keys, F.concat(*words, *extra).alias("_words"), *[F.size(w).alias(f"_z{v}") for v, w in enumerate(words)])
-    each = sized.select(*keys, *[f"_z{v}" for v in range(len(words))], F.posexplode("_words").alias("_at", "_w"))
+    # No array is empty. A plain explode would have the optimizer split every text twice more, to filter out empty arrays.
+    each = sized.select(*keys, *[f"_z{v}" for v in range(len(words))], F.posexplode_outer("_words").alias("_at", "_w"))
     ends = [sum((F.col(f"_z{v}") for v in range(n)), F.lit(0)) for n in range(len(words) + 1)]
     term = F.when(F.col("_at") < ends[-1], F.xxhash64("_w")).otherwise(F.conv("_w", 16, -10).cast("long"))
     terms = each.select(*keys, term.alias("_term"), *[((F.col("_at") >= ends[v]) & (F.col("_at") < ends[v + 1])).cast("long").alias(f"_i{v}") for v in range(len(words))], (F.col("_at") - ends[-1] + 1).alias("_q"))
