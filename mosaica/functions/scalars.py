@@ -93,6 +93,8 @@ def t_pvalues(t: np.ndarray, df: np.ndarray) -> np.ndarray:
 
 
 def t_pvalue(t: Column, df: Column) -> Column:
+    """Two-sided p-value of Student's t; NaN where t is not finite or the degrees of freedom are not above 0."""
+
     @F.pandas_udf("double")
     def of(t: pd.Series, df: pd.Series) -> pd.Series:
         return pd.Series(t_pvalues(t.to_numpy(float), df.to_numpy(float)))

@@ -21,10 +21,11 @@ def bin_peaks(aligned: DataFrame, key: str = "ims_idx", value: str = "intensity"
     return aligned.groupBy(key, F.col("ref").alias("mz")).agg(F.max(value).alias("value"))
 
 
-def label_means(labels: DataFrame, raster: DataFrame, channels: list[int] | None = None) -> DataFrame:
-    """Mean value of each channel per label, one column a channel; labels without raster pixels keep nulls."""
+def label_means(labels: DataFrame, raster: DataFrame, channels: list[int] | None = None, keys: list[str] = ()) -> DataFrame:
+    """Mean value of each channel per label (and keys, which both tables hold), one column a channel; labels without raster pixels keep nulls."""
+    keys = list(keys)
     inside = labels.where("label <> 0")
-    long = inside.join(raster, ["row", "col"], "left").groupBy("label")
+    long = inside.join(raster, [*keys, "row", "col"], "left").groupBy(*keys, "label")
     return (long.pivot("channel", channels) if channels else long.pivot("channel")).agg(F.avg("value"))
 
 

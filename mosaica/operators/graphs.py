@@ -50,12 +50,14 @@ def pixel_regions(px: DataFrame, r: float = 3.0, keys: list[str] = ()) -> DataFr
 
 
 def region_count(regions: DataFrame) -> DataFrame:
+    """n_regions: number of distinct regions, one row; null is none."""
     return regions.agg(F.countDistinct("region").alias("n_regions"))
 
 
 def index_mode(df: DataFrame, regions: DataFrame) -> DataFrame:
-    """by_location: the source is named automatic, or its pixels form one region."""
-    return df.crossJoin(region_count(regions)).withColumn("by_location", F.col("coords_filename").rlike("automatic") | (F.col("n_regions") == 1)).drop("n_regions")  # one row
+    """by_location: the source is named automatic (no name: it is not), or its pixels form one region."""
+    automatic = F.coalesce(F.col("coords_filename").rlike("automatic"), F.lit(False))
+    return df.crossJoin(region_count(regions)).withColumn("by_location", automatic | (F.col("n_regions") == 1)).drop("n_regions")  # one row
 
 
 def filter_lattice(points: DataFrame, min_n: int = 9, keys: list[str] = ()) -> DataFrame:
@@ -131,7 +133,8 @@ def ratio_test(candidates: DataFrame, ratio: float = 0.8) -> DataFrame:
 
 
 def best_shape_match(candidates: DataFrame, score: str = "shape_distance") -> DataFrame:
-    return candidates.groupBy("id").agg(F.min_by("other", F.struct(score, "other")).alias("other"), F.min(score).alias(score))
+    """(id, other, score): the candidate (id, other, score) of least score of each id, ties by the smaller other. Candidates without a score do not count."""
+    return candidates.where(F.col(score).isNotNull()).groupBy("id").agg(F.min_by("other", F.struct(score, "other")).alias("other"), F.min(score).alias(score))
 
 
 def step_windows(points: DataFrame, keys: list[str], min_n: int, max_n: int, tol: float = 0.2, angle: float = 15.0) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mosaica.functions import geometry as G
-from mosaica.operators.joins import knn_join
+from mosaica.operators.joins import knn_join, radius_join
 from mosaica.operators.lineage import cut
+from mosaica.operators.neighbours import placed
 
 MATRIX = ["a", "b", "c", "d", "tx", "ty"]  # x' = a x + b y + tx, y' = c x + d y + ty
 
@@ -216,22 +219,58 @@ def accept_rigid(fit: DataFrame) -> DataFrame:
     return fit.where(F.col("scale").between(0.9, 1.1) & (F.greatest(F.abs(m.a - 1), F.abs(m.b), F.abs(m.c), F.abs(m.d - 1)) < 0.1))
 
 
-def grid_search(points: DataFrame, pixels: DataFrame, grid: DataFrame, outline: DataFrame | None = None, least_coverage: float = 0.95) -> DataFrame:
-    """For each candidate (candidate, dx, dy, rotation in degrees) of moving the pixels: share inside a convex outline, matches of points (id, x, y,
-    weight) to pixels within 1, mean weight, mean and weighted mean distance. Candidates that cover too little go."""
+def _turned(x: Column, y: Column) -> tuple[Column, Column]:
+    """Where a candidate (dx, dy, rotation in degrees) puts x, y."""
     turn = F.radians("rotation")
-    moved = pixels.crossJoin(F.broadcast(grid)).select(
-        "candidate", "id", (F.col("x") * F.cos(turn) - F.col("y") * F.sin(turn) + F.col("dx")).alias("x"), (F.col("x") * F.sin(turn) + F.col("y") * F.cos(turn) + F.col("dy")).alias("y")
-    )  # the grid is a parameter table
-    inside = F.lit(1.0)
-    if outline is not None:
-        moved = moved.crossJoin(F.broadcast(outline.select("ring")))  # one row
-        inside = G.in_convex(F.col("x"), F.col("y"), F.col("ring")).cast("double")
-    cover = moved.groupBy("candidate").agg(F.avg(inside).alias("coverage")).where(F.col("coverage") >= least_coverage)
-    kept = moved.join(cover, "candidate").select("candidate", "id", "x", "y")
-    spread = points.crossJoin(F.broadcast(grid.select("candidate"))).select("candidate", "id", "x", "y")
-    near = knn_join(kept, spread, 1, ["candidate"], 1.0)
-    per_point = near.groupBy("candidate", F.col("other").alias("id")).agg(F.min("d").alias("d")).join(points.select("id", "weight"), "id")
+    return x * F.cos(turn) - y * F.sin(turn) + F.col("dx"), x * F.sin(turn) + y * F.cos(turn) + F.col("dy")
+
+
+def outline_coverage(pixels: DataFrame, grid: DataFrame, outline: DataFrame, least: float, tile: float = 16.0) -> DataFrame:
+    """(candidate, coverage): share of the moved pixels (x, y) inside a convex outline (ring, counter-clockwise; one row), of candidates that reach `least`.
+
+    Pixels are counted by tiles, and the corners of a tile's box bound its share: with all four inside the whole tile is, and a tile whose moved box does not
+    touch the outline's is outside. Candidates whose bound stays below `least` go before any pixel is moved; for the others only pixels of tiles that the outline may cut
+    are. The result is that of moving every pixel. Pixels without a place do not count; without any pixel there is no candidate.
+    """
+    at = placed(pixels.select("x", "y")).withColumns({"_tx": F.floor(F.col("x") / tile), "_ty": F.floor(F.col("y") / tile)})
+    slack = 1e-6  # corners lie a little outside, so that rounding cannot make a cut tile a whole one
+    tiles = at.groupBy("_tx", "_ty").agg(F.count("*").alias("n"), *[(g(c) + e).alias(f"_{c}{i}") for c in ("x", "y") for g, e, i in ((F.min, -slack, 0), (F.max, slack, 1))])
+    total = at.agg(F.count("*").alias("_total"))
+    ring = outline.select("ring")
+    corners = [_turned(F.col(f"_x{i}"), F.col(f"_y{j}")) for i in (0, 1) for j in (0, 1)]
+    moved = tiles.crossJoin(F.broadcast(grid.select("candidate", "dx", "dy", "rotation"))).crossJoin(F.broadcast(ring))  # a parameter grid, one row
+    within = reduce(lambda p, q: p & q, [G.in_convex(x, y, F.col("ring")) for x, y in corners])
+    xs, ys = [x for x, _ in corners], [y for _, y in corners]
+    span = lambda c: (F.array_min(F.transform("ring", lambda p: p[c])), F.array_max(F.transform("ring", lambda p: p[c])))
+    touch = reduce(lambda p, q: p & q, [(F.least(*v) <= span(c)[1]) & (F.greatest(*v) >= span(c)[0]) for v, c in ((xs, "x"), (ys, "y"))])
+    judged = moved.select("candidate", "dx", "dy", "rotation", "_tx", "_ty", "n", within.alias("_in"), touch.alias("_touch"))
+    count = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
+    bound = judged.groupBy("candidate").agg(count(F.col("_in")).alias("_sure"), count(F.col("_in") | F.col("_touch")).alias("_most")).crossJoin(F.broadcast(total)).where(F.col("_most") >= least * F.col("_total"))
+    bound = cut(bound)
+    mixed = judged.where(~F.col("_in") & F.col("_touch")).join(bound.select("candidate"), "candidate", "left_semi").drop("n", "_in", "_touch").join(at, ["_tx", "_ty"])
+    x, y = _turned(F.col("x"), F.col("y"))
+    single = mixed.crossJoin(F.broadcast(ring)).groupBy("candidate").agg(F.sum(G.in_convex(x, y, F.col("ring")).cast("long")).alias("_single"))
+    share = (F.col("_sure") + F.coalesce("_single", F.lit(0))) / F.col("_total")
+    return bound.join(single, "candidate", "left").select("candidate", share.alias("coverage")).where(F.col("coverage") >= least)
+
+
+def grid_search(points: DataFrame, pixels: DataFrame, grid: DataFrame, outline: DataFrame | None = None, least_coverage: float = 0.95) -> DataFrame:
+    """For each candidate (candidate, dx, dy, rotation in degrees) of moving the pixels (id, x, y): share inside a convex outline, matches of points (id, x, y,
+    weight) to pixels within 1, mean weight, mean and weighted mean distance. Each pixel looks for its nearest point (ties by the smaller id), each point keeps its closest
+    such pixel. Candidates that cover too little go (outline_coverage), and so do those without a match. Points and pixels without a place match nothing.
+
+    A candidate moves points back instead of pixels on, which leaves distances as they are: the few points are copied for every candidate, the pixels are not.
+    """
+    if outline is None:
+        cover = grid.select("candidate", F.lit(1.0).alias("coverage"))
+    else:
+        cover = cut(outline_coverage(pixels, grid, outline, least_coverage))
+    turn, x, y = F.radians("rotation"), F.col("x") - F.col("dx"), F.col("y") - F.col("dy")
+    tried = grid.join(F.broadcast(cover.select("candidate")), "candidate", "left_semi")  # at most the parameter grid
+    back = placed(points).crossJoin(F.broadcast(tried)).select(F.struct("candidate", F.col("id").alias("point")).alias("id"), (x * F.cos(turn) + y * F.sin(turn)).alias("x"), (y * F.cos(turn) - x * F.sin(turn)).alias("y"))
+    near = radius_join(back, placed(pixels), 1.0).select("id.candidate", "id.point", F.col("other").alias("pixel"), "d")
+    own = near.groupBy("candidate", "pixel").agg(F.min(F.struct("d", "point")).alias("_n")).select("candidate", F.col("_n.point").alias("id"), F.col("_n.d").alias("d"))
+    per_point = own.groupBy("candidate", "id").agg(F.min("d").alias("d")).join(points.select("id", "weight"), "id")
     scored = per_point.groupBy("candidate").agg(F.avg("weight").alias("mean_weight"), F.count("*").alias("n_matches"), F.avg("d").alias("mean_distance"), (F.sum(F.col("d") * F.col("weight")) / F.count("*")).alias("weighted_distance"))
     return cover.join(scored, "candidate")
 

@@ -52,14 +52,15 @@ def combine_annotated(pixels: DataFrame, overlaps: DataFrame, centroids: DataFra
 
 
 def cells_on_pixels(labels: DataFrame, pixels: DataFrame, raster: DataFrame, spacing: float, channels: list[int], max_dist: float) -> dict[str, DataFrame]:
-    """Label raster (sample_id, row, col, label) to polygons, centroids, overlaps and marker means."""
-    polygons = rasters.labels_to_polygons(labels, ["sample_id"]).withColumnRenamed("label", "cell_idx")
+    """Label raster (sample_id, row, col, label) to polygons, centroids, overlaps and marker means; raster: sample_id, channel, row, col, value.
+    Labels are told apart by sample. A label that is no valid polygon has marker means alone; one without raster pixels has null means."""
+    polygons = cut(rasters.labels_to_polygons(labels, ["sample_id"]).withColumnRenamed("label", "cell_idx"))  # traced once, read by three
     c = G.ring_centroid(F.col("ring"))
     return {
         "polygons": polygons,
         "centroids": polygons.select("sample_id", "cell_idx", c.alias("c")).select("sample_id", "cell_idx", "c.x", "c.y"),
         "overlaps": joins.cell_pixel_overlap(polygons, pixels, spacing, max_dist=max_dist),
-        "markers": A.label_means(labels, raster, channels),
+        "markers": A.label_means(labels, raster, channels, ["sample_id"]).withColumnRenamed("label", "cell_idx"),
     }
 
 

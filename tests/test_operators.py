@@ -569,3 +569,85 @@ def test_checkpoint_folder_is_refused_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError):
         lineage.checkpoint_dir(Session())
+
+
+def brute_moves(points, pixels, moves, box, least):
+    """{candidate: (coverage, matches, mean distance, mean weighted distance)} by moving every pixel."""
+    out = {}
+    for c, dx, dy, turn in moves:
+        a = math.radians(turn)
+        at = [(x * math.cos(a) - y * math.sin(a) + dx, x * math.sin(a) + y * math.cos(a) + dy) for _, x, y in pixels]
+        share = sum(box[0] <= x <= box[2] and box[1] <= y <= box[3] for x, y in at) / len(at)
+        best = {}
+        for x, y in at:
+            near = min(((math.hypot(x - px, y - py), i) for i, px, py, _ in points), default=(9, 0))
+            if near[0] <= 1:
+                best[near[1]] = min(best.get(near[1], 9), near[0])
+        if share >= least and best:
+            w = {i: v for i, _, _, v in points}
+            out[c] = (share, len(best), sum(best.values()) / len(best), sum(d * w[i] for i, d in best.items()) / len(best))
+    return out
+
+
+def test_grid_search_prunes_without_changing_results(spark):
+    rng = random.Random(5)
+    pixels = [(i, i % 30 + 0.2 * rng.random(), i // 30 + 0.2 * rng.random()) for i in range(600)]
+    points = [(i, 30 * rng.random(), 20 * rng.random(), 1.0 + i % 3) for i in range(90)]
+    moves = [(i, 8.0 * rng.random() - 4, 8.0 * rng.random() - 4, 20.0 * rng.random() - 10) for i in range(25)]
+    box = (-2.0, -2.0, 31.5, 21.5)
+    px = spark.createDataFrame([*pixels, (9001, None, 1.0), (9002, float("nan"), 1.0)], "id int, x double, y double")
+    pts = spark.createDataFrame([*points, (9001, None, 1.0, 1.0)], "id int, x double, y double, weight double")
+    grid = spark.createDataFrame(moves, "candidate int, dx double, dy double, rotation double")
+    corners = [(box[0], box[1]), (box[2], box[1]), (box[2], box[3]), (box[0], box[3]), (box[0], box[1])]
+    outline = spark.createDataFrame([([{"x": x, "y": y} for x, y in corners],)], "ring array<struct<x:double,y:double>>")
+    for least in (0.0, 0.9):
+        want = brute_moves(points, pixels, moves, box, least)
+        got = {r.candidate: (r.coverage, r.n_matches, r.mean_distance, r.weighted_distance) for r in transforms.grid_search(pts, px, grid, outline, least).collect()}
+        assert got.keys() == want.keys() and (least == 0 or 0 < len(want) < len(moves))
+        for c, v in want.items():
+            assert got[c] == pytest.approx(v)
+    for tile in (0.5, 3.0, 1000.0):
+        shares = {r.candidate: r.coverage for r in transforms.outline_coverage(px, grid, outline, 0.0, tile).collect()}
+        assert shares == pytest.approx({c: v[0] for c, v in brute_moves(points, pixels, moves, box, 0.0).items()})
+    assert transforms.grid_search(pts, px.where("false"), grid, outline).collect() == []
+    assert transforms.grid_search(pts.where("false"), px, grid).collect() == []
+
+
+def test_density_balanced_sample(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.random() * (0.4 if i % 2 else 4), rng.random() * (0.4 if i % 2 else 4)) for i in range(400)]
+    m = spark.createDataFrame(rows, "id long, x double, y double")
+    keys = {r.id: r.u for r in m.select("id", ((F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 52)) + 1) / float((1 << 52) + 1)).alias("u")).collect()}
+
+    def key(i, x, y):
+        near = (math.hypot(x - a, y - b) for _, a, b in rows)
+        density = sum(math.exp(-d * d / 0.02) for d in near if d <= 0.4)
+        return math.log(keys[i]) / (1e-7 if density < 10 else 1 / (density + 1))
+
+    want = sorted(rows, key=lambda r: -key(*r))[:60]
+    got = graphs.density_balanced_sample(m.repartition(5), 60, 7).collect()
+    assert {r.id for r in got} == {r[0] for r in want} and len(got) == 60
+    assert graphs.density_balanced_sample(m, 1000, 7).count() == 400
+
+
+def test_sample_cap_is_the_same_on_any_partitioning(spark):
+    m = spark.range(500)
+    one, other = ({r.id for r in windows.sample_cap(m.repartition(n), 40, 3, "id").collect()} for n in (1, 7))
+    assert one == other and len(one) == 40 and one != {r.id for r in windows.sample_cap(m, 40, 4, "id").collect()}
+    assert windows.sample_cap(m, 900, 3, "id").count() == 500 and windows.sample_cap(m.where("false"), 9, 3, "id").count() == 0
+
+
+def test_labels_repeat_in_samples(spark):
+    labels = spark.createDataFrame([("a", 0, 0, 1), ("b", 0, 0, 1), ("b", 0, 1, 1), ("c", 0, 0, 1), ("a", 1, 1, 0)], "sample_id string, row int, col int, label int")
+    raster = spark.createDataFrame([("a", 1, 0, 0, 5.0), ("b", 1, 0, 0, 1.0), ("b", 1, 0, 1, 2.0)], "sample_id string, channel int, row int, col int, value double")
+    got = {r.sample_id: r["1"] for r in A.label_means(labels, raster, [1], ["sample_id"]).collect()}
+    assert got == {"a": 5.0, "b": 1.5, "c": None}
+
+
+def test_modes_and_shapes_with_nothing_to_go_by(spark):
+    files = spark.createDataFrame([("automatic.h5",), ("x.h5",), (None,)], "coords_filename string")
+    for ids, want in (([1, 1], [True, True, True]), ([1, 2], [True, False, False]), ([], [True, False, False])):
+        regions = spark.createDataFrame([(i,) for i in ids], "region int")
+        assert [r.by_location for r in graphs.index_mode(files, regions).collect()] == want
+    c = spark.createDataFrame([(1, 5, 2.0), (1, 4, 2.0), (1, 3, None), (2, 1, None)], "id int, other int, shape_distance double")
+    assert [tuple(r) for r in graphs.best_shape_match(c).collect()] == [(1, 4, 2.0)]
