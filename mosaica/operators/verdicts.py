@@ -41,7 +41,7 @@ def mask_metrics(m1: DataFrame, m2: DataFrame, spacing: float) -> DataFrame:
 
 def mark_metrics(marks: DataFrame, pixels: DataFrame, max_dist: float) -> DataFrame:
     """Distance summary of marks (id, x, y, in_mask) to their nearest pixel, overall and in the mask, with found and total counts."""
-    near = joins.knn_join(marks, pixels, 1, max_dist=max_dist).join(marks.select("id", "in_mask"), "id")
+    near = joins.knn_join(marks, pixels, 1, max_dist=max_dist).join(joins.unbroadcast(marks.select("id", "in_mask")), "id")
     return A.error_summary_masked(near, [], "d", "in_mask").crossJoin(marks.agg(F.count("*").alias("n_total")))
 
 

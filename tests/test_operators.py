@@ -651,3 +651,20 @@ def test_modes_and_shapes_with_nothing_to_go_by(spark):
         assert [r.by_location for r in graphs.index_mode(files, regions).collect()] == want
     c = spark.createDataFrame([(1, 5, 2.0), (1, 4, 2.0), (1, 3, None), (2, 1, None)], "id int, other int, shape_distance double")
     assert [tuple(r) for r in graphs.best_shape_match(c).collect()] == [(1, 4, 2.0)]
+
+
+@pytest.mark.parametrize("name", ["mutual_nn", "region_candidates", "score_shifts", "radius_self_join", "inconsistent_pairs", "interaction_terms", "mark_metrics", "knn_join"])
+def test_spatial_joins_put_no_points_on_the_driver(spark, sf, name):
+    """A few compressed bytes become many rows in the cells around a point; what follows the size of the file must not decide on a broadcast."""
+    from mosaica.plans.catalog import QUERIES
+
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().sparkPlan().toString().splitlines()
+    met = [line for line in plan if "Join" in line and "_bx" in line]
+    assert met and not [line for line in met if "Broadcast" in line]
+
+
+def test_radius_self_join_gives_every_pair_once_with_what_it_carries(spark):
+    rows = [("g", i, (i * 7 % 11) * 0.5 - 2.0, (i * 5 % 13) * 0.5 - 3.0, f"n{i}") for i in range(60)] + [("h", 100, 0.0, 0.0, "a"), ("h", 101, 0.0, 0.0, "b"), ("h", 102, None, 0.0, "c")]
+    got = joins.radius_self_join(spark.createDataFrame(rows, "g string, id int, x double, y double, name string"), 1.0, ["g"], ["name"]).collect()
+    want = {(a[1], b[1]): (a[4], b[4]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and None not in (a[2], b[2]) and math.hypot(a[2] - b[2], a[3] - b[3]) <= 1.0}
+    assert len(got) == len(want) and {(r.id, r.other): (r.name, r.other_name) for r in got} == want
