@@ -34,9 +34,10 @@ def cells_per_pixel(df: DataFrame) -> DataFrame:
 
 def fill_updown(df: DataFrame, cols: list[str], keys: list[str], order: str) -> DataFrame:
     """Nulls take the next value of the group, or else the last one."""
-    after = Window.partitionBy(*keys).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
+    # both frames grow row by row; one that shrinks would be gone through again for every row
+    after = Window.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.coalesce(c, F.first(c, ignorenulls=True).over(after), F.last(c, ignorenulls=True).over(before)) for c in cols})
+    return df.withColumns({c: F.coalesce(c, F.last(c, ignorenulls=True).over(after), F.last(c, ignorenulls=True).over(before)) for c in cols})
 
 
 def share(df: DataFrame, n: str, keys: list[str], out: str = "share") -> DataFrame:

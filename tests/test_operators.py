@@ -668,3 +668,24 @@ def test_radius_self_join_gives_every_pair_once_with_what_it_carries(spark):
     got = joins.radius_self_join(spark.createDataFrame(rows, "g string, id int, x double, y double, name string"), 1.0, ["g"], ["name"]).collect()
     want = {(a[1], b[1]): (a[4], b[4]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and None not in (a[2], b[2]) and math.hypot(a[2] - b[2], a[3] - b[3]) <= 1.0}
     assert len(got) == len(want) and {(r.id, r.other): (r.name, r.other_name) for r in got} == want
+
+
+def test_fill_updown_takes_time_in_proportion_to_the_rows(spark):
+    """A frame that shrinks from row to row would be gone through 60,000 times in the one group."""
+    df = spark.range(60_000).select(F.lit("g").alias("g"), "id", F.when(F.col("id") == 59_990, F.lit("x")).alias("v"))
+    out = windows.fill_updown(df, ["v"], ["g"], "id")
+    assert "unboundedfollowing" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert out.where("v = 'x'").count() == 60_000
+
+
+def test_robust_affine_ranks_few_points_and_repeated_ids_too(spark):
+    """Groups of many points, of one repeated id and of two points: the draw is that of ranking every point of a group for every trial."""
+    rows = [("a", i, float(i % 97), float(i % 89), 2.0 * (i % 97) + 1 + (50 if i % 5 == 0 else 0), float(i % 89) - 3) for i in range(3000)]
+    rows += [("b", 7, float(i % 13), float(i % 11), float(i % 13) + 4, float(i % 11)) for i in range(500)] + [("c", 1, 0.0, 0.0, 1.0, 1.0), ("c", 2, 1.0, 0.0, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "s string, id int, p1x double, p1y double, p2x double, p2y double").repartition(5)
+    fit = transforms.fit_affine_robust(df, ["s"], 0.5, trials=30)
+    got = {r.s: r for r in fit.collect()}
+    assert (got["a"].n, got["a"].n_inliers) == (3000, 2400) and abs(got["a"].m.a - 2) < 1e-9 and abs(got["a"].m.tx - 1) < 1e-6
+    assert got["b"].n_inliers in (0, 500) and (got["c"].n_inliers, got["c"].m) == (0, None)
+    joins_ = [line for line in fit._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert joins_ and not [line for line in joins_ if "trial" in line]  # rows of points times trials are not shuffled
