@@ -13,6 +13,7 @@ from mosaica.operators.joins import knn_join, radius_join
 from mosaica.operators.lineage import cut
 from mosaica.operators.neighbours import placed
 
+FEW = 64.0  # points of a group that a trial draws its three from, on average
 MATRIX = ["a", "b", "c", "d", "tx", "ty"]  # x' = a x + b y + tx, y' = c x + d y + ty
 
 
@@ -131,12 +132,17 @@ def fit_affine(pairs: DataFrame, keys: list[str], weight: str | None = None) ->
     return g.select(*keys, "n", F.when(det > 1e-12 * (xx + yy) * (xx + yy), matrix({"a": a, "b": b, "c": c_, "d": d_, "tx": tx, "ty": ty})).alias("m"))
 
 
+def residual() -> Column:
+    """Distance of p1, moved by the row's m, from p2."""
+    rx = F.col("m.a") * F.col("p1x") + F.col("m.b") * F.col("p1y") + F.col("m.tx") - F.col("p2x")
+    ry = F.col("m.c") * F.col("p1x") + F.col("m.d") * F.col("p1y") + F.col("m.ty") - F.col("p2y")
+    return F.hypot(rx, ry)
+
+
 def residuals(pairs: DataFrame, fit: DataFrame, keys: list[str]) -> DataFrame:
     """pairs with the distance of the moved p1 from p2."""
     j = pairs.join(fit.select(*keys, "m"), keys) if keys else pairs.crossJoin(F.broadcast(fit.select("m")))  # one row
-    rx = F.col("m.a") * F.col("p1x") + F.col("m.b") * F.col("p1y") + F.col("m.tx") - F.col("p2x")
-    ry = F.col("m.c") * F.col("p1x") + F.col("m.d") * F.col("p1y") + F.col("m.ty") - F.col("p2y")
-    return j.withColumn("residual", F.hypot(rx, ry)).drop("m")
+    return j.withColumn("residual", residual()).drop("m")
 
 
 def fit_rigid(pairs: DataFrame, keys: list[str], scale: bool = True) -> DataFrame:
@@ -158,20 +164,31 @@ def fit_rigid(pairs: DataFrame, keys: list[str], scale: bool = True) -> DataFram
 def fit_affine_robust(pairs: DataFrame, keys: list[str], threshold: float, trials: int = 64, seed: int = 0, least: int = 5) -> DataFrame:
     """(keys, n, n_inliers, m): the best of `trials` three-point affines by inliers, fitted again to them; null m and 0 inliers below `least`.
 
-    Trials draw their points by hash, so results repeat. Points meet the hypotheses of their group (one row a trial) by its key, and
-    inliers are counted in every task before the shuffle.
+    Trials draw their points by hash, those of the three least, so results repeat. A group's size tells below which hash a trial has some FEW of its points, and only
+    those are ranked; trials that find fewer than three so (repeated ids share a hash) rank all points of their group. A group's hypotheses are one row, so that points
+    meet them by the group's key, and inliers are counted in every task before the shuffle.
     """
-    picks = pairs.select(*keys, "id", "p1x", "p1y", "p2x", "p2y", F.explode(F.sequence(F.lit(1), F.lit(trials))).alias("trial"))
+    n = cut(pairs.groupBy(*keys).agg(F.count("*").alias("n")))
+    by_group = lambda df, one: df.join(one, keys) if keys else df.crossJoin(F.broadcast(one))  # noqa: E731  one row
+    every = F.explode(F.sequence(F.lit(1), F.lit(trials))).alias("trial")
     h = F.xxhash64("id", "trial", F.lit(seed))
-    w = Window.partitionBy(*keys, "trial").orderBy(h, "id")
-    sample = picks.withColumn("_n", F.row_number().over(w)).where("_n <= 3").drop("_n")  # limited in every task before the shuffle
-    hypotheses = fit_affine(sample, [*keys, "trial"]).where("m is not null").select(*keys, "trial", "m")
-    scored = residuals(pairs.join(hypotheses.select(*keys, "trial"), keys) if keys else pairs.crossJoin(F.broadcast(hypotheses.select("trial"))), hypotheses, [*keys, "trial"])
-    counts = scored.groupBy(*keys, "trial").agg(F.sum((F.col("residual") <= threshold).cast("int")).alias("n_inliers"))
+    w = Window.partitionBy(*keys, "trial").orderBy("_h", "id")
+    picks = by_group(pairs, n).select(*keys, "id", "p1x", "p1y", "p2x", "p2y", "n", every).withColumn("_h", h)
+    first = lambda df: df.withColumn("_n", F.row_number().over(w)).where("_n <= 3").drop("_n", "_h", "n")
+    low = (F.col("_h").cast("double") / float(1 << 64) + 0.5) * F.col("n") <= FEW
+    sample = cut(first(picks.where(low)))
+    drawn = sample.groupBy(*keys, "trial").agg(F.count("*").alias("_k"))
+    short = n.select(*keys, "n", every).join(drawn, [*keys, "trial"], "left").where(F.coalesce("_k", F.lit(0)) < F.least("n", F.lit(3))).select(*keys, "trial")
+    if not short.isEmpty():
+        sample = sample.join(short, [*keys, "trial"], "left_anti").unionByName(first(picks.join(short, [*keys, "trial"], "left_semi")))
+    hypotheses = fit_affine(sample, [*keys, "trial"]).where("m is not null").groupBy(*keys).agg(F.collect_list(F.struct("trial", "m")).alias("_all"))
+    hypotheses = cut(hypotheses)
+    tried = by_group(pairs, hypotheses).select(*keys, "p1x", "p1y", "p2x", "p2y", F.explode("_all").alias("_t")).select(*keys, "p1x", "p1y", "p2x", "p2y", "_t.trial", "_t.m")
+    counts = tried.groupBy(*keys, "trial").agg(F.sum((residual() <= threshold).cast("int")).alias("n_inliers"))
     top = counts.groupBy(*keys).agg(F.max_by("trial", F.struct("n_inliers", -F.col("trial"))).alias("trial"), F.max("n_inliers").alias("n_inliers"))
-    inliers = scored.join(top.select(*keys, "trial"), [*keys, "trial"]).where(F.col("residual") <= threshold)
-    fit = fit_affine(inliers, keys).select(*keys, "m")
-    n = pairs.groupBy(*keys).agg(F.count("*").alias("n"))
+    top = cut(top)
+    best = by_group(hypotheses, top).select(*keys, F.explode("_all").alias("_t"), "trial").where("_t.trial = trial").select(*keys, "_t.m")
+    fit = fit_affine(residuals(pairs, best, keys).where(F.col("residual") <= threshold), keys).select(*keys, "m")
     out = (n.join(top.drop("trial"), keys, "left").join(fit, keys, "left")) if keys else n.crossJoin(top.drop("trial")).crossJoin(fit)
     enough = F.coalesce(F.col("n_inliers"), F.lit(0)) >= least
     return out.select(*keys, "n", F.when(enough, F.col("n_inliers")).otherwise(0).alias("n_inliers"), F.when(enough, F.col("m")).alias("m"))
