@@ -689,3 +689,12 @@ def test_robust_affine_ranks_few_points_and_repeated_ids_too(spark):
     assert got["b"].n_inliers in (0, 500) and (got["c"].n_inliers, got["c"].m) == (0, None)
     joins_ = [line for line in fit._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
     assert joins_ and not [line for line in joins_ if "trial" in line]  # rows of points times trials are not shuffled
+
+
+def test_standardise_takes_no_group_into_a_task(spark):
+    rows = [("a", 1.0), ("a", 3.0), ("a", None), (None, 2.0), (None, 6.0), ("b", 5.0)]
+    out = A.standardise(spark.createDataFrame(rows, "g string, v double"), "v", ["g"])
+    assert out.columns == ["g", "v", "z"] and "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.g, r.v): r.z for r in out.collect()}
+    k = 2**-0.5
+    assert {x: z if z is None else round(z, 9) for x, z in got.items()} == {("a", 1.0): round(-k, 9), ("a", 3.0): round(k, 9), ("a", None): None, (None, 2.0): round(-k, 9), (None, 6.0): round(k, 9), ("b", 5.0): None}
