@@ -110,17 +110,32 @@ def coords_in_reference(image: DataFrame, reference: DataFrame, angle: int) -> D
 
 def match_locations(inner: DataFrame, outer: DataFrame, frac: float = 0.99, tile: float = 1000.0) -> DataFrame:
     """(name, outer_name, n_found) for every inner location: the one convex outer location that covers a share frac of it.
-    outer_name is null unless exactly one does. Locations meet on tiles of their boxes."""
-    def tiles(df: DataFrame, name: str) -> DataFrame:
-        b = G.ring_bbox(F.col("ring"))
-        span = lambda lo, hi: F.sequence(F.floor(lo / tile), F.floor(hi / tile))
-        df = df.select(F.col("name").alias(name), F.col("ring").alias(f"{name}_ring"), b.alias("b"))
-        return df.withColumn("_bx", F.explode(span(F.col("b.x0"), F.col("b.x1")))).withColumn("_by", F.explode(span(F.col("b.y0"), F.col("b.y1")))).drop("b")
-
-    pairs = tiles(inner, "name").join(tiles(outer, "outer_name"), ["_bx", "_by"]).dropDuplicates(["name", "outer_name"])
-    share = G.ring_area(G.clip_to_convex(F.col("name_ring"), F.col("outer_name_ring"))) / G.ring_area(F.col("name_ring"))
-    found = pairs.where(share >= frac).groupBy("name").agg(F.count("*").alias("n"), F.min("outer_name").alias("o"))
-    return inner.select("name").distinct().join(found, "name", "left").select("name", F.when(F.col("n") == 1, F.col("o")).alias("outer_name"), F.coalesce("n", F.lit(0)).alias("n_found"))
+    outer_name is null unless exactly one does; locations without area are covered by none. Locations meet on tiles of their boxes, a pair once: on the first tile of both.
+
+    A share is at most that of the boxes, and 1 where all corners lie within; only what neither settles is clipped.
+    """
+    def tiles(df: DataFrame, name: str, *figures) -> DataFrame:
+        # exploding an array of one element keeps the figures from being computed again above the join
+        one = F.struct(G.ring_bbox(F.col("ring")).alias("b"), *figures)
+        df = df.select(F.col("name").alias(name), F.col("ring").alias(f"{name}_ring"), F.explode(F.array(one)).alias(f"{name}_f"))
+        first = lambda v: F.floor(F.col(f"{name}_f.b.{v}0") / tile)
+        span = lambda v: F.explode(F.sequence(first(v), F.floor(F.col(f"{name}_f.b.{v}1") / tile)))
+        return df.withColumns({f"{name}_tx": first("x"), f"{name}_ty": first("y")}).withColumn("_bx", span("x")).withColumn("_by", span("y"))
+
+    ring = F.col("ring")
+    oriented = G.let(ring, lambda r: F.when(G.signed_area(r) < 0, F.reverse(r)).otherwise(r))
+    a = tiles(inner.where(F.col("name").isNotNull()), "name", G.ring_area(ring).alias("area")).where("name_f.area > 0")
+    b = tiles(outer, "outer_name", G.edges(oriented).alias("edges"))
+    once = (F.col("_bx") == F.greatest("name_tx", "outer_name_tx")) & (F.col("_by") == F.greatest("name_ty", "outer_name_ty"))
+    meet = lambda v: F.greatest(F.lit(0.0), F.least(F.col(f"name_f.b.{v}1"), F.col(f"outer_name_f.b.{v}1")) - F.greatest(F.col(f"name_f.b.{v}0"), F.col(f"outer_name_f.b.{v}0")))
+    area = F.col("name_f.area")
+    pairs = a.join(b, ["_bx", "_by"]).where(once & (meet("x") * meet("y") >= frac * area * (1 - 1e-9)))
+    side = lambda e, p: (e.q.x - e.p.x) * (p.y - e.p.y) - (e.q.y - e.p.y) * (p.x - e.p.x)
+    within = F.forall("name_ring", lambda p: F.forall("outer_name_f.edges", lambda e: side(e, p) >= 0))
+    share = F.when(within, 1.0).otherwise(G.ring_area(G.clip_to_convex(F.col("name_ring"), F.col("outer_name_ring"))) / area)
+    found = pairs.where(share >= frac).select("name", "outer_name").unionByName(inner.select("name", F.lit(None).cast(outer.schema["name"].dataType).alias("outer_name")))
+    found = found.groupBy("name").agg(F.count_distinct("outer_name").alias("n_found"), F.min("outer_name").alias("o"))
+    return found.select("name", F.when(F.col("n_found") == 1, F.col("o")).alias("outer_name"), "n_found")
 
 
 def assemble_metrics(families: list[DataFrame], metrics: list[str]) -> DataFrame:

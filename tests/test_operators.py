@@ -698,3 +698,20 @@ def test_standardise_takes_no_group_into_a_task(spark):
     got = {(r.g, r.v): r.z for r in out.collect()}
     k = 2**-0.5
     assert {x: z if z is None else round(z, 9) for x, z in got.items()} == {("a", 1.0): round(-k, 9), ("a", 3.0): round(k, 9), ("a", None): None, (None, 2.0): round(-k, 9), (None, 6.0): round(k, 9), ("b", 5.0): None}
+
+
+def test_match_locations_pairs_meet_once_and_are_clipped_only_where_needed(spark):
+    box = lambda x, y, h: [(x - h, y - h), (x + h, y - h), (x + h, y + h), (x - h, y + h), (x - h, y - h)]
+    rows = lambda items: spark.createDataFrame(items, "name string, ring array<struct<x:double,y:double>>")
+    diamond = [(0.0, 40.0), (40.0, 0.0), (0.0, -40.0), (-40.0, 0.0), (0.0, 40.0)]  # clockwise
+    outer = rows([("d", diamond), ("e", box(100.0, 0.0, 30.0)), ("f", box(130.0, 0.0, 30.0))])
+    inner = rows([
+        ("in", box(0.0, 0.0, 15.0)), ("corner", box(30.0, 30.0, 4.0)), ("half", box(20.0, 20.0, 5.0)), ("both", box(115.0, 0.0, 5.0)), ("out", box(-300.0, 0.0, 5.0)),
+        ("line", [(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)]), ("same", box(0.0, 0.0, 1.0)), ("same", box(1.0, 0.0, 1.0)),
+    ])
+    for tile in (7.0, 1000.0):
+        got = {r.name: (r.outer_name, r.n_found) for r in joins.match_locations(inner, outer, 0.45, tile).collect()}
+        assert got == {"in": ("d", 1), "corner": (None, 0), "half": ("d", 1), "both": (None, 2), "out": (None, 0), "line": (None, 0), "same": ("d", 1)}
+    # pairs of names are not shuffled with their rings, and no ring is sorted
+    plan = joins.match_locations(inner, outer, 0.45, 7.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Deduplicate" not in plan and "first(name_ring" not in plan
