@@ -42,10 +42,13 @@ def read_csv_per_sample(spark: SparkSession, path: str, suffix: str, schema: str
     return df.select((sample if sample is not None else sample_from_path(suffix)).alias("sample"), "*")
 
 
-def read_metric_json(spark: SparkSession, path: str, suffix: str, sample: Column | None = None) -> DataFrame:
-    """(sample, metric, value) of flat JSON objects, one a file, whose numbers are written as strings; the sample as in read_csv_per_sample."""
-    name = (sample if sample is not None else sample_from_path(suffix)).alias("sample")
-    raw = spark.read.text(path, wholetext=True).select(name, F.from_json("value", "map<string,string>").alias("m"))
+def read_metric_json(spark: SparkSession, path: str, suffix: str, sample: Column | None = None, lines: bool = False) -> DataFrame:
+    """(sample, metric, value) of flat JSON objects whose numbers are written as strings: one a file, the sample as in read_csv_per_sample, or one a line with its sample beside it."""
+    text = spark.read.text(path, wholetext=not lines)
+    if lines:
+        raw = text.select(F.from_json("value", "sample string, metrics map<string,string>").alias("o")).select("o.sample", F.col("o.metrics").alias("m"))
+    else:
+        raw = text.select((sample if sample is not None else sample_from_path(suffix)).alias("sample"), F.from_json("value", "map<string,string>").alias("m"))
     return raw.select("sample", F.explode("m").alias("metric", "v")).select("sample", "metric", F.col("v").try_cast("double").alias("value"))
 
 
@@ -118,11 +121,20 @@ def write_geojson(df: DataFrame, path: str) -> None:
     df.select(F.to_json(feature).alias("value")).write.text(path)
 
 
+def _metric_map(df: DataFrame, step: str) -> DataFrame:
+    pair = F.struct(F.concat(F.lit(f"{step}_"), "metric"), F.col("value").cast("string"))
+    return df.groupBy("sample").agg(F.map_from_entries(F.array_sort(F.collect_list(pair))).alias("metrics"))
+
+
 def metric_json(df: DataFrame, step: str) -> DataFrame:
     """(sample, value): a flat JSON object of the metrics (sample, metric, value) with the step before every name, values as strings."""
-    pair = F.struct(F.concat(F.lit(f"{step}_"), "metric"), F.col("value").cast("string"))
-    return df.groupBy("sample").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(pair)))).alias("value"))
+    return _metric_map(df, step).select("sample", F.to_json("metrics").alias("value"))
 
 
-def write_metric_json(df: DataFrame, path: str, step: str) -> None:
-    metric_json(df, step).write.partitionBy("sample").text(path)
+def write_metric_json(df: DataFrame, path: str, step: str, lines: bool = False) -> None:
+    """One file a sample, in a folder of its own, for tools that read them so; or, for many samples, one object a line with the sample beside its metrics, so that the
+    number of files follows their bytes and not the number of samples."""
+    if lines:
+        _metric_map(df, step).select(F.to_json(F.struct(F.col("sample").cast("string").alias("sample"), "metrics")).alias("value")).write.text(path)
+    else:
+        metric_json(df, step).write.partitionBy("sample").text(path)

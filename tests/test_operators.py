@@ -715,3 +715,13 @@ def test_match_locations_pairs_meet_once_and_are_clipped_only_where_needed(spark
     # pairs of names are not shuffled with their rings, and no ring is sorted
     plan = joins.match_locations(inner, outer, 0.45, 7.0)._jdf.queryExecution().optimizedPlan().toString()
     assert "Deduplicate" not in plan and "first(name_ring" not in plan
+
+def test_metric_lines_need_no_file_a_sample(spark, tmp_path):
+    long = spark.range(300).selectExpr("case when id = 7 then null else concat('s \"', id) end AS sample", "'dice' AS metric", "id / 7 AS value").cache()
+    want = {(r.sample, "a_to_b_dice", r.value) for r in long.collect()}
+    files.write_metric_json(long, str(tmp_path / "lines"), "a_to_b", lines=True)
+    assert {tuple(r) for r in files.read_metric_json(spark, str(tmp_path / "lines"), "", lines=True).collect()} == want
+    assert len(list((tmp_path / "lines").glob("**/part-*"))) < 20
+    few = long.where("sample like 's \"1'").selectExpr("'one' AS sample", "metric", "value")
+    files.write_metric_json(few, str(tmp_path / "files"), "a_to_b")
+    assert [p.parent.name for p in (tmp_path / "files").glob("**/part-*")] == ["sample=one"]
