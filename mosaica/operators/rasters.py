@@ -118,10 +118,18 @@ def points_to_grid(px: DataFrame, keys: list[str] = ("sample_id",)) -> DataFrame
     return at.join(px, [*keys, "x", "y"], "left").select(*keys, "row", "col", F.coalesce(F.nanvl("value", F.lit(None).cast("double")), F.lit(0.0)).alias("value"))
 
 
+BLOCK = 64  # side of the blocks by which pixels are dealt before they are spread
+
+
 def footprint(px: DataFrame, step: int) -> DataFrame:
-    """(row, col, value): each pixel (seq, row, col, value) fills the block of half a step around it; the larger seq wins."""
-    h = step // 2
-    wide = px.withColumn("row", F.explode(F.sequence(F.col("row") - h, F.col("row") + h))).withColumn("col", F.explode(F.sequence(F.col("col") - h, F.col("col") + h)))
+    """(row, col, value): each pixel (seq, row, col, value) fills the block of half a step around it; the larger seq wins.
+
+    Pixels are dealt to many tasks by blocks of the plane first: a file of few bytes is read by few tasks, which would hold all that its pixels spread to, and neighbours that
+    meet in a task are merged there."""
+    h, spark = step // 2, px.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    dealt = px.repartition(tasks, F.floor(F.col("row") / BLOCK), F.floor(F.col("col") / BLOCK))
+    wide = dealt.withColumn("row", F.explode(F.sequence(F.col("row") - h, F.col("row") + h))).withColumn("col", F.explode(F.sequence(F.col("col") - h, F.col("col") + h)))
     return wide.groupBy("row", "col").agg(F.max_by("value", "seq").alias("value"))
 
 

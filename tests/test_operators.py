@@ -725,3 +725,14 @@ def test_metric_lines_need_no_file_a_sample(spark, tmp_path):
     few = long.where("sample like 's \"1'").selectExpr("'one' AS sample", "metric", "value")
     files.write_metric_json(few, str(tmp_path / "files"), "a_to_b")
     assert [p.parent.name for p in (tmp_path / "files").glob("**/part-*")] == ["sample=one"]
+
+
+def test_footprint_deals_pixels_before_they_are_spread(spark):
+    px = spark.range(3000, numPartitions=1).selectExpr("id AS seq", "cast(id * 7 % 300 AS int) AS row", "cast(id * 11 % 200 AS int) AS col", "id * 2 AS value")
+    out = rasters.footprint(px, 4)
+    want = {}
+    for p in px.orderBy("seq").collect():
+        want |= {(p.row + i, p.col + j): p.value for i in range(-2, 3) for j in range(-2, 3)}
+    assert {(r.row, r.col): r.value for r in out.collect()} == want
+    spread = out._jdf.queryExecution().optimizedPlan().toString()
+    assert spread.index("Generate") < spread.index("RepartitionByExpression")
