@@ -440,12 +440,13 @@ def solve_lag(points: DataFrame, keys: list[str], rhs: str, tol: float = 1e-8) -
 
 
 def predict_tc(df: DataFrame, fit: DataFrame, keys: list[str], X: list[str], tol: float = 1e-8) -> DataFrame:
-    """df with `predicted`, (I - rho W)^-1 X b for every pixel of a fitted group, and the solver's status (solve_lag); groups without a fit have no rows. A null in X counts as 0
-    there; `predicted` is null where rho lies outside the bound."""
+    """df with `predicted`, (I - rho W)^-1 X b for every pixel, and the solver's status (solve_lag). A null in X counts as 0
+    there; `predicted` is null where rho lies outside the bound, and with the status `no fit` at the pixels of groups without one."""
     base = df.join(_coefficients(fit, keys, [*X, "rho"]), keys).withColumn("_xb", F.coalesce(_linear(X), F.lit(0.0))).withColumn("rho", F.col("beta")[len(X)])
     base = cut(base.where("rho is not null").select(*keys, "ims_idx", "ims_x", "ims_y", "_xb", "rho"))
     solved = solve_lag(base.join(spectral_bound(base, keys), keys), keys, "_xb", tol)
-    return df.join(solved.select(*keys, "ims_idx", F.col("u").alias("predicted"), F.col("status").alias("status")), [*keys, "ims_idx"])
+    out = df.join(solved.select(*keys, "ims_idx", F.col("u").alias("predicted"), F.col("status").alias("status")), [*keys, "ims_idx"], "left")
+    return out.withColumn("status", F.coalesce("status", F.lit("no fit")))
 
 
 WALKS = 24  # steps of the vector of ones

@@ -736,3 +736,12 @@ def test_footprint_deals_pixels_before_they_are_spread(spark):
     assert {(r.row, r.col): r.value for r in out.collect()} == want
     spread = out._jdf.queryExecution().optimizedPlan().toString()
     assert spread.index("Generate") < spread.index("RepartitionByExpression")
+
+
+def test_pixels_of_a_group_without_fit_stay_without_a_prediction(spark):
+    d = spark.createDataFrame([(g, i, i, 0, 1.0) for g in "ab" for i in range(3)] + [("c", 0, 0, 0, 1.0)], "g string, ims_idx int, ims_x int, ims_y int, x double")
+    fit = spark.createDataFrame([("a", "rho", 0.1), ("a", "x", 2.0), ("b", "rho", None), ("b", "x", None)], "g string, term string, estimate double")
+    got = {(r.g, r.ims_idx): (r.predicted, r.status) for r in models.predict_tc(d, fit, ["g"], ["x"]).collect()}
+    u = np.linalg.solve(np.eye(3) - 0.1 * np.array([[0, 1, 0], [1, 0, 1], [0, 1, 0]]), np.full(3, 2.0))
+    assert [got["a", i][0] for i in range(3)] == pytest.approx(u.tolist()) and got["a", 0][1] == "ok"
+    assert len(got) == 7 and {got[k] for k in got if k[0] != "a"} == {(None, "no fit")}
