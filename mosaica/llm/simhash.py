@@ -140,7 +140,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 # ---- word shingles at a Jaccard similarity: what 64 SimHash bits cannot decide (a similarity of 0.8 differs in about ten bits) ----
 
 POSITIONS, BAND = 40, 4  # least hashes of a text's shingles, 16 bits of each; positions that make one posting key
-SHORT_LIST = 16  # members up to which a list is compared at once
+SHORT_LIST = 16  # members up to which a list is compared at once; sets up to which an element counts as rare
 _ODDS = np.random.default_rng(11).integers(1, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -177,16 +177,62 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int, route) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(s, pa.list_(pa.int32()))], ["id", "s"])
 
 
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(id), stored: of the pairs (id, rep) whose sets (id, s) have the Jaccard similarity."""
+    both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("rep"), F.col("s").alias("rep_s")), "rep")
+    common = F.size(F.array_intersect("s", "rep_s"))
+    return stored(both.where(common / (F.size("s") + F.size("rep_s") - common) >= similarity).select("id").distinct())
+
+
+def _rare_first(sets: DataFrame) -> DataFrame:
+    """(id, a, rarity) of the sets (id, s): a has the elements as (n, t), n the number of sets with the element t, rare ones first; rarity, one of
+    some 60 classes, grows with the number of elements that few sets have."""
+    items = sets.select("id", F.explode("s").alias("t"))
+    counts = items.groupBy("t").agg(F.count("*").alias("n"))
+    ranked = items.join(counts, "t").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "t"))).alias("a"))
+    rare = F.size(F.filter("a", lambda e: e.n <= SHORT_LIST))
+    return ranked.select("id", "a", F.floor(4 * F.log2(1.0 + rare)).cast("int").alias("rarity"))
+
+
+def similar_in_families(sought: DataFrame, sets: DataFrame, ranked: DataFrame, similarity: float, most: int) -> DataFrame:
+    """(id): of the ids sought those whose set has the similarity to that of a smaller id, by prefixes; no pair is missed.
+
+    With elements in one order, rare ones first, the first element that two similar sets share has at least the needed overlap at and behind it in both. So it is
+    among the first (1 - similarity) of the larger set and the first (1 - similarity) / (1 + similarity) of the smaller one, and sets meet by such
+    elements alone: edited copies with more elements of their own than that meet nothing. Sets are held against in steps, drawn by a hash, each about eight times as
+    large as the one before (some four of a list of `most` members are the first); rows found leave as the ones sought.
+    """
+    size, slack = F.size("a"), 1e-6
+    begin = F.slice("a", F.lit(1), F.floor(size * (1 - similarity) + slack).cast("int") + 1)
+    steps = max(1, (most.bit_length() + 1) // 3)
+    draw = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 40)) / float(1 << 40)
+    step = F.greatest(F.lit(0), F.lit(steps - 1) - F.floor(-F.log(8.0, draw + 1e-13))).cast("int")
+    parts = ranked.select("id", size.alias("size"), step.alias("step"), F.posexplode(begin).alias("at", "e")).where("e.n > 1")
+    inner = F.col("at") <= F.col("size") * ((1 - similarity) / (1 + similarity)) + slack
+    parts = stored(parts.select("id", "size", "step", (F.col("size") - F.col("at")).alias("rest"), F.col("e.t").alias("t"), F.explode(F.when(inner, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))).alias("smaller")))
+    held = parts.select(F.col("id").alias("rep"), F.col("size").alias("rep_size"), "step", F.col("rest").alias("rep_rest"), "t", (~F.col("smaller")).alias("smaller"))
+    enough = F.least("rest", "rep_rest") * (1 + similarity) >= similarity * (F.col("size") + F.col("rep_size")) - slack
+    sized = F.when(F.col("smaller"), F.col("size") <= F.col("rep_size")).otherwise(F.col("size") > F.col("rep_size"))
+    gone = None
+    for at in range(steps):
+        left = parts.drop("step").join(sought, "id", "left_semi")
+        left = left if gone is None else left.join(gone, "id", "left_anti")
+        met = left.join(held.where(F.col("step") == at), ["t", "smaller"]).where((F.col("id") > F.col("rep")) & sized & enough)
+        found = _similar(met.select("id", "rep").distinct(), sets, similarity)
+        gone = found if gone is None else gone.unionByName(found)
+    return gone
+
+
 def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id_col): ids of rows whose shingle set has at least this Jaccard similarity to that of a row with a smaller id, gone itself or not.
 
     A positional index again: POSITIONS least hashes a text, each BAND neighbouring ones a posting key. First every member of a list is
-    held against the list's smallest id, which settles most copies at one pair a member. Members not found so are then held against all
-    smaller members of their lists: at once in lists of up to SHORT_LIST members, else in steps, a member's step being drawn by its hash, the first of some four
-    members of the longest list and each about eight times as large as the one before; rows found leave as the ones sought but stay as the ones held
-    against. So every pair on a list is compared unless its larger row was found already, and once, on the first list that both are on.
-    Pairs must share enough positions (the count filter), then the whole shingle sets are compared. A pair at the threshold
-    shares a list with a probability of 0.995 and passes the count filter with one of 0.999. Texts without words and null ids are never found.
+    held against the list's smallest id, which settles most copies at one pair a member. Members of lists of up to SHORT_LIST that are not found so are
+    held against all smaller members at once. Such pairs must share enough positions (the count filter), then the whole shingle sets are compared. A pair at the
+    threshold shares a list with a probability of 0.995 and passes the count filter with one of 0.999.
+    Members of longer lists do not meet by list: each is held against the smaller member with the fewest rare shingles of each list, which in a family of edited
+    copies is near most others, and what is left goes through similar_in_families. So every pair on a list is compared or bounded unless its larger row
+    was found already. Texts without words and null ids are never found.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     raw = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).cast("binary").alias("t")).where("id is not null")
@@ -197,18 +243,18 @@ def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = F.aggregate(equal, F.lit(0), lambda s, x: s + x)
     whole = F.filter(F.array(*[F.lit(b) for b in range(POSITIONS // BAND)]), lambda b: F.forall(F.slice(equal, b * BAND + 1, F.lit(BAND)), lambda x: x == 1))
 
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """(id, s), stored: shingle sets of the ids, and of a few other rows."""
+        route = routing_bitmap(ids.select(F.xxhash64("id").alias("h")).distinct(), "h")  # texts stay where they lie
+        sets = stored(raw.select("id", "t", F.xxhash64("id").alias("h")).mapInArrow(lambda it: _sets(it, width, route), f"id {kind}, s array<int>"))
+        route.unpersist()
+        return sets
+
     def similar(pairs: DataFrame) -> DataFrame:
         """(id) of the pairs (id, rep) whose whole sets are similar. The pairs, a stored table, and the sets go when that is known."""
         mark = written() - 1
-        wanted = pairs.select(F.xxhash64("id").alias("h")).unionByName(pairs.select(F.xxhash64("rep").alias("h"))).distinct()
-        route = routing_bitmap(wanted, "h")  # texts stay where they lie
-        sets = stored(raw.select("id", "t", F.xxhash64("id").alias("h")).mapInArrow(lambda it: _sets(it, width, route), f"id {kind}, s array<int>"))
-        both = pairs.join(sets, "id").join(sets.select(F.col("id").alias("rep"), F.col("s").alias("rep_s")), "rep")
-        common = F.size(F.array_intersect("s", "rep_s"))
-        found = stored(both.where(common / (F.size("s") + F.size("rep_s") - common) >= similarity).select("id").distinct())
-        route.unpersist()
+        found = _similar(pairs, sets_of(pairs.select("id").unionByName(pairs.select(F.col("rep").alias("id")))), similarity)
         drop_stored(raw.sparkSession, mark, keep=1)
-        del wanted, sets, both
         free_shuffles(raw.sparkSession)
         return found
 
@@ -218,22 +264,28 @@ def similar_to_smaller(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     tallied = pairs.join(signed, "id").join(signed.select(F.col("id").alias("rep"), F.col("sig").alias("rep_sig")), "rep")
     gone = similar(stored(tallied.where(shared >= least).select("id", "rep")))
 
-    # What is left: rows with a smaller member on a list besides the one they were held against.
+    # What is left: rows with a smaller member on a list besides the one they were held against. In short lists all meet.
     listed = banded.join(lists.where("n > 2").select("band", "h", F.col("rep").alias("low"), "n"), ["band", "h"])
-    left = stored(listed.where("id > low").join(gone, "id", "left_anti").select("id", "band", "h", "n"))
-    tops = left.groupBy("band", "h").agg(F.max("id").alias("top"))
-    held = listed.where("id > low").join(tops, ["band", "h"]).where("id < top").select("id", "band", "h", "n")
-    # Step 0 takes a share 8**-(steps - 1) of the longest list's members, the last one seven eighths.
-    most = int(held.agg(F.max("n")).first()[0] or 0)
-    steps = 1 if most <= SHORT_LIST else (most.bit_length() + 1) // 3
-    draw = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 40)) / float(1 << 40)
-    step = F.when(F.col("n") <= SHORT_LIST, 0).otherwise(F.greatest(F.lit(0), F.lit(steps - 1) - F.floor(-F.log(8.0, draw + 1e-13))).cast("int"))
-    held = stored(held.join(signed, "id").select(F.col("id").alias("rep"), "band", "h", F.col("sig").alias("rep_sig"), step.alias("step")))
-    for at in range(steps if most else 0):
-        wanted = left if at == 0 else left.where(F.col("n") > SHORT_LIST)
-        sought = wanted.drop("n").join(gone, "id", "left_anti").join(signed, "id")
-        met = sought.join(held.where(F.col("step") == at).drop("step"), ["band", "h"]).where("id > rep").where((shared >= least) & (F.get(whole, F.lit(0)) == F.col("band")))
-        gone = gone.unionByName(similar(stored(met.select("id", "rep").distinct())))
+    few = listed.where((F.col("n") <= SHORT_LIST) & (F.col("id") > F.col("low"))).join(signed, "id")
+    sought = few.join(gone, "id", "left_anti")
+    met = sought.join(few.select(F.col("id").alias("rep"), "band", "h", F.col("sig").alias("rep_sig")), ["band", "h"]).where("id > rep")
+    met = met.where((shared >= least) & (F.get(whole, F.lit(0)) == F.col("band")))
+    gone = gone.unionByName(similar(stored(met.select("id", "rep").distinct())))
+
+    # In long ones sets meet by their rare shingles.
+    many = stored(listed.where(F.col("n") > SHORT_LIST).select("id", "band", "h", "low", "n"))
+    most = int(many.agg(F.max("n")).first()[0] or 0)
+    if most:
+        members = many.select("id").distinct()
+        mark = written()
+        sets = stored(sets_of(members).join(members, "id", "left_semi"))
+        drop_stored(raw.sparkSession, mark, keep=1)
+        ranked = stored(_rare_first(sets))
+        central = many.join(ranked.select("id", "rarity"), "id").groupBy("band", "h", "rarity").agg(F.min("id").alias("first"))
+        central = central.groupBy("band", "h").agg(F.sort_array(F.collect_list(F.struct("rarity", "first"))).alias("central"))
+        one = many.join(gone, "id", "left_anti").join(central, ["band", "h"]).withColumn("rep", F.get(F.filter("central", lambda c: c.first < F.col("id")), F.lit(0)).first)
+        gone = gone.unionByName(_similar(one.where("rep > low").select("id", "rep").distinct(), sets, similarity))
+        gone = gone.unionByName(similar_in_families(members.join(gone, "id", "left_anti"), sets, ranked, similarity, most))
     return gone.select(F.col("id").alias(id_col)).distinct()
 
 

@@ -410,6 +410,47 @@ def test_similar_documents_in_template_families(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_pairs_of_a_family_just_below_the_similarity_stay_few(spark, monkeypatch):
+    """Edited copies of one text, nearly all of whose pairs are at 0.5 to 0.79: the pairs compared grow as the family, not as its square, and those found are right."""
+    compared, similar = [], simhash._similar
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return similar(pairs, *rest)
+
+    monkeypatch.setattr(simhash, "_similar", counted)
+    made = []
+    for n in (60, 240):
+        rng = random.Random(n)
+        docs = []
+        for i in range(n):
+            w = [f"base{k}" for k in range(150)]
+            for at in rng.sample(range(0, 150, 5), 1 if i % 40 == 39 else rng.randint(4, 6)):
+                w[at] = f"edit{rng.random()}"
+            docs.append((i, " ".join(w)))
+        sets = {i: five_words(t) for i, t in docs}
+        want = {i for i in sets if any(jaccard(sets[i], sets[j]) >= 0.8 for j in range(i))}
+        compared.clear()
+        got = [r[0] for r in simhash.similar_to_smaller(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
+        assert set(got) == want and len(got) == len(want)
+        made.append(sum(compared))
+    assert made[1] <= 8 * made[0] and made[1] <= 8 * 240  # all pairs are 28,680
+
+
+def test_similar_in_families(spark):
+    rng = random.Random(3)
+    sets = []
+    for i in range(120):
+        own = set(range(i % 3 * 1000, i % 3 * 1000 + rng.randint(30, 60)))
+        own -= set(rng.sample(sorted(own), rng.randint(0, 5)))
+        sets.append((i, sorted(own | {10**6 + 100 * i + k for k in range(rng.randint(0, 6))})))
+    df = spark.createDataFrame(sets, "id long, s array<int>")
+    for similarity in (0.5, 0.7, 0.85):
+        want = {i for i, a in sets if any(jaccard(set(a), set(b)) >= similarity for _, b in sets[:i])}
+        got = simhash.similar_in_families(df.select("id"), df, simhash._rare_first(df), similarity, 120).collect()
+        assert {r[0] for r in got} == want and len(got) == len(want) and 0 < len(want) < 120
+
+
 def test_pipeline_stages_take_null_and_repeated_ids(spark, sf):
     import corpus_pipeline as c
 
