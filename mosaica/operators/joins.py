@@ -97,9 +97,9 @@ def reindex_region(pixels: DataFrame, matched: DataFrame, radius: float = 3.0) -
     from mosaica.operators.graphs import pixel_regions
     from mosaica.operators.windows import index_rows
 
-    placed = pixels.join(pixel_regions(pixels, radius), "ims_idx")
-    wanted = placed.join(matched.select("x", "y").distinct(), ["x", "y"], "left_semi").select("region").distinct()
-    return index_rows(placed.join(wanted, "region", "left_semi").withColumn("_all", F.lit(1)), ["region"], "ims_idx", "new_idx").drop("_all")
+    placed = pixels.join(unbroadcast(pixel_regions(pixels, radius)), "ims_idx")
+    wanted = placed.join(unbroadcast(matched.select("x", "y").distinct()), ["x", "y"], "left_semi").select("region").distinct()
+    return index_rows(placed.join(unbroadcast(wanted), "region", "left_semi").withColumn("_all", F.lit(1)), ["region"], "ims_idx", "new_idx").drop("_all")
 
 
 def coords_in_reference(image: DataFrame, reference: DataFrame, angle: int) -> DataFrame:

@@ -663,6 +663,15 @@ def test_spatial_joins_put_no_points_on_the_driver(spark, sf, name):
     assert met and not [line for line in met if "Broadcast" in line]
 
 
+def test_reindex_region_broadcasts_no_pixels(spark, sf):
+    """All pixels went to the driver where their file was small."""
+    from mosaica.plans.catalog import QUERIES
+
+    plan = QUERIES["reindex_region"](spark, sf)._jdf.queryExecution().sparkPlan().toString().splitlines()
+    joined = [line for line in plan if "Join" in line]
+    assert len(joined) >= 3 and not [line for line in joined if "Broadcast" in line]
+
+
 def test_radius_self_join_gives_every_pair_once_with_what_it_carries(spark):
     rows = [("g", i, (i * 7 % 11) * 0.5 - 2.0, (i * 5 % 13) * 0.5 - 3.0, f"n{i}") for i in range(60)] + [("h", 100, 0.0, 0.0, "a"), ("h", 101, 0.0, 0.0, "b"), ("h", 102, None, 0.0, "c")]
     got = joins.radius_self_join(spark.createDataFrame(rows, "g string, id int, x double, y double, name string"), 1.0, ["g"], ["name"]).collect()
