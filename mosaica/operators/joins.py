@@ -175,13 +175,15 @@ def _within(x: Column, y: Column, r: float) -> Column:
     return (x * x + y * y <= r * r * (1 + 1e-9) + 1e-300) & (F.hypot(x, y) <= r)
 
 
-def radius_join(a: DataFrame, b: DataFrame, r: float, keys: list[str] = ()) -> DataFrame:
-    """(keys, id, other, d) of points (keys, id, x, y) of a and b at distance r at most. The smaller side belongs on the right."""
+def radius_join(a: DataFrame, b: DataFrame, r: float, keys: list[str] = (), carry: list[str] = (), other_carry: list[str] = ()) -> DataFrame:
+    """(keys, id, other, d) of points (keys, id, x, y) of a and b at distance r at most. The smaller side belongs on the right.
+
+    Columns of a to carry and of b (other_carry) come along, so that pairs need not be joined with their points again."""
     keys = list(keys)
-    left = _bucket(a.select(*keys, "id", "x", "y"), F.col("x"), F.col("y"), r)
-    right = _around(b.select(*keys, F.col("id").alias("other"), F.col("x").alias("_x"), F.col("y").alias("_y")), F.col("_x"), F.col("_y"), r)
+    left = _bucket(a.select(*keys, "id", "x", "y", *carry), F.col("x"), F.col("y"), r)
+    right = _around(b.select(*keys, F.col("id").alias("other"), F.col("x").alias("_x"), F.col("y").alias("_y"), *other_carry), F.col("_x"), F.col("_y"), r)
     dx, dy = F.col("x") - F.col("_x"), F.col("y") - F.col("_y")
-    return left.join(unbroadcast(right), [*keys, "_bx", "_by"]).where(_within(dx, dy, r)).select(*keys, "id", "other", F.hypot(dx, dy).alias("d"))
+    return left.join(unbroadcast(right), [*keys, "_bx", "_by"]).where(_within(dx, dy, r)).select(*keys, "id", "other", F.hypot(dx, dy).alias("d"), *carry, *other_carry)
 
 
 def radius_self_join(points: DataFrame, r: float, keys: list[str] = (), carry: list[str] = ()) -> DataFrame:
@@ -265,8 +267,9 @@ def region_candidates(r1: DataFrame, r2: DataFrame, dmax: float, k: int = 50, ra
     return both.where((F.greatest("_a", "_b") / F.least("_a", "_b")) < ratio).select("id", "other", "d")
 
 
-def descriptor_candidates(k1: DataFrame, k2: DataFrame, dmax: float) -> DataFrame:
-    return radius_join(k1, k2, dmax)
+def descriptor_candidates(k1: DataFrame, k2: DataFrame, dmax: float, a: str | None = None, b: str | None = None) -> DataFrame:
+    """(id, other, d) of key points (id, x, y) within dmax, with the descriptors in column a of k1 and b of k2 where they are named."""
+    return radius_join(k1, k2, dmax, carry=[a] if a else [], other_carry=[b] if b else [])
 
 
 def complete(df: DataFrame, a: str, b: str, fill: dict) -> DataFrame:

@@ -306,9 +306,8 @@ def region_candidates(spark, sf_dir):
 r AS (SELECT *, row_number() OVER w AS k, lead(d) OVER w AS s FROM e WINDOW w AS (PARTITION BY id ORDER BY d, other)) SELECT id, other, round(d, 5) AS d FROM r WHERE k = 1 AND (s IS NULL OR d < 0.8 * s)""")
 def ratio_test(spark, sf_dir):
     """Candidates near each other, matched by descriptors that the positions give."""
-    a, b = fixture(spark, sf_dir, "points_a"), fixture(spark, sf_dir, "points_b")
-    of = lambda df, key, name: df.select(F.col("id").alias(key), F.array(F.col("x") * 10, F.col("y")).alias(name))
-    c = joins.descriptor_candidates(a, b, 1.5).join(of(a, "id", "a"), "id").join(of(b, "other", "b"), "other")
+    described = lambda points, name: fixture(spark, sf_dir, points).withColumn(name, F.array(F.col("x") * 10, F.col("y")))
+    c = joins.descriptor_candidates(described("points_a", "a"), described("points_b", "b"), 1.5, "a", "b")
     return graphs.ratio_test(c).select("id", "other", F.round("d", 5).alias("d"))
 
 

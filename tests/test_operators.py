@@ -672,6 +672,20 @@ def test_reindex_region_broadcasts_no_pixels(spark, sf):
     assert len(joined) >= 3 and not [line for line in joined if "Broadcast" in line]
 
 
+def test_ratio_test_carries_descriptors_through_the_one_join(spark, sf):
+    """Pairs were joined with the descriptors of both sides again, which were broadcast where their file was small."""
+    from mosaica.plans.catalog import QUERIES
+
+    plan = QUERIES["ratio_test"](spark, sf)._jdf.queryExecution().sparkPlan().toString().splitlines()
+    joined = [line for line in plan if "Join" in line]
+    assert len(joined) == 1 and "Broadcast" not in joined[0]
+    points = spark.createDataFrame([(1, 0.0, 0.0, [1.0], "p"), (2, 5.0, 5.0, [2.0], None)], "id int, x double, y double, v array<double>, name string")
+    near = points.selectExpr("id + 10 AS id", "x + 0.5 AS x", "y", "v AS w")
+    assert {tuple(map(str, r)) for r in joins.descriptor_candidates(points, near, 1.0, "v", "w").collect()} == {("1", "11", "0.5", "[1.0]", "[1.0]"), ("2", "12", "0.5", "[2.0]", "[2.0]")}
+    assert joins.descriptor_candidates(points, near, 1.0).columns == ["id", "other", "d"]
+    assert {(r.id, r.name) for r in joins.radius_join(points, near, 1.0, carry=["name"]).collect()} == {(1, "p"), (2, None)}
+
+
 def test_radius_self_join_gives_every_pair_once_with_what_it_carries(spark):
     rows = [("g", i, (i * 7 % 11) * 0.5 - 2.0, (i * 5 % 13) * 0.5 - 3.0, f"n{i}") for i in range(60)] + [("h", 100, 0.0, 0.0, "a"), ("h", 101, 0.0, 0.0, "b"), ("h", 102, None, 0.0, "c")]
     got = joins.radius_self_join(spark.createDataFrame(rows, "g string, id int, x double, y double, name string"), 1.0, ["g"], ["name"]).collect()
