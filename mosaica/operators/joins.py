@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -204,16 +206,33 @@ def radius_self_join(points: DataFrame, r: float, keys: list[str] = (), carry: l
     return pairs.select(*keys, first.getField("id").alias("id"), second.getField("id").alias("other"), F.hypot(dx, dy).alias("d"), *[f.getField(c).alias(n + c) for n, f in (("", first), ("other_", second)) for c in carry])
 
 
+def _nearest_of_batch(batches, k: int):
+    """Pairs without those that have k nearer ones of the same point (_n) in their batch; pairs as near as the k-th stay. _n goes."""
+    for batch in batches:
+        n, d = batch.column("_n").to_numpy(), batch.column("d").to_numpy()
+        order = np.lexsort((d, n))
+        n, d = n[order], d[order]
+        first = np.flatnonzero(np.r_[True, n[1:] != n[:-1]][: len(n)])
+        size = np.diff(np.r_[first, len(n)])
+        keep = np.empty(len(n), bool)
+        keep[order] = d <= np.repeat(d[first + np.minimum(size, k) - 1], size)
+        yield batch.select([c for c in batch.schema.names if c != "_n"]).filter(pa.array(keep))
+
+
 def knn_join(a: DataFrame, b: DataFrame, k: int, keys: list[str] = (), max_dist: float | None = None, start: float = 1.0) -> DataFrame:
     """(keys, id, other, d, rank): the k nearest points of b for each of a, ties by the smaller id.
 
-    With max_dist one radius join decides. Without, a pyramid of cell counts bounds each point's radius before the points meet (operators.neighbours);
+    With max_dist one radius join decides. It gives a point's pairs one after another, so far ones go batch by batch, and what is sorted does not grow with the number of points within max_dist. Without, a pyramid of cell counts bounds each point's radius before the points meet (operators.neighbours);
     `start` is the side of its finest cells. Groups with fewer than k points of b take them all. Points with a null, NaN or infinite coordinate
     have no neighbours and are none; ids are unique within a group.
     """
     keys = list(keys)
     w = Window.partitionBy(*keys, "id").orderBy("d", "other")
-    found = nearest(a, b, k, keys, start) if max_dist is None else radius_join(placed(a), placed(b), max_dist, keys)
+    if max_dist is None:
+        found = nearest(a, b, k, keys, start)
+    else:
+        pairs = radius_join(placed(a).withColumn("_n", F.monotonically_increasing_id()), placed(b), max_dist, keys, ["_n"])
+        found = pairs.mapInArrow(partial(_nearest_of_batch, k=k), pairs.drop("_n").schema)
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 

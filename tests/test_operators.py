@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -672,6 +673,26 @@ def test_reindex_region_broadcasts_no_pixels(spark, sf):
     assert len(joined) >= 3 and not [line for line in joined if "Broadcast" in line]
 
 
+def test_knn_join_sorts_the_near_pairs_of_a_point_alone(spark):
+    """All pairs within max_dist were sorted, 28 of a point in the query."""
+    a = [("g", i, i % 7 * 0.25, i % 5 * 0.5) for i in range(40)] + [("h", 99, 0.0, 0.0), (None, 7, 0.0, 0.0), ("g", 50, None, 0.0)]
+    b = [("g", f"b{i:03}", i % 13 * 0.25, i % 11 * 0.25) for i in range(600)] + [("h", "z", 9.0, 9.0)]
+    schema = "g string, id {}, x double, y double"
+    dfa, dfb = spark.createDataFrame(a, schema.format("int")), spark.createDataFrame(b, schema.format("string"))
+    want = {}
+    for g, i, x, y in a:
+        near = sorted((math.hypot(x - p[2], y - p[3]), p[1]) for p in b if p[0] == g and x is not None and math.hypot(x - p[2], y - p[3]) <= 1.5)
+        want |= {(g, i, rank): pair for rank, pair in enumerate(near[:3], 1)}
+    out = joins.knn_join(dfa, dfb, 3, ["g"], max_dist=1.5)
+    assert out.columns == ["g", "id", "other", "d", "rank"]
+    assert {(r.g, r.id, r["rank"]): (r.d, r.other) for r in out.collect()} == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("MapInArrow") < plan.index("Join")
+    batch = pa.record_batch({"id": ["a"] * 5 + ["b"] * 2, "d": [3.0, 1.0, 2.0, 2.0, 5.0, 4.0, 3.0], "_n": [4] * 5 + [9] * 2})
+    kept = [x.to_pydict() for x in joins._nearest_of_batch(iter([batch, batch.slice(0, 0), batch.slice(4, 2)]), 2)]
+    assert kept == [{"id": ["a", "a", "a", "b", "b"], "d": [1.0, 2.0, 2.0, 4.0, 3.0]}, {"id": [], "d": []}, {"id": ["a", "b"], "d": [5.0, 4.0]}]
+
+
 def test_ratio_test_carries_descriptors_through_the_one_join(spark, sf):
     """Pairs were joined with the descriptors of both sides again, which were broadcast where their file was small."""
     from mosaica.plans.catalog import QUERIES
