@@ -664,6 +664,16 @@ def test_spatial_joins_put_no_points_on_the_driver(spark, sf, name):
     assert met and not [line for line in met if "Broadcast" in line]
 
 
+@pytest.mark.parametrize("name", ["one_to_one"])
+def test_points_meet_in_shuffled_joins_alone(spark, sf, name):
+    """Where the points' file is small they were broadcast, and the few tasks that read the other side held all pairs."""
+    from mosaica.plans.catalog import QUERIES
+
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().sparkPlan().toString().splitlines()
+    joined = [line for line in plan if "Join" in line]
+    assert len(joined) == 1 and "SortMergeJoin" in joined[0]
+
+
 def test_reindex_region_broadcasts_no_pixels(spark, sf):
     """All pixels went to the driver where their file was small."""
     from mosaica.plans.catalog import QUERIES
