@@ -664,7 +664,7 @@ def test_spatial_joins_put_no_points_on_the_driver(spark, sf, name):
     assert met and not [line for line in met if "Broadcast" in line]
 
 
-@pytest.mark.parametrize("name", ["one_to_one"])
+@pytest.mark.parametrize("name", ["one_to_one", "radius_join"])
 def test_points_meet_in_shuffled_joins_alone(spark, sf, name):
     """Where the points' file is small they were broadcast, and the few tasks that read the other side held all pairs."""
     from mosaica.plans.catalog import QUERIES
