@@ -487,6 +487,26 @@ def test_inconsistent_pairs_without_a_reach(spark):
     assert {r.g: r.n_bad for r in got.collect()} == want
 
 
+def test_inconsistent_pairs_counts_far_pairs_too(spark, sf):
+    """The query left out pairs farther apart than 1.5; cells are settled by their boxes or quartered, down to points of one place, and rows of one id are no pair."""
+    from mosaica.plans.catalog import QUERIES
+
+    def brute(rows):
+        pairs = [(p, q) for i, p in enumerate(rows) for q in rows[i + 1 :] if p[1] != q[1]]
+        return sum(abs(p[4] - q[4]) > 0.5 + 0.1 * math.sqrt((p[2] - q[2]) ** 2 + (p[3] - q[3]) ** 2) for p, q in pairs)
+
+    pts = spark.sql(f"SELECT c_custkey AS i, abs(c_acctbal) % 1 AS f FROM parquet.`{sf}/customer.parquet`").collect()
+    rows = [(r.i % 7, r.i, r.i % 40 + r.f, r.i // 40 + r.f, (r.i % 40 + r.f) - (r.i // 40 + r.f)) for r in pts]
+    got = {r.grp: r.n_bad for r in QUERIES["inconsistent_pairs"](spark, sf).collect()}
+    assert got == {g: brute([r for r in rows if r[0] == g]) for g in got} and len(got) == 7 and min(got.values()) > 0
+    rng = np.random.default_rng(4)
+    at = [(float(x), float(y), float(d)) for x, y, d in zip(*rng.uniform(0, 200, (2, 150)), rng.uniform(0, 30, 150))] + [(1.0, 1.0, 3.0)] * 40 + [(7.0, 9.0, 1.5)] * 40
+    rows = [("a", i, *p) for i, p in enumerate(at)] + [("a", i, 9.0, 9.0, 40.0) for i in range(0, 30, 2)] + [("b", 1, 0.0, 0.0, 0.0), ("b", 1, 0.0, 0.0, 9.0), ("c", 1, 0.0, 0.0, 0.0), ("c", 2, 5.0, 0.0, 1.0)]
+    none = [("a", 900, None, 0.0, 1.0), ("a", None, 0.0, 0.0, 99.0), ("a", 901, float("nan"), 0.0, 99.0), (None, 1, 0.0, 0.0, 0.0), (None, 2, 0.0, 0.0, 9.0)]
+    out = graphs.inconsistent_pairs(spark.createDataFrame(rows + none, "g string, id int, x double, y double, d double"), ["g"], few=20)
+    assert {r.g: r.n_bad for r in out.collect()} == {"a": brute([r for r in rows if r[0] == "a"]), "c": 0}
+
+
 def irregular_region(seed, side=14, share=0.8):
     """(pixels, W) of a ragged region with isolated pixels."""
     rng = np.random.default_rng(seed)
