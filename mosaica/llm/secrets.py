@@ -6,12 +6,10 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
-from heapq import nsmallest
+from collections.abc import Iterable, Iterator
 from itertools import pairwise
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +21,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"[0-9a-f]{24,}")  # the matches of HEX with 24 characters or more
 KINDS = ("assign", "access", "hex", "format")
+ORDINARY = "ordinary"  # candidates that no base pattern labels
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")  # from the least length of a labelled credential
-SAMPLE_VALUES = 400  # labelled credentials a kind that the automata are fitted on, chosen by hash
-SAMPLE_WORDS = 2000  # ordinary candidates for the background
-MAX_FIT_LENGTH = 256  # characters of a labelled credential that the fit takes; longer ones are scored like any other
+TREE_SHARE = 500  # one in so many labelled credentials of a kind, at least one, must begin with a prefix for it to be a node of the kind's tree
+DEPTHS = (0, 16, 64, 256)  # the tree grows from each depth to the next in one pass over the credentials
+TALLY = 100_000  # counts that a task holds before it hands them on
 ALPHA = 0.05
 MARGIN = 0.5  # natural log odds a character that a credential must have over ordinary text
 EVIDENCE = 12.0  # natural log odds in all that it must have, so that a short one must be the clearer
@@ -64,29 +63,52 @@ _ALPHABET, _START, _END = "dhlHU+/_.=-", "^", "$"  # classes of credential chara
 _AFTER = _ALPHABET + _END
 
 
+def _least(n: int) -> int:
+    """How many of n credentials a node of the tree needs."""
+    return -(-n // TREE_SHARE)
+
+
 class FormatAutomaton:
     """Probabilistic automaton over character classes, inferred by merging statistically compatible states
-    of the prefix tree of the examples (Hoeffding bound on every outgoing frequency)."""
+    of the prefix tree of the examples (Hoeffding bound on every outgoing frequency).
 
-    def __init__(self, examples: list[str], alpha: float = ALPHA):
-        self.count, self.final, self.next = [0], [0], [{}]
-        for x in examples:
-            state = 0
-            self.count[0] += 1
-            for c in x.translate(_TO_CLASS):
-                if c not in self.next[state]:
-                    self.next[state][c] = [len(self.count), 0]
-                    self.count.append(0)
-                    self.final.append(0)
-                    self.next.append({})
-                edge = self.next[state][c]
-                edge[1] += 1
-                state = edge[0]
-                self.count[state] += 1
-            self.final[state] += 1
+    tree: how many examples go on with each class, or end, after a prefix. A prefix that few begin with is no node of its own: a run stays in its state there, and where
+    no example went on. The frequencies are those of count(), the passes of all examples through the merged states."""
+
+    def __init__(self, tree: dict[str, dict[str, int]], alpha: float = ALPHA):
+        number = {p: i for i, p in enumerate(sorted(tree, key=lambda p: (len(p), p)))}
+        self.count = [sum(tree[p].values()) for p in number]
+        self.final = [tree[p].get(_END, 0) for p in number]
+        self.next = [{c: [number.get(p + c), n] for c, n in tree[p].items() if c != _END} for p in number]
         self._width = math.sqrt(0.5 * math.log(2 / alpha))
         self._infer()
-        self._tables()
+        self.to = {r: {c: to for c, (to, _) in self.next[r].items() if to is not None} for r in self.states}
+        del self.count, self.final, self.next
+
+    @classmethod
+    def of(cls, examples: list[str]) -> FormatAutomaton:
+        """The automaton of a short list of examples."""
+        runs = [(x.translate(_TO_CLASS), 1) for x in examples]
+        tree: dict[str, dict[str, int]] = {}
+        for x, _ in runs:
+            for i, c in enumerate(x + _END):
+                after = tree.setdefault(x[:i], {})
+                after[c] = after.get(c, 0) + 1
+        least = _least(len(runs))
+        out = cls({p: after for p, after in tree.items() if sum(after.values()) >= least and len(p) < DEPTHS[-1]})
+        out.tables(out.passes(runs))
+        return out
+
+    def passes(self, runs: Iterable[tuple[str, int]]) -> Counter:
+        """How often runs of classes, each so many times, go on with a class, or end, in a state."""
+        found: Counter = Counter()
+        for x, n in runs:
+            state = 0
+            for c in x:
+                found[state, c] += n
+                state = self.to[state].get(c, state)
+            found[state, _END] += n
+        return found
 
     def _close(self, x: int, n: int, y: int, m: int) -> bool:
         return not n or not m or abs(x / n - y / m) < self._width * (n**-0.5 + m**-0.5)
@@ -102,7 +124,7 @@ class FormatAutomaton:
                 x, y = self.next[a].get(c), self.next[b].get(c)
                 if not self._close(x[1] if x else 0, n, y[1] if y else 0, m):
                     return False
-                if x and y and x[0] != y[0]:
+                if x and y and x[0] != y[0] and None not in (x[0], y[0]):
                     todo.append((x[0], y[0]))
         return True
 
@@ -114,16 +136,17 @@ class FormatAutomaton:
             self.count[a] += self.count[b]
             self.final[a] += self.final[b]
             for c, (child, n) in self.next[b].items():
-                if c in self.next[a]:
-                    self.next[a][c][1] += n
-                    todo.append((self.next[a][c][0], child))
-                else:
-                    self.next[a][c] = [child, n]
+                own = self.next[a].setdefault(c, [None, 0])
+                own[1] += n
+                if own[0] is None:
+                    own[0] = child
+                elif child is not None:
+                    todo.append((own[0], child))
 
     def _infer(self) -> None:
-        red = [0]
+        red, known = [0], {0}
         while True:
-            blue = next(((r, c) for r in red for c, (to, _) in sorted(self.next[r].items()) if to not in red), None)
+            blue = next(((r, c) for r in red for c, (to, _) in sorted(self.next[r].items()) if to is not None and to not in known), None)
             if blue is None:
                 self.states = red
                 return
@@ -131,14 +154,21 @@ class FormatAutomaton:
             into = next((r for r in red if self._compatible(r, state)), None)
             if into is None:
                 red.append(state)
+                known.add(state)
             else:
                 self.next[blue[0]][blue[1]][0] = into
                 self._fold(into, state)
 
-    def _tables(self) -> None:
-        self.moves = {s: {c: (to, math.log(n / self.count[s])) for c, (to, n) in self.next[s].items()} for s in self.states}
-        self.ends = {s: math.log(max(_FLOOR, self.final[s] / self.count[s])) for s in self.states}
-        del self.count, self.final, self.next
+    def tables(self, passes: dict[tuple[int, str], int]) -> None:
+        """Set the frequencies to those of the passes."""
+        total: Counter = Counter()
+        for (s, _), n in passes.items():
+            total[s] += n
+        self.moves: dict[int, dict[str, tuple[int, float]]] = {s: {} for s in self.states}
+        for (s, c), n in passes.items():
+            if c != _END:
+                self.moves[s][c] = (self.to[s].get(c, s), math.log(n / total[s]))
+        self.ends = {s: math.log(max(_FLOOR, passes.get((s, _END), 0) / max(1, total[s]))) for s in self.states}
 
     def log_likelihood(self, classes: str) -> float:
         state, total, floor = 0, 0.0, math.log(_FLOOR)
@@ -152,6 +182,10 @@ class FormatAutomaton:
         return total + self.ends[state]
 
 
+def _pairs(classes: str) -> Iterator[str]:
+    return map("".join, pairwise(_START + classes + _END))
+
+
 class FormatModel:
     """Automata of the base kinds, and a chain of ordinary candidates to hold them against.
 
@@ -160,12 +194,21 @@ class FormatModel:
     """
 
     def __init__(self, values: dict[str, list[str]], ordinary: list[str]):
-        self.automata = {k: FormatAutomaton(v) for k, v in values.items() if v}
-        pairs = Counter(xy for o in ordinary for xy in pairwise(_START + o.translate(_TO_CLASS) + _END))
-        before = Counter()
-        for (x, _), n in pairs.items():
-            before[x] += n
-        self.background = {(x, y): math.log((pairs[x, y] + 1) / (before[x] + len(_AFTER))) for x in _START + _ALPHABET for y in _AFTER}
+        self._fitted({k: FormatAutomaton.of(v) for k, v in values.items() if v}, Counter(xy for o in ordinary for xy in _pairs(o.translate(_TO_CLASS))))
+
+    @classmethod
+    def fitted(cls, automata: dict[str, FormatAutomaton], pairs: dict[str, int]) -> FormatModel:
+        """The model of known automata and of the counts of two classes, one after the other, in ordinary candidates."""
+        out = cls.__new__(cls)
+        out._fitted(automata, pairs)
+        return out
+
+    def _fitted(self, automata: dict[str, FormatAutomaton], pairs: dict[str, int]) -> None:
+        self.automata = automata
+        before: Counter = Counter()
+        for xy, n in pairs.items():
+            before[xy[0]] += n
+        self.background = {(x, y): math.log((pairs.get(x + y, 0) + 1) / (before[x] + len(_AFTER))) for x in _START + _ALPHABET for y in _AFTER}
 
     def log_odds(self, classes: str) -> float:
         """Log odds of the likeliest credential format against ordinary text, for a run of character classes."""
@@ -188,39 +231,89 @@ class FormatModel:
         return known[classes]
 
 
-_SAMPLES = {"assign": SAMPLE_VALUES, "access": SAMPLE_VALUES, "hex": SAMPLE_VALUES, "ordinary": SAMPLE_WORDS}
+def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, value): labelled credentials and ordinary candidates; of repeated values few leave the task."""
+    seen: set = set()
+    for b in slices(batches, "t"):
+        new: set = set()
+        for t in b.column(0).to_pylist():
+            found = base_spans(t)
+            new.update((KINDS[k], v) for _, k, _, v in found)
+            new.update((ORDINARY, v) for _, _, v in candidates(t, found))
+        new -= seen
+        if len(seen) > TALLY:
+            seen.clear()
+        seen |= new
+        kinds, values = zip(*new) if new else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())], ["kind", "value"])
+
+
+def _rows(b: pa.RecordBatch) -> Iterator[tuple[str, str, int]]:
+    return zip(*(b.column(c).to_pylist() for c in ("kind", "classes", "n")))
 
 
-def _least(values: dict, n: int) -> dict:
-    return dict(nsmallest(n, values.items(), key=lambda x: (x[1], x[0])))
+def _tallied(batches: Iterator[pa.RecordBatch], count) -> Iterator[pa.RecordBatch]:
+    """(kind, at, next, n): the sums of what count(kind, classes, n) gives, in parts."""
 
+    def batch():
+        keys = list(zip(*tally)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([*(pa.array(k, pa.string()) for k in keys), pa.array(list(tally.values()), pa.int64())], ["kind", "at", "next", "n"])
 
-def _bottom(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each kind, the values of smallest hash among those of this partition."""
-    best: dict[str, dict] = {k: {} for k in _SAMPLES}
-    for b in slices(batches, "t"):
-        for t in b.column(0).to_pylist():
-            found = base_spans(t)
-            for _, k, _, v in found:
-                if len(v) <= MAX_FIT_LENGTH:
-                    best[KINDS[k]][v] = xxhash.xxh64_intdigest(v)
-            for _, _, v in candidates(t, found):
-                if len(v) <= MAX_FIT_LENGTH:
-                    best["ordinary"][v] = xxhash.xxh64_intdigest(v)
-            for k, d in best.items():
-                if len(d) > 8 * SAMPLE_WORDS:
-                    best[k] = _least(d, _SAMPLES[k])
-    rows = [(k, v, h - (1 << 63)) for k, d in best.items() for v, h in _least(d, _SAMPLES[k]).items()]
-    cols = list(zip(*rows)) or [[], [], []]
-    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], ["kind", "value", "h"])
+    tally: Counter = Counter()
+    for b in slices(batches, "classes"):
+        for row in _rows(b):
+            for key, n in count(*row):
+                tally[key] += n
+            if len(tally) > TALLY:
+                yield batch()
+                tally.clear()
+    yield batch()
+
+
+def _sums(runs: DataFrame, count) -> DataFrame:
+    return runs.mapInArrow(lambda it: _tallied(it, count), "kind string, at string, next string, n long").groupBy("kind", "at", "next").agg(F.sum("n").alias("n"))
+
+
+def _grow(runs: DataFrame, least: dict[str, int]) -> dict[str, dict[str, dict[str, int]]]:
+    """The prefix tree of each kind, down to the last of DEPTHS: what goes on after each prefix that `least` credentials begin with."""
+    trees: dict[str, dict] = {k: {} for k in least}
+    known = {(k, "") for k in least}
+    enough = F.create_map(*[F.lit(x) for kn in least.items() for x in kn])
+    for low, high in pairwise(DEPTHS):
+        shared = runs.sparkSession.sparkContext.broadcast(known)
+
+        def count(kind, classes, n, low=low, high=high, shared=shared):
+            if (kind, classes[:low]) in shared.value:
+                for i, c in enumerate((classes + _END)[low:high], low):
+                    yield (kind, classes[:i], c), n
+
+        after = _sums(runs, count).groupBy("kind", "at").agg(F.map_from_entries(F.collect_list(F.struct("next", "n"))).alias("after"), F.sum("n").alias("n"))
+        for r in after.where(F.col("n") >= enough[F.col("kind")]).select("kind", "at", "after").collect():
+            trees[r.kind][r["at"]] = r.after
+        known = {(k, p + c) for k, t in trees.items() for p, a in t.items() if len(p) == high - 1 for c, n in a.items() if c != _END and n >= least[k]}
+        if not known:
+            break
+    return trees
 
 
 def learn_formats(docs: DataFrame, text_col: str = "text") -> FormatModel:
-    """Fit the automata on the credentials that the base patterns label: at most SAMPLE_VALUES a kind and SAMPLE_WORDS
-    ordinary candidates, those of smallest hash in the whole table, none longer than MAX_FIT_LENGTH. The texts are read once."""
-    found = stored(docs.select(text_or_empty(text_col).alias("t")).mapInArrow(_bottom, "kind string, value string, h long").distinct())
-    values = {k: [r[0] for r in found.where(F.col("kind") == k).orderBy("h", "value").limit(n).select("value").collect()] for k, n in _SAMPLES.items()}
-    return FormatModel(values, values.pop("ordinary"))
+    """Fit the automata on all credentials that the base patterns label and the chain on all ordinary candidates of the table, each distinct one once, whatever its
+    length. The texts are read once; the driver gets counts alone: of the prefixes that one in TREE_SHARE credentials of a kind begins with, of the passes through
+    the merged states, which all credentials make to their ends, and of pairs of classes."""
+    found = docs.select(text_or_empty(text_col).alias("t")).mapInArrow(_values, "kind string, value string").distinct()
+    classes = F.translate("value", "".join(_CLASSES), "".join(_CLASSES.values()))
+    every = stored(found.groupBy("kind", classes.alias("classes")).agg(F.count("*").alias("n")))
+    runs = every.where(F.col("kind") != ORDINARY)
+    total = {r.kind: r.n for r in runs.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    automata = {k: FormatAutomaton(t) for k, t in sorted(_grow(runs, {k: _least(n) for k, n in total.items()}).items())} if total else {}
+    shared = docs.sparkSession.sparkContext.broadcast(automata)
+    passes: dict[str, dict] = {k: {} for k in automata}
+    for r in _sums(runs, lambda kind, x, n: (((kind, str(s), c), m) for (s, c), m in shared.value[kind].passes([(x, n)]).items())).collect() if automata else []:
+        passes[r.kind][int(r["at"]), r.next] = r.n
+    for k, a in automata.items():
+        a.tables(passes[k])
+    pairs = _sums(every.where(F.col("kind") == ORDINARY), lambda kind, x, n: (((kind, xy[0], xy[1]), n) for xy in _pairs(x)))
+    return FormatModel.fitted(automata, {r["at"] + r.next: r.n for r in pairs.collect()})
 
 
 def all_spans(text: str, model: FormatModel, known: dict | None = None) -> tuple[list, list]:

@@ -358,6 +358,28 @@ def test_formats_have_precision_and_recall(spark):
     assert right >= 0.9 * len(rows) and right >= 0.9 * len(found)
 
 
+def test_formats_are_learned_from_all_credentials(spark):
+    """Of each kind 400 were taken and of ordinary candidates 2,000, none longer than 256 characters; the distributed fit is that of all distinct values."""
+    rng = random.Random(8)
+    make = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    rows, values, words = [], {"access": set(), "hex": set(), "assign": set()}, set()
+    for i in range(1300):
+        own = ["AKIA" + make("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16), make("0123456789abcdef", 300 if i % 10 == 0 else 32), make("ghijklmn", 9 + i % 5) + "Z" * (i % 3 + 1)]
+        plain = [make("ghijklmnopqrstu", rng.randint(6, 12)) for _ in range(4)] + ["W" * 400 if i == 3 else "Monday"]
+        for k, v in zip(values, own):
+            values[k].add(v)
+        words |= set(plain)
+        rows += [(i, " ".join([own[0], own[1], "token=" + own[2], *plain]))] * (2 if i % 7 == 0 else 1)
+    got = secrets.learn_formats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    want = secrets.FormatModel({k: sorted(v) for k, v in values.items()}, sorted(words))
+    assert len(words) > 2000 and min(len(v) for v in values.values()) > 2 * secrets.TREE_SHARE
+    assert got.background == want.background
+    for k in values:
+        a, b = got.automata[k], want.automata[k]
+        assert (a.states, a.to, a.moves, a.ends) == (b.states, b.to, b.moves, b.ends)
+        assert sum(math.exp(p) for _, p in a.moves[0].values()) <= 1 + 1e-9
+
+
 def test_formats_leave_ordinary_text_alone(spark):
     """Addresses, card and telephone numbers of the given texts, which hold no credential but the labelled ones, are no format."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
