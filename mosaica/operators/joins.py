@@ -174,7 +174,8 @@ def unbroadcast(df: DataFrame) -> DataFrame:
 
 def _within(x: Column, y: Column, r: float) -> Column:
     """hypot(x, y) <= r; squares, which are cheap, settle nearly all pairs."""
-    return (x * x + y * y <= r * r * (1 + 1e-9) + 1e-300) & (F.hypot(x, y) <= r)
+    square = x * x + y * y
+    return (square <= r * r * (1 + 1e-9) + 1e-300) & ((square <= r * r * (1 - 1e-9) - 1e-300) | (F.hypot(x, y) <= r))
 
 
 def radius_join(a: DataFrame, b: DataFrame, r: float, keys: list[str] = (), carry: list[str] = (), other_carry: list[str] = ()) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 import math
+import re
 import random
 
 import numpy as np
@@ -744,6 +745,36 @@ def test_radius_self_join_gives_every_pair_once_with_what_it_carries(spark):
     assert len(got) == len(want) and {(r.id, r.other): (r.name, r.other_name) for r in got} == want
 
 
+def test_interaction_terms_of_places_that_hold_many_cells(spark):
+    """All pairs of cells were made, so work grew with the square of the cells of a place; places, types, pixels and values are summed before the join."""
+    rng = np.random.default_rng(6)
+    cells = [("s", i, float(i % 5) * 1.5, float(i % 3), "ABC"[int(rng.integers(3))], float(rng.uniform(-1, 3))) for i in range(120)]
+    cells += [("s", 500, 0.0, 0.0, None, 2.0), ("s", 501, 0.0, 0.0, "D", 5.0), ("s", 502, 0.0, 0.0, "A", None), ("s", 503, None, 0.0, "A", 1.0), ("s", 504, float("nan"), 0.0, "A", 1.0), ("s", 505, 0.0, 0.0, "A", 1e9), ("t", 1, 0.0, 0.0, "A", 1.0)]
+    px = [("s", c[1], c[1] % 4) for c in cells if c[0] == "s"] + [("s", 0, 9), ("t", 1, 3), ("t", 77, 8)]
+    last = {}
+    for g, i, p in px:
+        last[g, i] = max(p, last.get((g, i), p))
+    want = {}
+    known = [c for c in cells if c[2] is not None and c[5] is not None and c[4] != "D"]
+    for i, a in enumerate(known):
+        for b in known[i + 1 :]:
+            if a[0] == b[0] and math.hypot(a[2] - b[2], a[3] - b[3]) <= 2.0:
+                kinds = sorted(k for k in (a[4], b[4]) if k) * 2
+                for c in (a, b):
+                    k = (c[0], last[c[0], c[1]], f"{kinds[0]}:{kinds[1] if a[4] and b[4] else kinds[0]}")
+                    want[k] = want.get(k, 0.0) + a[5] * b[5]
+    df = spark.createDataFrame(cells, "sample_id string, id int, x double, y double, celltype string, value double")
+    out = graphs.interaction_terms(df, spark.createDataFrame(px, "sample_id string, id int, ims_idx int"), ["C", "A", "B"], 2.0)
+    assert out.columns == ["sample_id", "ims_idx", "A:A", "A:B", "A:C", "B:B", "B:C", "C:C"]
+    got = {(r.sample_id, r.ims_idx, c): r[c] for r in out.collect() for c in out.columns[2:]}
+    assert {k[:2] for k in got} == {(g, p) for g, _, p in px}
+    for k, v in got.items():
+        assert math.isclose(v, want.get(k, 0.0), rel_tol=1e-9, abs_tol=1e-9), k
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(plan) if "Join" in line and "_bx" in line)
+    assert len([line for line in plan[join:] if re.search(r"Aggregate \[sample_id#\d+, x#\d+, y#\d+\]", line)]) == 2
+
+
 def test_fill_updown_takes_time_in_proportion_to_the_rows(spark):
     """A frame that shrinks from row to row would be gone through 60,000 times in the one group."""
     df = spark.range(60_000).select(F.lit("g").alias("g"), "id", F.when(F.col("id") == 59_990, F.lit("x")).alias("v"))
