@@ -745,6 +745,20 @@ def test_radius_self_join_gives_every_pair_once_with_what_it_carries(spark):
     assert len(got) == len(want) and {(r.id, r.other): (r.name, r.other_name) for r in got} == want
 
 
+def test_radius_self_join_copies_points_to_cells_within_reach_alone(spark, monkeypatch):
+    """Every point went to five cells. Pairs at r exactly, over the corners of cells and below 0, are kept."""
+    rng = np.random.default_rng(9)
+    at = [(float(x), float(y)) for x, y in rng.uniform(-20, 20, (400, 2))] + [(float(x), float(y)) for x in range(-9, 10, 3) for y in range(-9, 10, 3)] + [(1e9, -1e9), (1e9 + 3, -1e9)]
+    out = joins.radius_self_join(spark.createDataFrame([(i, *p) for i, p in enumerate(at)], "id int, x double, y double"), 3.0)
+    want = {(i, j) for i, p in enumerate(at) for j, q in enumerate(at) if i < j and math.hypot(p[0] - q[0], p[1] - q[1]) <= 3.0}
+    got = [(r.id, r.other) for r in out.collect()]
+    assert len(got) == len(want) and set(got) == want and (len(at) - 2, len(at) - 1) in want
+    copies = []
+    monkeypatch.setattr(joins, "unbroadcast", lambda df: copies.append(df) or df.hint("merge"))
+    joins.radius_self_join(spark.range(10_000).selectExpr("id", "(id % 100) * 0.73 AS x", "(id div 100) * 0.77 AS y"), 0.1)
+    assert len(copies) == 1 and copies[0].count() < 30_000
+
+
 def test_interaction_terms_of_places_that_hold_many_cells(spark):
     """All pairs of cells were made, so work grew with the square of the cells of a place; places, types, pixels and values are summed before the join."""
     rng = np.random.default_rng(6)
